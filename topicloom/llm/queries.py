@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import bpe, packing, sharding, simhash, topk
+from topicloom.llm import bpe, html, packing, pii, quality, sharding, simhash, topk, toxicity
 from topicloom.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -26,9 +30,28 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents")).drop("source")
 
 
+def held_out(doc_id: F.Column) -> F.Column:
+    """Rows whose labels the toxicity model never sees."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"))))
+    return toxicity.score(docs, machine).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("distance2")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(table(spark, sf_dir, "documents"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_packing, op5_simhash, op6_sharding, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_packing, op4_html, op5_simhash, op6_sharding, op7_toxicity, op8_quality, op9_pii, op10_topk)}
 ORACLES: dict[str, str] = {}

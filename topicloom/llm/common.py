@@ -65,11 +65,14 @@ class Generations(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 def tokenizer_path(name: str, folder: str | None = None) -> str:

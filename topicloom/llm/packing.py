@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from topicloom.llm.common import Generations, cut, session, text_column, tokenizer_path
 
 WINDOW, END_ID, GROUP_PIECES, VOCABULARY = 2048, 1, 8192, "word_bpe_49k.json"
+CACHED_WORDS = 600_000
 
 
 class WordEncoder:
@@ -43,7 +44,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Generations(self._word)
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.words = Generations(self._word, CACHED_WORDS)
 
     @classmethod
     def of(cls, path: str) -> "WordEncoder":
@@ -60,9 +63,30 @@ class WordEncoder:
             return self.words[low]
         return array("I", self.tokenizer.encode_batch_fast([word.decode()], add_special_tokens=False)[0].ids).tobytes()
 
+    def _learn(self, words: set[bytes]) -> None:
+        """Words of letters only are one piece each, so many go through the tokenizer at once and part where a piece closes."""
+        cache, old, plain = self.words, self.words.old, set()
+        for word in words:
+            if word not in old:
+                word = (word[:-1] if word[-1:] in (b",", b".") else word).lower()
+                if word not in cache and word not in old and word.decode().isalpha():
+                    plain.add(word)
+        if len(plain) > 1:
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+            if len(ends) == len(plain):
+                data = ids.tobytes()
+                for word, a, b in zip(plain, [0, *ends], ends):
+                    cache.put(word, data[4 * a : 4 * b])
+
     def encode(self, text: bytes) -> bytes:
         """bytes.split() parts UTF-8 at the six ASCII spaces only."""
-        return b"".join(map(self.words.__getitem__, text.split()))
+        words = text.split()
+        found = list(map(self.words.get, words))
+        if None not in found:
+            return b"".join(found)
+        self._learn({w for w, ids in zip(words, found) if ids is None})
+        return b"".join(map(self.words.__getitem__, words))
 
 
 def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabulary: str = VOCABULARY, folder: str | None = None, with_ids: bool = False) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from topicloom.llm.common import Generations, session, text_column
 
 TRAIN_ROWS, SEED, THRESHOLD, TERM_BITS = 20_000, 29, 0.3, 31
-FACTORS, MIN_ROWS, MIN_G2, MAX_TERMS, ROUNDS, STEP, L1, L2 = 4, 5, 15.0, 16_384, 300, 0.25, 2e-4, 1e-4
+FACTORS, MIN_ROWS, MIN_G2, MAX_TERMS, ROUNDS, STEP, L1, L2 = 4, 5, 24.0, 16_384, 300, 0.25, 2e-4, 1e-4
 #: ASCII letters fold to lower case, other ASCII parts words, the bytes of other letters stay.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 

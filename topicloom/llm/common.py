@@ -69,10 +69,13 @@ class Generations(dict):
         return value
 
     def put(self, key, value) -> None:
+        self.put_all([(key, value)])
+
+    def put_all(self, pairs) -> None:
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
-        self[key] = value
+        self.update(pairs)
 
 
 def tokenizer_path(name: str, folder: str | None = None) -> str:

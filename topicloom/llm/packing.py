@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from topicloom.llm.common import Generations, cut, session, text_column, tokenizer_path
 
 WINDOW, END_ID, GROUP_PIECES, VOCABULARY = 2048, 1, 8192, "word_bpe_49k.json"
-CACHED_WORDS = 600_000
+CACHED_WORDS, PART = 600_000, b" \x02 "
 
 
 class WordEncoder:
@@ -44,8 +44,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        [self.part] = self.tokenizer.encode(PART.strip().decode(), add_special_tokens=False).ids
         self.words = Generations(self._word, CACHED_WORDS)
 
     @classmethod
@@ -56,37 +55,32 @@ class WordEncoder:
         return cls._made[path]
 
     def _word(self, word: bytes) -> bytes:
-        # the vocabulary folds case, and a comma or full stop after a letter is a token of its own
-        if word[-1:] in (b",", b".") and word[-2:-1].isalpha():
-            return self.words[word[:-1]] + self.words[word[-1:]]
-        if b"<|" not in word and (low := word.lower()) != word:
-            return self.words[low]
-        return array("I", self.tokenizer.encode_batch_fast([word.decode()], add_special_tokens=False)[0].ids).tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Words of letters only are one piece each, so many go through the tokenizer at once and part where a piece closes."""
-        cache, old, plain = self.words, self.words.old, set()
-        for word in words:
-            if word not in old:
-                word = (word[:-1] if word[-1:] in (b",", b".") else word).lower()
-                if word not in cache and word not in old and word.decode().isalpha():
-                    plain.add(word)
-        if len(plain) > 1:
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
-            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
-            if len(ends) == len(plain):
-                data = ids.tobytes()
-                for word, a, b in zip(plain, [0, *ends], ends):
-                    cache.put(word, data[4 * a : 4 * b])
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Encodes distinct words at once, a control character between any two."""
+        ids = np.array(self.tokenizer.encode_batch_fast([PART.join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+        parts = (4 * np.flatnonzero(ids == self.part)).tolist()
+        if len(parts) != len(words) - 1:  # a word holds the character itself
+            return {word: self._word(word) for word in words}
+        data = ids.tobytes()
+        return dict(zip(words, [data[a:b] for a, b in zip([0, *(x + 4 for x in parts)], [*parts, len(data)])]))
 
     def encode(self, text: bytes) -> bytes:
         """bytes.split() parts UTF-8 at the six ASCII spaces only."""
         words = text.split()
         found = list(map(self.words.get, words))
-        if None not in found:
-            return b"".join(found)
-        self._learn({w for w, ids in zip(words, found) if ids is None})
-        return b"".join(map(self.words.__getitem__, words))
+        if None in found:
+            at = [k for k, ids in enumerate(found) if ids is None]
+            missing = [words[k] for k in at]
+            old = self.words.old
+            learnt = {w: old[w] for w in missing if w in old}
+            if new := [w for w in dict.fromkeys(missing) if w not in learnt]:
+                learnt |= self._learn(new)
+            self.words.put_all(learnt)
+            for k, word in zip(at, missing):
+                found[k] = learnt[word]
+        return b"".join(found)
 
 
 def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabulary: str = VOCABULARY, folder: str | None = None, with_ids: bool = False) -> DataFrame:

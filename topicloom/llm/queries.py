@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import bpe, html, packing, pii, quality, sharding, simhash, topk, toxicity
+from topicloom.llm import bpe, html, ngram, packing, pii, quality, sharding, simhash, topk, toxicity
 from topicloom.llm.common import table
 
 
@@ -13,6 +13,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def unseen(doc_id: F.Column) -> F.Column:
+    """Rows that the language model does not learn from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0, F.lit(False))
+
+
+def op2_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = ngram.train(docs.where(~unseen(F.col("doc_id"))))
+    return ngram.score(docs, model).select("doc_id", unseen(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -32,7 +43,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def held_out(doc_id: F.Column) -> F.Column:
     """Rows whose labels the toxicity model never sees."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,5 +64,5 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_packing, op4_html, op5_simhash, op6_sharding, op7_toxicity, op8_quality, op9_pii, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram, op3_packing, op4_html, op5_simhash, op6_sharding, op7_toxicity, op8_quality, op9_pii, op10_topk)}
 ORACLES: dict[str, str] = {}

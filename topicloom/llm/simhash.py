@@ -79,6 +79,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = 2) -> D
 
 
 def representatives(docs: DataFrame, words: int = WORDS, max_bits: int = 2) -> DataFrame:
-    """docs without the near copies: the row of the smallest doc_id of each component stays (of rows that repeat it, one)."""
-    keep = near_duplicates(docs, words, max_bits).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(keep, "doc_id", "left_semi") if "doc_id" in docs.columns else docs
+    """docs without the near copies: of each component the row of the smallest doc_id stays (of rows that repeat it, one; rows of a null doc_id, which nothing can name, all)."""
+    found = cut(near_duplicates(docs, words, max_bits))
+    keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    unnamed, named = docs.where("doc_id is null"), docs.where("doc_id is not null")
+    if not keep.where("rows > 1").isEmpty():  # only then is it worth dealing the texts out by id
+        named = named.dropDuplicates(["doc_id"])
+    return named.join(keep.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "doc_id", "left_semi").select(*docs.columns).unionByName(unnamed)

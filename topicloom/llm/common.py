@@ -45,6 +45,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fenced(df: DataFrame, computed: list[str]) -> DataFrame:
+    """df with the computed columns behind a generator: what later filters on them isn't pushed below, where their expressions would be evaluated again."""
+    return df.select(*[c for c in df.columns if c not in computed], F.inline(F.array(F.struct(*computed))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return session(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

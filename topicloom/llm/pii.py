@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import cut
+from topicloom.llm.common import cut, fenced
 
 KINDS = ("email", "ip", "card", "phone")
 DISCLOSURE, SUPPORT, BROADCAST_ROWS = 0.75, 3, 20_000
@@ -89,7 +89,7 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
         parts, matches = _matches("_text", PATTERNS[kind], there)
         rows = rows.withColumns({"_p": parts, "_m": matches}).withColumn("_found", F.when(F.size("_m") > 0, _place("_p", "_m")))
         rows = rows.withColumn(f"_{kind}", F.coalesce(F.filter("_found", _on(_valid, kind)), none)).drop("_p", "_m", "_found")
-    return rows.drop("_numbers")
+    return fenced(rows.drop("_numbers"), [f"_{k}" for k in KINDS])
 
 
 def _entity(kind: str, value: Column) -> Column:

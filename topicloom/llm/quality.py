@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import cut
+from topicloom.llm.common import cut, fenced
 
 SPACE, NOT_SPACE, SYMBOLS = "[\\x20\\x09-\\x0D]+", "[^\\x20\\x09-\\x0D]", "[#*$%&|<>]"
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
@@ -51,7 +51,8 @@ def with_counts(docs: DataFrame) -> DataFrame:
         .withColumn("n_repeat_words", F.coalesce(repeats, F.lit(0)).cast("long"))
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).drop("_text", "_words", "_lines", "_windows", "_sorted", "_found")
+    rows = rows.drop("_text", "_words", "_lines", "_windows", "_sorted", "_found")
+    return fenced(rows, ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]).withColumn("base_failed", failed)
 
 
 def with_vector(rows: DataFrame) -> DataFrame:
@@ -101,12 +102,17 @@ def _distance() -> Column:
     return sum((x * x for x in z[1:]), z[0] * z[0])
 
 
+def _beside(params: DataFrame) -> DataFrame:
+    """One row a group: broadcast while these are few, so that no group's rows gather; beyond, both sides shuffle."""
+    return F.broadcast(params) if params.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS else params
+
+
 def estimates(rows: DataFrame) -> DataFrame:
     """rows of with_vector -> for each group its mean and factor; the group "" serves all that have none of their own."""
     used = rows.where(~F.col("base_failed")).select("group", *VARIABLES)
     sizes = used.groupBy("group").agg(F.count(F.lit(1)).alias("of"))
-    own = sizes.where(F.col("of") >= MIN_GROUP).select("group")
-    used = cut(used.join(own.withColumn("own", F.lit(True)), "group", "left").withColumn("group", F.when(F.col("own"), F.col("group")).otherwise(F.lit(""))).drop("own"))
+    own = cut(sizes.where(F.col("of") >= MIN_GROUP).select("group", F.lit(True).alias("own")))
+    used = cut(used.join(_beside(own), "group", "left").withColumn("group", F.when(F.col("own"), F.col("group")).otherwise(F.lit(""))).drop("own"))
     # the shared group also stands for groups that first appear elsewhere, so it is estimated over all rows if it has too few
     if used.where("group = ''").limit(MIN_GROUP).count() < MIN_GROUP:
         used = used.where("group <> ''").union(used.withColumn("group", F.lit("")).select("group", *VARIABLES))
@@ -121,27 +127,25 @@ def estimates(rows: DataFrame) -> DataFrame:
     params = cut(_with_factor(marks, F.lit(1.0)))
     bucket = F.floor(F.log1p(F.col("d2")) * PER_UNIT).cast("int")
     for _ in range(STEPS):
-        near = used.join(params, "group").withColumn("d2", _distance()).withColumn("b", bucket).select("group", *VARIABLES, "b")
+        near = used.join(_beside(params), "group").withColumn("d2", _distance()).withColumn("b", bucket).select("group", *VARIABLES, "b")
         bars = _from_histogram(near, ["group"], "b", {"bar": 0.5})
-        half = near.join(bars, "group").where("b <= bar")
+        half = near.join(_beside(cut(bars)), "group").where("b <= bar")
         moments = half.groupBy("group").agg(*[F.avg(v).alias(f"m_{i}") for i, v in enumerate(VARIABLES)], *[F.coalesce(F.covar_pop(VARIABLES[i], VARIABLES[j]), F.lit(0.0)).alias(f"c_{i}{j}") for i in range(4) for j in range(i + 1)])
         params = cut(_with_factor(moments, F.lit(1.0)))
     # scaled for consistency: half of the rows lie within the median of chi-square
-    near = used.join(params, "group").withColumn("d2", _distance()).withColumn("b", bucket).select("group", "b")
+    near = used.join(_beside(params), "group").withColumn("d2", _distance()).withColumn("b", bucket).select("group", "b")
     bars = _from_histogram(near, ["group"], "b", {"bar": 0.5}).select("group", (F.expm1((F.col("bar") + 1) / PER_UNIT) / MEDIAN).alias("scale"))
     bare = params.select("group", *[f"m_{i}" for i in range(4)], *[f"c_{i}{j}" for i in range(4) for j in range(i + 1)])
     return cut(_with_factor(bare.join(bars, "group"), F.greatest(F.col("scale"), F.lit(1.0))))
 
 
 def judged(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """rows of with_vector with distance2 and kept. params is broadcast while it has few groups, else both sides shuffle."""
+    """rows of with_vector with distance2 and kept."""
     needed = ["group", *[f"m_{i}" for i in range(4)], *[f"l_{i}{j}" for i in range(4) for j in range(i + 1)]]
     params = params.select(*needed)
-    few = params.count() <= BROADCAST_GROUPS
-    hint = F.broadcast if few else (lambda x: x)
     own = params.select(F.col("group").alias("_own"))
-    rows = rows.join(hint(own), F.col("group") == F.col("_own"), "left").withColumn("group", F.coalesce("_own", F.lit(""))).drop("_own")
-    rows = rows.join(hint(params), "group", "left").withColumn("distance2", _distance())
+    rows = rows.join(_beside(own), F.col("group") == F.col("_own"), "left").withColumn("group", F.coalesce("_own", F.lit(""))).drop("_own")
+    rows = rows.join(_beside(params), "group", "left").withColumn("distance2", _distance())
     keep = ~F.col("base_failed") & (F.coalesce(F.col("distance2"), F.lit(0.0)) <= CUTOFF)
     return rows.withColumn("kept", keep).drop(*needed[1:])
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from topicloom.llm.common import Generations, new_folder, session, text_column
 
-ORDER, DISCOUNT, MIN_COUNT, MIN_SHARDS, SHARD_TOKENS = 3, 0.8, 2, 8, 20_000_000
+ORDER, DISCOUNT, MIN_COUNT, MIN_SHARDS, SHARD_TOKENS = 3, 0.8, 2, 8, 8_000_000
 FLUSH_TOKENS, SCALE, END, SEED = 3_000_000, 65535 / 16, b"\n", 5
 NO = np.int64(-1)
 
@@ -112,7 +112,7 @@ def _load(folder: str, name: str) -> dict[str, np.ndarray]:
         if len(_OPEN) > 4096:
             _OPEN.clear()
         local = _local(folder)
-        data = np.memmap(f"{local}/{name}" if local else SparkFiles.get(f"{folder.rsplit('/', 1)[1]}-{name}"), np.uint8, "r")
+        data = np.memmap(f"{local}/{name}" if local else SparkFiles.get(f"{folder.rsplit('/', 1)[1]}-{name}"), np.uint8, "r").view(np.ndarray)
         n = int.from_bytes(data[:8].tobytes(), "little")
         _OPEN[key] = {k: data[8 + n + at :][: np.dtype(kind).itemsize * size].view(kind) for k, (at, kind, size) in json.loads(data[8 : 8 + n].tobytes()).items()}
     return _OPEN[key]
@@ -183,13 +183,12 @@ class Reader:
         return out
 
     def _by_shard(self, level: int, nodes: np.ndarray):
-        """(shard, places, local index) for the nodes' shards."""
-        shard = np.searchsorted(self.model.levels[level].offsets, nodes, side="right") - 1
-        order = np.argsort(shard, kind="stable")
-        starts = np.flatnonzero(np.diff(shard[order], prepend=-1))
-        for a, b in zip(starts, [*starts[1:], len(order)]):
-            s = int(shard[order[a]])
-            yield s, order[a:b], nodes[order[a:b]] - self.model.levels[level].offsets[s]
+        """(shard, slice, local index) for rising nodes."""
+        offsets = self.model.levels[level].offsets
+        bounds = np.searchsorted(nodes, offsets)
+        for s in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+            at = slice(bounds[s], bounds[s + 1])
+            yield s, at, nodes[at] - offsets[s]
 
     def counts(self, level: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count of each node (level 0: words), and training mass before it."""
@@ -205,15 +204,16 @@ class Reader:
         return np.minimum(((before + n * (word / (self.model.v + 1))) * (self.model.shards / max(1, total))).astype(np.int64), self.model.shards - 1)
 
     def parents(self, level: int, nodes: np.ndarray) -> dict[str, np.ndarray]:
-        """What a lookup below these (different) nodes of `level` needs."""
+        """What a lookup below these (rising) nodes of `level` needs."""
         m = self.model
         n, before = self.counts(level, nodes)
         total = m.levels[level].mass[-1]
         first, last = self.shard_of(total, n, before, 0.0), self.shard_of(total, n, before, m.v / 1.0)
         found = {"node": nodes, "n": n, "before": before, "first": first, "last": last, "a": np.zeros(len(nodes), np.int64), "b": np.zeros(len(nodes), np.int64), "left": np.ones(len(nodes))}
-        for s in np.unique(first):
-            mine = np.flatnonzero((first == s) & (last == s))
-            found["a"][mine], found["b"][mine], found["left"][mine] = self._range(level + 1, int(s), nodes[mine])
+        starts = np.flatnonzero(np.diff(first, prepend=-1))
+        for a, b in zip(starts, [*starts[1:], len(first)]):
+            mine = slice(a, a + int(np.searchsorted(last[a:b], first[a], side="right")))  # all but, at most, a last one that goes on
+            found["a"][mine], found["b"][mine], found["left"][mine] = self._range(level + 1, int(first[a]), nodes[mine])
         for k in np.flatnonzero(first != last):
             if (held := m.levels[level + 1].shared.get(int(nodes[k]))) is not None:
                 found["left"][k] = (n[k] - held) / n[k]
@@ -232,7 +232,7 @@ class Reader:
         return a, b, left
 
     def successors(self, level: int, parents: dict[str, np.ndarray], at: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Node (-1: none) of `level` and quantised probability (0: none) of each word below parents[at]."""
+        """Node (-1: none) of `level` and quantised probability (0: none) of each word below parents[at]; rising in (at, word)."""
         m = self.model
         node, prob = np.full(len(word), NO), np.zeros(len(word))
         first, last = parents["first"][at], parents["last"][at]
@@ -242,7 +242,6 @@ class Reader:
             shard[split] = self.shard_of(m.levels[level - 1].mass[-1], parents["n"][at[split]], parents["before"][at[split]], word[split])
         a, b = parents["a"][at], parents["b"][at]
         todo = np.flatnonzero((word >= 0) & ((b > a) | (first != last)))
-        todo = todo[np.argsort(shard[todo], kind="stable")]
         starts = np.flatnonzero(np.diff(shard[todo], prepend=-1))
         for x, y in zip(starts, [*starts[1:], len(todo)]):
             mine = todo[x:y]
@@ -285,17 +284,21 @@ class Reader:
 
     def chains(self, ids: np.ndarray, start: np.ndarray, levels: int):
         """For words in order (start: first of a text), yields for each level above words (node, probability, weight left)."""
-        nodes = ids
+        nodes, bits = ids, self.model.word_bits
         for level in range(1, levels):
             before = np.empty_like(nodes)
             before[0], before[1:] = NO, nodes[:-1]
             before[start] = NO
             known = np.flatnonzero(before >= 0)
-            unique, back = np.unique(before[known], return_inverse=True)
-            parents = self.parents(level - 1, unique)
+            # different pairs in order: each is sought once, and neighbours lie near each other in the files
+            pairs, back = np.unique((before[known] << bits) | (ids[known] + 1), return_inverse=True)
+            parent, word = pairs >> bits, (pairs & ((1 << bits) - 1)) - 1
+            new = np.diff(parent, prepend=-1) != 0
+            at = np.cumsum(new) - 1
+            parents = self.parents(level - 1, parent[new])
             node, prob, left = np.full(len(ids), NO), np.zeros(len(ids)), np.ones(len(ids))
-            left[known] = parents["left"][back]
-            node[known], prob[known] = self.successors(level, parents, back, ids[known])
+            found, p = self.successors(level, parents, at, word)
+            node[known], prob[known], left[known] = found[back], p[back], parents["left"][at][back]
             nodes = node
             yield before, node, prob, left
 
@@ -376,8 +379,8 @@ def _train_level(docs: DataFrame, model: Model, discount: float, min_count: int)
     """The level above the model's: one word more."""
     level, bits, folder = len(model.levels), model.word_bits, model.folder
     total = model.levels[-1].mass[-1]
-    if model.levels[-1].offsets[-1].bit_length() + bits > 64:
-        raise ValueError("keys of this level pass 64 bits: raise min_count")
+    if model.levels[-1].offsets[-1].bit_length() + bits > 63:
+        raise ValueError("keys of this level pass 63 bits: raise min_count")
 
     def count(batches):
         use = reader(model)

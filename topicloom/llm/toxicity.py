@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import Generations, session, text_column
+from topicloom.llm.common import Generations, cut, session, text_column
 
 TRAIN_ROWS, SEED, THRESHOLD, TERM_BITS = 20_000, 29, 0.3, 31
 FACTORS, MIN_ROWS, MIN_G2, MAX_TERMS, ROUNDS, STEP, L1, L2 = 4, 5, 24.0, 16_384, 300, 0.25, 2e-4, 1e-4
@@ -58,38 +58,30 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def screen(hashes: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The term hashes that tell the labels apart: G-squared of term against label, ascending hashes."""
-    known, at = np.unique(hashes, return_inverse=True)
-    rows, ones = np.bincount(at, minlength=len(known)).astype(float), np.bincount(at, y[row], minlength=len(known))
-    n, p = len(y), y.sum()
-    g2 = np.zeros(len(known))
-    for seen, total in ((ones, p), (rows - ones, n - p)):
-        for cell, margin in ((seen, rows), (total - seen, n - rows)):
-            expected = np.maximum(margin * total / max(n, 1), 1e-12)
-            g2 += 2 * np.where(cell > 0, cell * np.log(np.maximum(cell, 1e-12) / expected), 0)
-    g2[(rows < MIN_ROWS) | (g2 < MIN_G2)] = 0
-    best = np.lexsort((known, -g2))[:MAX_TERMS]
-    return np.sort(known[best[g2[best] > 0]])
-
-
-def fit(examples: list[tuple[int, np.ndarray]]) -> Machine:
-    """Of (label, distinct term hashes) pairs; equal examples count once, so copies don't lend their words weight."""
-    seen, kept = set(), []
-    for label, hashes in examples:
-        key = (label, np.sort(hashes).tobytes())
-        if key not in seen:
-            seen.add(key)
-            kept.append((label, hashes))
-    y = np.array([label for label, _ in kept], float)
+def _g2(rows: F.Column, ones: F.Column, n: int, p: int) -> F.Column:
+    """Likelihood-ratio statistic of a term's presence against the label."""
+    total = F.lit(0.0)
+    for seen, of in ((ones, p), (rows - ones, n - p)):
+        for cell, margin in ((seen, rows), (of - seen, n - rows)):
+            total = total + F.when(cell > 0, 2 * cell * F.log(cell * float(n) / (margin * float(max(of, 1))))).otherwise(0.0)
+    return total
+
+
+def screen(examples: DataFrame, n: int, p: int) -> np.ndarray:
+    """The term hashes, ascending, that tell the labels of examples (label, hashes) apart; MAX_TERMS at most."""
+    counts = examples.select("label", F.explode("hashes").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("ones")).where(F.col("rows") >= MIN_ROWS)
+    best = counts.withColumn("g2", _g2(F.col("rows"), F.col("ones"), n, p)).where(F.col("g2") >= MIN_G2).orderBy(F.desc(F.round("g2", 6)), "h").limit(MAX_TERMS)
+    return np.sort(np.array([r["h"] for r in best.select("h").collect()], np.int64))
+
+
+def fit(examples: list[tuple[int, np.ndarray]], known: np.ndarray) -> Machine:
+    """Of (label, places in `known` of the terms present) pairs."""
+    y = np.array([label for label, _ in examples], float)
     if not len(y) or not y.any():
         return Machine(-35.0, np.empty(0, np.int64), np.empty(0), np.empty((0, FACTORS)))
-    hashes = np.concatenate([h for _, h in kept]).astype(np.int64)
-    row = np.repeat(np.arange(len(kept)), [len(h) for _, h in kept])
-    known = screen(hashes, row, y)
-    at = np.searchsorted(known, hashes)
-    inside = (at < len(known)) & (known[np.minimum(at, len(known) - 1)] == hashes) if len(known) else np.zeros(len(hashes), bool)
-    at, row, n, m = at[inside], row[inside], len(y), len(known)
+    at = np.concatenate([x for _, x in examples]).astype(np.int64)
+    row = np.repeat(np.arange(len(examples)), [len(x) for _, x in examples])
+    n, m = len(y), len(known)
     bias, w, v = math.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)), np.zeros(m), np.random.default_rng(SEED).normal(0, 0.05, (m, FACTORS))
     past_b, past_w, past_v = 1e-8, np.full(m, 1e-8), np.full((m, FACTORS), 1e-8)
     for _ in range(ROUNDS):
@@ -110,20 +102,37 @@ def fit(examples: list[tuple[int, np.ndarray]]) -> Machine:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
-    """Of the labelled rows of docs; `rows`, the bound of the sample, also bounds what is broadcast and collected."""
+    """Of the labelled rows of docs; `rows`, the bound of the sample, also bounds what is broadcast and collected.
+
+    Terms are counted and screened where the texts are; the driver gets each example's few screened terms.
+    Equal examples count once, so that copies don't lend their words weight."""
     spark = session(docs.sparkSession)
     sample = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("label"))
     sample = sample.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(rows)
     sample = spark.createDataFrame(sample.collect(), "doc_id long, label int")
     joined = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_column(docs).cast("binary").alias("text")).join(F.broadcast(sample), "doc_id").select("label", "text")
 
-    def run(batches):
+    def hashed(batches):
         cache = Generations(term_hash, 100_000)
         for batch in batches:
-            found = [np.fromiter({cache[t] for t in terms(text)}, np.int32).tobytes() for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["label", "hashes"])
+            found = [sorted({cache[t] for t in terms(text)}) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["label", "hashes"])
+
+    examples = cut(joined.mapInArrow(hashed, "label int, hashes array<int>").groupBy("label", F.xxhash64("hashes").alias("key")).agg(F.first("hashes").alias("hashes")).select("label", "hashes"))
+    n, p = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not p:
+        return fit([], np.empty(0, np.int64))
+    known = screen(examples, n, p)
+
+    def placed(batches):
+        for batch in batches:
+            out = []
+            for hashes in batch.column(1).to_pylist():
+                at = np.searchsorted(known, hashes)
+                out.append(at[known[np.minimum(at, len(known) - 1)] == hashes].astype(np.int32).tobytes() if len(known) and len(hashes) else b"")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["label", "at"])
 
-    return fit([(r["label"], np.frombuffer(r["hashes"], np.int32)) for r in sorted(joined.mapInArrow(run, "label int, hashes binary").collect())])
+    return fit([(r["label"], np.frombuffer(r["at"], np.int32)) for r in sorted(examples.mapInArrow(placed, "label int, at binary").collect())], known)
 
 
 class Scorer:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from topicloom.llm.common import Generations, new_folder, session, text_column
 
 ORDER, DISCOUNT, MIN_COUNT, MIN_SHARDS, SHARD_TOKENS = 3, 0.8, 2, 8, 8_000_000
-FLUSH_TOKENS, SCALE, END, SEED = 3_000_000, 65535 / 16, b"\n", 5
+FLUSH_TOKENS, BLOCK_TOKENS, SCALE, END, SEED = 3_000_000, 1_000_000, 65535 / 16, b"\n", 5
 NO = np.int64(-1)
 
 
@@ -375,8 +375,8 @@ def _train_words(docs: DataFrame, folder: str, shards: int | None) -> Model:
     return Model(folder, parts, mass[-1], nodes[-1], n1 / (n1 + 2 * n2) if n1 else 0.5, [Level(nodes, mass)])
 
 
-def _train_level(docs: DataFrame, model: Model, discount: float, min_count: int) -> Level:
-    """The level above the model's: one word more."""
+def _train_level(encoded: DataFrame, model: Model, discount: float, min_count: int) -> Level:
+    """The level above the model's, one word more, of encoded training texts."""
     level, bits, folder = len(model.levels), model.word_bits, model.folder
     total = model.levels[-1].mass[-1]
     if model.levels[-1].offsets[-1].bit_length() + bits > 63:
@@ -385,19 +385,14 @@ def _train_level(docs: DataFrame, model: Model, discount: float, min_count: int)
     def count(batches):
         use = reader(model)
         held, size = [], 0
-        for batch in batches:
-            texts = [tokens(t) for t in batch.column(0).to_pylist()]
-            if not texts:
-                continue
-            ids = use.words([t for text in texts for t in text])
-            start = np.cumsum([0, *map(len, texts)])[:-1]
+        for _, ids, start in _blocks(batches):
             parent = ids
             for _, parent, _, _ in use.chains(ids, start, level):
                 pass
             before = np.empty_like(parent)
             before[0], before[1:] = NO, parent[:-1]
             before[start] = NO
-            known = before >= 0
+            known = (before >= 0) & (ids >= 0)
             held.append((before[known].astype(np.uint64) << np.uint64(bits)) | ids[known].astype(np.uint64))
             size += len(held[-1])
             if size > FLUSH_TOKENS:
@@ -429,7 +424,7 @@ def _train_level(docs: DataFrame, model: Model, discount: float, min_count: int)
         keys, counts = keys[keep], counts[keep]
         return _write_shard(use, level, shard, keys, counts, bits, discount)
 
-    rows = docs.mapInArrow(count, "shard int, data binary").groupBy("shard").applyInArrow(write, "shard int, nodes long, mass long, parents array<long>, sums array<double>").collect()
+    rows = encoded.select("doc_id", "ids").mapInArrow(count, "shard int, data binary").groupBy("shard").applyInArrow(write, "shard int, nodes long, mass long, parents array<long>, sums array<double>").collect()
     found = {r["shard"]: r for r in rows}
     for s in range(model.shards):
         if s not in found:
@@ -462,23 +457,86 @@ def _write_shard(use, level: int, shard: int, keys: np.ndarray, counts: np.ndarr
     return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": [len(keys)], "mass": [int(counts.sum())], "parents": pa.array([parents], pa.list_(pa.int64())), "sums": pa.array([sums], pa.list_(pa.float64()))})
 
 
-def train(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, min_count: int = MIN_COUNT, shards: int | None = None) -> Model:
-    """A model of all of docs, kept in the shared folder."""
-    spark = session(docs.sparkSession)
-    texts = docs.select(text_column(docs).cast("binary").alias("text"))
+def _blocks(batches):
+    """Of batches (doc_id, ids binary): doc_ids, the ids of many texts in order, where each text starts."""
+    held, size = [], 0
+
+    def joined():
+        data = [x for batch in held for x in batch.column(1).to_pylist()]
+        n = np.array(list(map(len, data)), np.int64) // 4
+        return pa.concat_arrays([batch.column(0) for batch in held]), np.frombuffer(b"".join(data), "<i4").astype(np.int64), np.cumsum(n) - n
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column(1).nbytes // 4
+        if size > BLOCK_TOKENS:
+            yield joined()
+            held, size = [], 0
+    if held:
+        yield joined()
+
+
+def encode(docs: DataFrame, model: Model) -> DataFrame:
+    """docs (doc_id, text, ...) with ids, little-endian int32 bytes (-1: unknown; the end comes last), for text."""
+    if model.v >= 1 << 31:
+        raise ValueError("ids pass 31 bits")
+    session(docs.sparkSession)
+    others = [c for c in docs.columns if c != "text"]
+
+    def run(batches):
+        use = reader(model)
+        for batch in batches:
+            texts = [tokens(t) for t in batch.column(len(others)).to_pylist()]
+            ids = use.words([t for text in texts for t in text]).astype("<i4").tobytes()
+            ends = (4 * np.cumsum([0, *map(len, texts)])).tolist()
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(others))), pa.array([ids[a:b] for a, b in zip(ends, ends[1:])], pa.binary())], names=[*others, "ids"])
+
+    rows = docs.select(*others, text_column(docs).cast("binary").alias("text"))
+    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", ids binary")
+
+
+def _words(texts: DataFrame, shards: int | None) -> Model:
+    spark = session(texts.sparkSession)
+    texts = texts.select(text_column(texts).cast("binary").alias("text"))
     if shards is None:
         size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shards = max(MIN_SHARDS, min(1 << 16, -(-size // (6 * SHARD_TOKENS))))
     model = _train_words(texts, new_folder(spark, "lm"), shards)
     _hand_out(spark, model)
+    return model
+
+
+def _levels(encoded: DataFrame, model: Model, order: int, discount: float, min_count: int) -> Model:
     for _ in range(1, order):
         if not model.levels[-1].mass[-1]:
             break
-        model.levels.append(_train_level(texts, model, discount, min_count))
-        _hand_out(spark, model)
+        model.levels.append(_train_level(encoded, model, discount, min_count))
+        _hand_out(encoded.sparkSession, model)
     return model
 
 
+def train(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, min_count: int = MIN_COUNT, shards: int | None = None) -> Model:
+    """A model of all of docs, kept in the shared folder."""
+    model = _words(docs, shards)
+    return _levels(_stored(encode(docs.select("doc_id", "text"), model), model), model, order, discount, min_count)
+
+
+def train_and_score(docs: DataFrame, learn: str, order: int = ORDER, discount: float = DISCOUNT, min_count: int = MIN_COUNT, shards: int | None = None) -> tuple[Model, DataFrame]:
+    """The model of the rows of docs whose boolean `learn` is true, and all rows' scores (with learn); texts are read twice."""
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), learn, "text")
+    model = _words(docs.where(learn), shards)
+    encoded = _stored(encode(docs, model), model)
+    model = _levels(encoded.where(learn), model, order, discount, min_count)
+    return model, score_encoded(encoded, model, learn)
+
+
+def _stored(encoded: DataFrame, model: Model) -> DataFrame:
+    path = f"{model.folder}-ids"
+    encoded.write.option("compression", "zstd").parquet(path)
+    return encoded.sparkSession.read.parquet(path)
+
+
 def _hand_out(spark, model: Model) -> None:
     """Where the shared folder is no path that executors can map, Spark fetches the files for them."""
     if _local(model.folder) is None:
@@ -508,22 +566,33 @@ def log10_probabilities(use: Reader, ids: np.ndarray, start: np.ndarray) -> tupl
     return base, np.log10(np.minimum(p, 1.0))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score of each row."""
-    session(docs.sparkSession)
+def score_encoded(encoded: DataFrame, model: Model, *others: str) -> DataFrame:
+    """doc_id, others, n_tokens, n_known, base_score, score of each row of encode()."""
+    session(encoded.sparkSession)
+    schema = {f.name: f.dataType.simpleString() for f in encoded.schema}
 
     def run(batches):
         use = reader(model)
-        for batch in batches:
-            texts = [tokens(t) for t in batch.column(1).to_pylist()]
-            if not texts:
-                continue
-            n = np.array(list(map(len, texts)), np.int64)
-            start = np.cumsum(n) - n
-            ids = use.words([t for text in texts for t in text])
+        kept: list = []
+
+        def seen():
+            for batch in batches:
+                if batch.num_rows:
+                    kept.append(batch.select(list(others)))
+                    yield batch.select(["doc_id", "ids"])
+
+        for doc_ids, ids, start in _blocks(seen()):
             base, own = log10_probabilities(use, ids, start)
             sums = [pa.array(np.add.reduceat(x, start)) for x in ((ids >= 0).astype(np.int64), base, own)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *sums], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+            beside = [pa.concat_arrays([b.column(c) for b in kept]) for c in others]
+            kept.clear()
+            n = np.diff(start, append=len(ids))
+            yield pa.RecordBatch.from_arrays([doc_ids, *beside, pa.array(n), *sums], names=["doc_id", *others, "n_tokens", "n_known", "base_score", "score"])
+
+    beside = "".join(f", `{c}` {schema[c]}" for c in others)
+    return encoded.select("doc_id", *others, "ids").mapInArrow(run, f"doc_id long{beside}, n_tokens long, n_known long, base_score double, score double")
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_column(docs).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score, score of each row of texts."""
+    return score_encoded(encode(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), model), model)

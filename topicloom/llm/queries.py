@@ -20,8 +20,8 @@ def unseen(doc_id: F.Column) -> F.Column:
 
 def op2_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = ngram.train(docs.where(~unseen(F.col("doc_id"))))
-    return ngram.score(docs, model).select("doc_id", unseen(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+    model, scores = ngram.train_and_score(docs.withColumn("learn", ~unseen(F.col("doc_id"))), "learn")
+    return scores.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

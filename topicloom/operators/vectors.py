@@ -7,11 +7,12 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from topicloom.functions import stats, text
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def blake_bucket(features: pd.Series, dim: pd.Series) -> pd.Series:
     """First 8 bytes of BLAKE2b, big-endian, modulo dim: no built-in has this digest."""
     return pd.Series([int.from_bytes(hashlib.blake2b(f.encode(), digest_size=8).digest(), "big") % d for f, d in zip(features, dim)])

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from topicloom.llm.common import Generations, cut, session, text_column, tokenizer_path
 
-WINDOW, END_ID, GROUP_PIECES, VOCABULARY = 2048, 1, 8192, "word_bpe_49k.json"
+WINDOW, END_ID, GROUP_PIECES, VOCABULARY = 2048, 1, 2048, "word_bpe_49k.json"
 CACHED_WORDS, PART = 600_000, b" \x02 "
 
 

@@ -1,7 +1,8 @@
 """Toxicity scores from a factorization machine over hashed terms.
 
-Terms are the distinct letter runs of the whole text, A-Z folded, hashed to 31 bits. The machine adds a
-bias, a weight for each term and, for each pair of terms in a text, the inner product of their factors,
+Terms are the distinct letter runs of the whole text, A-Z folded, and their beginnings (languages that
+inflect an insult share its stem), each also as a term of its own where two, and where three or more, of
+the text's words have it; all are hashed to 31 bits. The machine adds a bias, a weight for each term and, for each pair of terms in a text, the inner product of their factors,
 so it learns what a pair says beyond its parts (an insult beside the mention of a group). It is trained
 on at most TRAIN_ROWS labelled rows: those of smallest seeded hash among the rows that the caller leaves
 in. Their terms are screened by a likelihood-ratio test against the label and the weights shrink by L1, so
@@ -15,6 +16,7 @@ score is 0. An empty table gives an empty result; further columns are ignored or
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from topicloom.llm.common import Generations, cut, session, text_column
 
 TRAIN_ROWS, SEED, THRESHOLD, TERM_BITS = 20_000, 29, 0.3, 31
+MASK, STEMS = (1 << TERM_BITS) - 1, (4, 5, 6, 7, 8)
 FACTORS, MIN_ROWS, MIN_G2, MAX_TERMS, ROUNDS, STEP, L1, L2 = 4, 5, 24.0, 16_384, 300, 0.25, 2e-4, 1e-4
 #: ASCII letters fold to lower case, other ASCII parts words, the bytes of other letters stay.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -36,7 +39,24 @@ def terms(text: bytes) -> set[bytes]:
 
 
 def term_hash(term: bytes) -> int:
-    return xxhash.xxh32_intdigest(term, SEED) & ((1 << TERM_BITS) - 1)
+    return xxhash.xxh32_intdigest(term, SEED) & MASK
+
+
+def word_hashes(word: bytes) -> tuple[int, ...]:
+    """Of a word and its beginnings, by bytes of UTF-8."""
+    return (term_hash(word), *(term_hash(b"^" + word[:n]) for n in STEMS if len(word) >= n))
+
+
+def again(hashes, times: int):
+    """The term that says that so many words share a term."""
+    return (hashes * 0x9E3779B1 + times * 0x85EBCA6B) & MASK
+
+
+def text_hashes(words: set[bytes], cache) -> np.ndarray:
+    if not words:
+        return np.empty(0, np.int64)
+    found, n = np.unique(np.fromiter((h for w in words for h in cache[w]), np.int64), return_counts=True)
+    return np.unique(np.concatenate([found, again(found[n >= 2], 2), again(found[n >= 3], 3)]))
 
 
 @dataclass
@@ -81,8 +101,15 @@ def fit(examples: list[tuple[int, np.ndarray]], known: np.ndarray) -> Machine:
         return Machine(-35.0, np.empty(0, np.int64), np.empty(0), np.empty((0, FACTORS)))
     at = np.concatenate([x for _, x in examples]).astype(np.int64)
     row = np.repeat(np.arange(len(examples)), [len(x) for _, x in examples])
+    # of terms that stand in the same texts (a stem and its parts) one serves
+    order = np.argsort(at, kind="stable")
+    ends = np.searchsorted(at[order], np.arange(len(known) + 1))
+    first: dict[bytes, int] = {}
+    own = np.array([first.setdefault(np.sort(row[order[a:b]]).tobytes(), k) == k for k, (a, b) in enumerate(zip(ends, ends[1:]))], bool)
+    here = own[at] if len(at) else np.empty(0, bool)
+    at, row, known = (np.cumsum(own) - 1)[at[here]], row[here], known[own] if len(known) else known
     n, m = len(y), len(known)
-    bias, w, v = math.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)), np.zeros(m), np.random.default_rng(SEED).normal(0, 0.05, (m, FACTORS))
+    bias, w, v = math.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)), np.zeros(m), np.random.default_rng(SEED).normal(0, 0.01, (m, FACTORS))
     past_b, past_w, past_v = 1e-8, np.full(m, 1e-8), np.full((m, FACTORS), 1e-8)
     for _ in range(ROUNDS):
         sums = np.stack([np.bincount(row, v[at, f], minlength=n) for f in range(FACTORS)], 1)
@@ -95,9 +122,8 @@ def fit(examples: list[tuple[int, np.ndarray]], known: np.ndarray) -> Machine:
         rate = STEP / np.sqrt(past_w)
         w = w - rate * gw
         w = np.sign(w) * np.maximum(np.abs(w) - rate * L1, 0)
-        v = v - 0.2 * STEP * gv / np.sqrt(past_v)
-    v[w == 0] = 0
-    used = w != 0
+        v = v - 0.1 * STEP * gv / np.sqrt(past_v)
+    used = (w != 0) | (np.abs(v).max(1, initial=0) > 0.05)
     return Machine(float(bias), known[used], w[used], v[used])
 
 
@@ -113,9 +139,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     joined = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_column(docs).cast("binary").alias("text")).join(F.broadcast(sample), "doc_id").select("label", "text")
 
     def hashed(batches):
-        cache = Generations(term_hash, 100_000)
+        cache = Generations(word_hashes, 100_000)
         for batch in batches:
-            found = [sorted({cache[t] for t in terms(text)}) for text in batch.column(1).to_pylist()]
+            found = [text_hashes(terms(text), cache).astype(np.int32) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["label", "hashes"])
 
     examples = cut(joined.mapInArrow(hashed, "label int, hashes array<int>").groupBy("label", F.xxhash64("hashes").alias("key")).agg(F.first("hashes").alias("hashes")).select("label", "hashes"))
@@ -136,17 +162,21 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
 
 
 class Scorer:
-    """Scores texts; one cache of a term's place in the machine for all texts of a task."""
+    """Scores texts; one cache of the terms of a word that matter to the machine for all texts of a task."""
 
     def __init__(self, machine: Machine):
         self.machine, self.place = machine, {int(h): k for k, h in enumerate(machine.known)}
-        self.cache = Generations(lambda t: self.place.get(term_hash(t), -1), 200_000)
+        self.cache = Generations(self._of, 200_000)
         self.empty = float(sigmoid(machine.bias))
 
+    def _of(self, word: bytes) -> tuple[int, ...]:
+        return tuple(h for h in word_hashes(word) if h in self.place or again(h, 2) in self.place or again(h, 3) in self.place)
+
     def __call__(self, text: bytes) -> float:
-        at = set(map(self.cache.__getitem__, terms(text)))
-        at.discard(-1)
-        return float(sigmoid(self.machine.margin(np.array(sorted(at))))) if at else self.empty
+        counts = Counter(h for hashes in filter(None, map(self.cache.__getitem__, terms(text))) for h in hashes)
+        present = {h for h in counts} | {again(h, 2) for h, n in counts.items() if n >= 2} | {again(h, 3) for h, n in counts.items() if n >= 3}
+        at = sorted(self.place[h] for h in present if h in self.place)
+        return float(sigmoid(self.machine.margin(np.array(at)))) if at else self.empty
 
 
 def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:

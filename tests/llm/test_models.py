@@ -194,6 +194,8 @@ def test_disclosing_terms(spark, frame):
     rows = {r.doc_id: r for r in pii.spans(frame(texts)).collect()}
     found = {texts[i][int(s.split(":")[1]) : int(s.split(":")[2])] for i in rows for s in rows[i].spans.split(",") if s.startswith("term")}
     assert found == {"smithson"}
+    clashing = frame(texts).withColumn("_text", F.lit("kept")).withColumn("_email", F.lit(1))
+    assert pii.sanitised(clashing).columns == clashing.columns and {(r._text, r._email) for r in pii.sanitised(clashing).collect()} == {("kept", 1)}
     clean = {r.doc_id: r for r in pii.sanitised(frame(texts)).collect()}
     assert clean[0].text == "Line alpha of john  has [EMAIL] and alpha." and clean[0].n_chars == len(clean[0].text)
     assert all(brute_spans(r.text) == "" for r in clean.values()) and clean[100].text == texts[100]

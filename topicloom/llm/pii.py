@@ -177,8 +177,8 @@ def spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPOR
 
 def sanitised(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """docs with every entity's text generalised to [EMAIL], [IP], [CARD] or [PHONE] and disclosing terms removed; n_chars follows. Of spans that overlap, the first in the text (the longer, if they start together) is written."""
-    columns = docs.columns
-    rows = with_spans(docs, disclosure, support)
+    # the row travels in one column, so that no name of its own meets one of the work's
+    rows = with_spans(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["text"].alias("text")), disclosure, support)
     marked = F.concat(*[_marked(k) for k in (*KINDS, "term")])
     rows = rows.withColumn("_marked", F.sort_array(marked))
     written = F.expr(
@@ -188,7 +188,8 @@ def sanitised(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SU
         " a -> concat(a.done, substring(_text, cast(a.at + 1 as int))))"
     )
     changed = F.size("_marked") > 0
-    rows = rows.withColumn("text", F.when(changed, written).otherwise(F.col("text")))
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rows.select(*columns)
+    rows = rows.withColumn("_written", F.when(changed, written).otherwise(F.col("text")))
+    new = F.col("_row").withField("text", F.col("_written"))
+    if "n_chars" in docs.columns:
+        new = new.withField("n_chars", F.when(changed, F.length("_written").cast("long")).otherwise(F.col("_row.n_chars")))
+    return rows.select(new.alias("_row")).select("_row.*")

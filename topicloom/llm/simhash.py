@@ -80,7 +80,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = 2) -> D
 
 def representatives(docs: DataFrame, words: int = WORDS, max_bits: int = 2) -> DataFrame:
     """docs without the near copies: of each component the row of the smallest doc_id stays (of rows that repeat it, one; rows of a null doc_id, which nothing can name, all)."""
-    found = cut(near_duplicates(docs, words, max_bits))
+    return kept(docs, cut(near_duplicates(docs, words, max_bits)))
+
+
+def kept(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of docs and their (doc_id, component_id): the rows whose doc_id names its component, one each, and all of a null doc_id."""
     keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     unnamed, named = docs.where("doc_id is null"), docs.where("doc_id is not null")
     if not keep.where("rows > 1").isEmpty():  # only then is it worth dealing the texts out by id

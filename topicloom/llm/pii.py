@@ -1,12 +1,16 @@
 """Personal data: fixed patterns, and terms that give a protected entity away.
 
 DataFrame functions only. The patterns find e-mail and IP addresses, card and phone numbers; each found
-value is a protected entity. The information-theoretic part asks which terms disclose an entity: over
-the corpus's lines, a term t and an entity e that share lines have the pointwise mutual information
-log2(N * n(t, e) / (n(t) * n(e))), at most the entity's information content log2(N / n(e)), which it
-reaches if t appears with e only. A term whose share of that content is DISCLOSURE or more, seen with e in
-SUPPORT different lines or more (a copied line counts once: a copy is no evidence), is a span of its own
-wherever it stands in a document that holds e. Sanitising generalises entities to their kind and removes
+value is a protected entity. The information-theoretic part asks which terms disclose an entity. A
+line's context is the line and its two neighbours. A term t and an entity e that share contexts have the
+pointwise mutual information log2(N * n(t, e) / (n(t) * n(e))), at most the entity's information content
+log2(N / n(e)), which it reaches if t appears with e only. A term whose share of that content is DISCLOSURE
+or more, and whose meetings with e are no chance, is a span of its own
+wherever it stands in a document that holds e. No chance means: were e's d different lines (a copied line counts
+once: a copy is no evidence) drawn from all lines, x or more of them would have t with a probability of
+exp(-d KL(x/d || n(t)/N)) at most, and that times the number of term and line pairs looked at is CHANCE at
+most. So no number of lines is fixed: two lines suffice for a rare term, and one does where entities are
+so rare that a coincidence is not expected. Sanitising generalises entities to their kind and removes
 disclosing terms.
 
 Patterns are written so that Java's matcher neither recurses nor rescans: possessive where nothing can
@@ -19,13 +23,15 @@ empty table gives an empty result; further columns are ignored by `spans`, kept
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.llm.common import cut, fenced
 
 KINDS = ("email", "ip", "card", "phone")
-DISCLOSURE, SUPPORT, BROADCAST_ROWS = 0.75, 3, 20_000
+DISCLOSURE, CHANCE, BROADCAST_ROWS = 0.75, 0.01, 20_000
 #: What the contract's patterns match, for Java.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -97,46 +103,64 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), value)
 
 
-def _terms(line: str) -> Column:
+def _terms(line: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def _contexts(rows: DataFrame, text: str) -> DataFrame:
+    """rows with _near: of each line that isn't empty the terms of the line and its neighbours."""
+    rows = fenced(rows.withColumn("_lines", F.transform(F.filter(F.split(text, "\n"), lambda x: x != ""), _terms)), ["_lines"])
+    near = F.expr("transform(_lines, (x, k) -> array_distinct(flatten(slice(_lines, greatest(k, 1), if(k = 0, 2, 3)))))")
+    return fenced(rows.withColumn("_near", near), ["_near"]).drop("_lines")
+
+
+def _unlikely(x: Column, d: Column, q: Column, bound: float) -> Column:
+    """Whether x or more of d draws hit, at a rate of q, with a probability of bound at most (Chernoff's)."""
+    rate = x / d
+    rest = F.when(rate < 1, (1 - rate) * F.log((1 - rate) / (1 - q))).otherwise(0.0)
+    return (rate > q) & (-d * (rate * F.log(rate / q) + rest) <= math.log(bound))
+
+
+def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """(entity, term) pairs whose term discloses the entity, over all lines of docs."""
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    lines = docs.select(F.explode(F.split(text, "\n")).alias("text")).where("text <> ''")
-    # lines that hold an entity are few: patterns are tried where a hint stands
-    held = with_base_spans(lines.where(F.col("text").rlike("[0-9@]")))
-    entities = F.array_distinct(F.concat(*[F.transform(f"_{k}", _on(_entity, k)) for k in KINDS]))
-    held = held.withColumn("entities", entities).where("size(entities) > 0").select("entities", F.col("_text").alias("line"), F.xxhash64("_text").alias("h"))
-    held = cut(held)
-    seen = held.select(F.explode("entities").alias("entity"), "h")
-    # an entity seen in fewer different lines has no term with enough support
-    known = seen.groupBy("entity", "h").agg(F.count(F.lit(1)).alias("n")).groupBy("entity").agg(F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("different")).where(F.col("different") >= support)
-    known = cut(known.select("entity", "n_e"))
-    # of each entity and different line: its terms, with the line's copies as weight
-    by_line = held.select(F.explode("entities").alias("entity"), "line", "h").groupBy("entity", "h").agg(F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
-    shared = by_line.join(known.select("entity"), "entity").select("entity", "n", F.explode(_terms("line")).alias("term"))
-    shared = shared.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("different")).where(F.col("different") >= support).select("entity", "term", "n_te")
+    rows = with_base_spans(docs.select("text"))
+    placed = lambda kind: lambda x: F.struct(_entity(kind, x["value"]).alias("entity"), x["s"].alias("s"))
+    spans = F.concat(*[F.transform(f"_{k}", placed(k)) for k in KINDS])
+    held = _contexts(rows.withColumn("_spans", spans).where("size(_spans) > 0"), "_text")
+    # the line that a span starts in, among those that aren't empty
+    held = held.withColumn("_spans", F.expr("array_distinct(transform(_spans, x -> struct(x.entity as entity, size(filter(split(substring(_text, 1, cast(x.s + 1 as int)), '\n'), l -> l <> '')) - 1 as k)))"))
+    held = held.select(F.inline("_spans"), F.filter(F.split("_text", "\n"), lambda x: x != "").alias("lines"), "_near")
+    held = cut(held.select("entity", F.xxhash64(F.expr("lines[k]")).alias("h"), F.expr("_near[k]").alias("terms")))
+    by_line = held.groupBy("entity", "h").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("terms")).alias("terms"))
+    known = cut(by_line.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("d"), F.sum("terms").alias("looked")))
+    looked = known.agg(F.sum("looked")).head()[0] or 0
+    if not looked:
+        return known.select("entity", F.lit("").alias("term")).limit(0)
+    n = float(docs.select(F.size(F.filter(F.split(F.coalesce(docs["text"].cast("string"), F.lit("")), "\n"), lambda x: x != "")).alias("n")).agg(F.sum("n")).head()[0])
+    # an entity, then a term, goes no further if it could not pass even with as few lines as it has itself
+    bound = min(chance / looked, 1.0)
+    able = known.where(_unlikely(F.col("d"), F.col("d"), F.col("d") / n, bound)).select("entity", "n_e", "d")
+    shared = held.join(able.select("entity"), "entity").select("entity", "h", F.explode("terms").alias("term"))
+    shared = shared.groupBy("entity", "term", "h").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("x"))
+    shared = shared.join(able, "entity").where(_unlikely(F.col("x"), F.col("d"), F.col("x") / n, bound))
     # parts of the entity itself are inside its span
     shared = cut(shared.where(~F.contains(F.col("entity"), F.col("term"))))
     candidates = shared.select("term").distinct()
     few = candidates.limit(BROADCAST_ROWS + 1).count()
     if not few:
         return shared.select("entity", "term")
-    totals = lines.select(F.explode(_terms("text")).alias("term"))
+    totals = _contexts(rows.select("_text"), "_text").select(F.explode("_near").alias("terms")).select(F.explode("terms").alias("term"))
     totals = totals.join(F.broadcast(candidates), "term", "left_semi").groupBy("term") if few <= BROADCAST_ROWS else totals.groupBy("term")
     totals = totals.agg(F.count(F.lit(1)).alias("n_t"))
-    n = float(lines.count())
-    scored = shared.join(totals, "term").join(known, "entity")
+    scored = shared.join(totals, "term").where(_unlikely(F.col("x"), F.col("d"), F.col("n_t") / n, bound))
     content = F.log2(F.lit(n) / F.col("n_e"))
     information = F.log2(F.lit(n) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     return scored.where((content > 0) & (information >= disclosure * content)).select("entity", "term")
 
 
-def with_spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def with_spans(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """docs with the base kinds' columns and _term: the places of disclosing terms."""
-    found = cut(disclosing(docs, disclosure, support))
+    found = cut(disclosing(docs, disclosure, chance))
     rows = with_base_spans(docs)
     none = F.expr("cast(array() as array<struct<s:bigint,e:bigint,value:string>>)")
     if found.isEmpty():
@@ -167,18 +191,18 @@ def _marked(kind: str) -> Column:
     return F.transform(f"_{kind}", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), by.alias("by")))
 
 
-def spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def spans(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term of each row."""
-    rows = with_spans(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), disclosure, support)
+    rows = with_spans(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), disclosure, chance)
     base = F.array_join(F.concat(*[_listed(k) for k in KINDS]), ",")
     everything = F.array_join(F.concat(*[_listed(k) for k in (*KINDS, "term")]), ",")
     return rows.select("doc_id", *[F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in KINDS], F.sha2(base, 256).alias("base_sha256"), everything.alias("spans"), F.size("_term").cast("long").alias("n_term"))
 
 
-def sanitised(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def sanitised(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """docs with every entity's text generalised to [EMAIL], [IP], [CARD] or [PHONE] and disclosing terms removed; n_chars follows. Of spans that overlap, the first in the text (the longer, if they start together) is written."""
     # the row travels in one column, so that no name of its own meets one of the work's
-    rows = with_spans(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["text"].alias("text")), disclosure, support)
+    rows = with_spans(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["text"].alias("text")), disclosure, chance)
     marked = F.concat(*[_marked(k) for k in (*KINDS, "term")])
     rows = rows.withColumn("_marked", F.sort_array(marked))
     written = F.expr(

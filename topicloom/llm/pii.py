@@ -7,7 +7,7 @@ pointwise mutual information log2(N * n(t, e) / (n(t) * n(e))), at most the enti
 log2(N / n(e)), which it reaches if t appears with e only. A term whose share of that content is DISCLOSURE
 or more, and whose meetings with e are no chance, is a span of its own
 wherever it stands in a document that holds e. No chance means: were e's d different lines (a copied line counts
-once: a copy is no evidence) drawn from all lines, x or more of them would have t with a probability of
+once: a copy is no evidence; what base spans hold is blank) drawn from all lines, x or more of them would have t with a probability of
 exp(-d KL(x/d || n(t)/N)) at most, and that times the number of term and line pairs looked at is CHANCE at
 most. So no number of lines is fixed: two lines suffice for a rare term, and one does where entities are
 so rare that a coincidence is not expected. Sanitising generalises entities to their kind and removes
@@ -107,6 +107,18 @@ def _terms(line: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(TERM), F.lit(0)), F.lower))
 
 
+def _cleared(rows: DataFrame) -> DataFrame:
+    """rows with _clear: the text with its base spans blank, so that parts of a value are no terms beside it but the same words in the prose are."""
+    spans = F.sort_array(F.concat(*[F.col(f"_{k}") for k in KINDS]))
+    blank = F.expr(
+        "aggregate(_found, struct(cast(0 as bigint) as at, '' as done),"
+        " (a, x) -> if(x.e <= a.at, a, struct(x.e as at, concat(a.done, substring(_text, cast(a.at + 1 as int), cast(greatest(x.s - a.at, 0) as int)), repeat(' ', cast(x.e - greatest(a.at, x.s) as int))) as done)),"
+        " a -> concat(a.done, substring(_text, cast(a.at + 1 as int))))"
+    )
+    rows = rows.withColumn("_found", spans)
+    return fenced(rows.withColumn("_clear", F.when(F.size("_found") > 0, blank).otherwise(F.col("_text"))), ["_clear"]).drop("_found")
+
+
 def _contexts(rows: DataFrame, text: str) -> DataFrame:
     """rows with _near: of each line that isn't empty the terms of the line and its neighbours."""
     rows = fenced(rows.withColumn("_lines", F.transform(F.filter(F.split(text, "\n"), lambda x: x != ""), _terms)), ["_lines"])
@@ -123,10 +135,10 @@ def _unlikely(x: Column, d: Column, q: Column, bound: float) -> Column:
 
 def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """(entity, term) pairs whose term discloses the entity, over all lines of docs."""
-    rows = with_base_spans(docs.select("text"))
+    rows = _cleared(with_base_spans(docs.select("text")))
     placed = lambda kind: lambda x: F.struct(_entity(kind, x["value"]).alias("entity"), x["s"].alias("s"))
     spans = F.concat(*[F.transform(f"_{k}", placed(k)) for k in KINDS])
-    held = _contexts(rows.withColumn("_spans", spans).where("size(_spans) > 0"), "_text")
+    held = _contexts(rows.withColumn("_spans", spans).where("size(_spans) > 0"), "_clear")
     # the line that a span starts in, among those that aren't empty
     held = held.withColumn("_spans", F.expr("array_distinct(transform(_spans, x -> struct(x.entity as entity, size(filter(split(substring(_text, 1, cast(x.s + 1 as int)), '\n'), l -> l <> '')) - 1 as k)))"))
     held = held.select(F.inline("_spans"), F.filter(F.split("_text", "\n"), lambda x: x != "").alias("lines"), "_near")
@@ -143,13 +155,12 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float =
     shared = held.join(able.select("entity"), "entity").select("entity", "h", F.explode("terms").alias("term"))
     shared = shared.groupBy("entity", "term", "h").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("x"))
     shared = shared.join(able, "entity").where(_unlikely(F.col("x"), F.col("d"), F.col("x") / n, bound))
-    # parts of the entity itself are inside its span
-    shared = cut(shared.where(~F.contains(F.col("entity"), F.col("term"))))
+    shared = cut(shared)
     candidates = shared.select("term").distinct()
     few = candidates.limit(BROADCAST_ROWS + 1).count()
     if not few:
         return shared.select("entity", "term")
-    totals = _contexts(rows.select("_text"), "_text").select(F.explode("_near").alias("terms")).select(F.explode("terms").alias("term"))
+    totals = _contexts(rows.select("_clear"), "_clear").select(F.explode("_near").alias("terms")).select(F.explode("terms").alias("term"))
     totals = totals.join(F.broadcast(candidates), "term", "left_semi").groupBy("term") if few <= BROADCAST_ROWS else totals.groupBy("term")
     totals = totals.agg(F.count(F.lit(1)).alias("n_t"))
     scored = shared.join(totals, "term").where(_unlikely(F.col("x"), F.col("d"), F.col("n_t") / n, bound))

@@ -7,7 +7,8 @@ search relative to its context, guided by interpolation as ids are uniform. Node
 probability, and parents the weight that is left for the shorter context, quantised to 16 bits of
 log10. Smoothing is interpolated absolute discounting: p(w|c) = max(n(cw) - D, 0)/n(c) + left(c) p(w|c'),
 down to words, where the discounted mass goes to the unknown word. N-grams of two words and more that
-were seen once are counted, but not kept: their mass goes to the shorter context, so sums stay one.
+were seen less than min_count times are counted, but not kept: their mass goes to the shorter context, so
+sums stay one. The query keeps all (min_count 1).
 
 A level is cut into shards of equal training mass, a heavy parent's successors over several; tasks count
 blocks of texts into sorted key lists, which meet at their shard. Shards are files in the shared folder
@@ -375,7 +376,7 @@ def _train_words(docs: DataFrame, folder: str, shards: int | None) -> Model:
     return Model(folder, parts, mass[-1], nodes[-1], n1 / (n1 + 2 * n2) if n1 else 0.5, [Level(nodes, mass)])
 
 
-def _train_level(encoded: DataFrame, model: Model, discount: float, min_count: int) -> Level:
+def _train_level(encoded: DataFrame, model: Model, discount: float, min_count: int, top: bool = False) -> Level:
     """The level above the model's, one word more, of encoded training texts."""
     level, bits, folder = len(model.levels), model.word_bits, model.folder
     total = model.levels[-1].mass[-1]
@@ -422,13 +423,13 @@ def _train_level(encoded: DataFrame, model: Model, discount: float, min_count: i
         keys, counts = keys[heads], np.add.reduceat(counts, heads)
         keep = counts >= min_count
         keys, counts = keys[keep], counts[keep]
-        return _write_shard(use, level, shard, keys, counts, bits, discount)
+        return _write_shard(use, level, shard, keys, counts, bits, discount, top=top)
 
     rows = encoded.select("doc_id", "ids").mapInArrow(count, "shard int, data binary").groupBy("shard").applyInArrow(write, "shard int, nodes long, mass long, parents array<long>, sums array<double>").collect()
     found = {r["shard"]: r for r in rows}
     for s in range(model.shards):
         if s not in found:
-            _write_shard(None, level, s, np.empty(0, np.uint64), np.empty(0, np.int64), bits, discount, folder)
+            _write_shard(None, level, s, np.empty(0, np.uint64), np.empty(0, np.int64), bits, discount, folder, top)
     get = lambda s, k: found[s][k] if s in found else 0
     shared: dict[int, float] = {}
     for r in rows:
@@ -437,7 +438,7 @@ def _train_level(encoded: DataFrame, model: Model, discount: float, min_count: i
     return Level(np.cumsum([0, *(get(s, "nodes") for s in range(model.shards))]).tolist(), np.cumsum([0, *(get(s, "mass") for s in range(model.shards))]).tolist(), shared)
 
 
-def _write_shard(use, level: int, shard: int, keys: np.ndarray, counts: np.ndarray, bits: int, discount: float, folder: str | None = None) -> pa.Table:
+def _write_shard(use, level: int, shard: int, keys: np.ndarray, counts: np.ndarray, bits: int, discount: float, folder: str | None = None, top: bool = False) -> pa.Table:
     parent, word = (keys >> np.uint64(bits)).astype(np.int64), (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
     parents, sums, first = [], [], 0
     prob, left, pointers = np.empty(0, np.uint16), np.empty(0, np.uint16), np.zeros(1, np.int64)
@@ -452,7 +453,9 @@ def _write_shard(use, level: int, shard: int, keys: np.ndarray, counts: np.ndarr
         left[unique - first] = quantise((n - held) / n)
         pointers = np.searchsorted(parent, np.arange(first, last + 2))
         parents, sums = ([first, last], [float(held[0]), float(held[-1])]) if first != last else ([first], [float(held[0])])
-    arrays = {"first_parent": np.array([first]), "left": left, "word": word.astype(np.uint32 if bits <= 32 else np.uint64), "prob": prob, "count": counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64), "before_count": (np.cumsum(counts) - counts).astype(np.int64)}
+    arrays = {"first_parent": np.array([first]), "left": left, "word": word.astype(np.uint32 if bits <= 32 else np.uint64), "prob": prob}
+    if not top:  # only the level above reads them
+        arrays |= {"count": counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64), "before_count": (np.cumsum(counts) - counts).astype(np.int64)}
     _save(folder or use.model.folder, f"{level + 1}-{shard}", arrays | ef_encode(pointers))
     return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": [len(keys)], "mass": [int(counts.sum())], "parents": pa.array([parents], pa.list_(pa.int64())), "sums": pa.array([sums], pa.list_(pa.float64()))})
 
@@ -511,7 +514,7 @@ def _levels(encoded: DataFrame, model: Model, order: int, discount: float, min_c
     for _ in range(1, order):
         if not model.levels[-1].mass[-1]:
             break
-        model.levels.append(_train_level(encoded, model, discount, min_count))
+        model.levels.append(_train_level(encoded, model, discount, min_count, len(model.levels) + 1 == order))
         _hand_out(encoded.sparkSession, model)
     return model
 

@@ -20,7 +20,7 @@ def unseen(doc_id: F.Column) -> F.Column:
 
 def op2_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model, scores = ngram.train_and_score(docs.withColumn("learn", ~unseen(F.col("doc_id"))), "learn")
+    model, scores = ngram.train_and_score(docs.withColumn("learn", ~unseen(F.col("doc_id"))), "learn", min_count=1)
     return scores.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 

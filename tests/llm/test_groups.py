@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from topicloom.llm import queries, sharding, simhash, topk
+from topicloom.llm import jaccard, queries, sharding, simhash, topk
 from topicloom.llm.components import components
 
 
@@ -62,11 +63,48 @@ def test_links_hold_near_fingerprints(spark):
         x = rng.getrandbits(64)
         fps += [x, x ^ 1 << rng.randrange(64), x ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64)]
     fps = sorted(set(fps))
-    signed = [(i, x - 2**64 if x >= 2**63 else x) for i, x in enumerate(fps)]
-    found = components(simhash.links(spark.createDataFrame(signed, "rep long, fp long")))
-    roots = {r.node: r.root for r in found.collect()}
+    signed = [(x - 2**64 if x >= 2**63 else x,) for x in fps]
+    frame = spark.createDataFrame(signed, "fp long")
     want = brute_components(dict(enumerate(fps)))
-    assert {i: roots.get(i, i) for i in want} == want
+    for hot in (simhash.HOT, 1):  # buckets that are hot lose no link
+        roots = {r.node % 2**64: r.root for r in components(simhash.links(frame, hot=hot)).collect()}
+        groups = {}
+        for i, x in enumerate(fps):
+            groups.setdefault(roots.get(x, x - 2**64 if x >= 2**63 else x), []).append(i)
+        assert {i: min(g) for g in groups.values() for i in g} == want
+
+
+@pytest.mark.parametrize("max_bits", [1, 4])
+def test_links_at_other_distances(spark, max_bits):
+    rng = random.Random(max_bits)
+    fps = set()
+    for _ in range(30):
+        x = rng.getrandbits(64)
+        fps |= {x, *(x ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(6))) for _ in range(6))}
+    frame = spark.createDataFrame([(x - 2**64 if x >= 2**63 else x,) for x in fps], "fp long")
+    root = {x: x for x in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in fps:
+        for b in fps:
+            if a < b and bin(a ^ b).count("1") <= max_bits:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    want = {frozenset(y for y in fps if find(y) == r) for r in map(find, fps)}
+    for hot in (simhash.HOT, 2) if max_bits < 3 else (simhash.HOT,):
+        roots = {r.node % 2**64: r.root % 2**64 for r in components(simhash.links(frame, max_bits, hot)).collect()}
+        assert {frozenset(y for y in fps if roots.get(y, y) == r) for r in (roots.get(x, x) for x in fps)} == want
+
+
+def test_rows_that_share_an_id_keep_different_texts(spark):
+    texts = ["a b c d e f g", "q r s t u v w", "q r s t u v w", "one two three four five six"]
+    df = spark.createDataFrame([(1, texts[0], 5), (1, texts[1], 6), (2, texts[2], 7), (1, texts[0], 8), (3, texts[3], 9)], "doc_id long, text string, fp long")
+    for module in (simhash, jaccard):
+        assert sorted((r.doc_id, r.text) for r in module.representatives(df).collect()) == [(1, texts[0]), (1, texts[1]), (3, texts[3])]
 
 
 def test_components_of_chains_and_stars(spark):

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes of an Arrow batch: bounds a Python worker's memory whatever the length of the texts.
 ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
+#: Rows of one key that a join may gather in a task; rows that may be broadcast; parts of a key beyond them.
+HOT_ROWS, BROADCAST_ROWS, SALTS = 20_000, 20_000, 16
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -25,9 +27,11 @@ def session(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or the warehouse's where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, where that is unset the warehouse's, in local mode only."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
@@ -50,6 +54,25 @@ def fenced(df: DataFrame, computed: list[str]) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in computed], F.inline(F.array(F.struct(*computed))))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out evenly over as many tasks as shuffles have: for rows that are about to multiply."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def beside_hot(rows: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """rows joined with `one`, which holds a key once. Keys of over HOT_ROWS of the rows are taken out by broadcast (of these there are few; if not, they are dealt out over salts), so that none gathers in a task."""
+    hot = cut(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS).select(key))
+    if hot.isEmpty():
+        return rows.join(one, key, how)
+    apart = one.join(hot, key, "left_semi")
+    if hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        hot, busy = F.broadcast(hot), rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(apart), key, how)
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+        busy = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")).join(hot.select(key, salts), [key, "_salt"], "left_semi").join(apart.select("*", salts), [key, "_salt"], how).drop("_salt")
+    return rows.join(hot, key, "left_anti").join(one, key, how).unionByName(busy)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return session(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

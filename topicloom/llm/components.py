@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import cut
+from topicloom.llm.common import beside_hot, cut
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -28,7 +28,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         hooks = cut(hooks)
         while True:
             up = hooks.select(F.col("node").alias("root"), F.col("root").alias("up"))
-            jumped = cut(hooks.join(up, "root").select("node", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")))
+            jumped = cut(beside_hot(hooks, up, "root").select("node", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")))
             hooks = jumped.select("node", "root")
             if jumped.where("moved").isEmpty():
                 break
@@ -36,7 +36,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             labels = hooks
         else:
             up = hooks.select(F.col("node").alias("root"), F.col("root").alias("up"))
-            labels = cut(labels.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
+            labels = cut(beside_hot(labels, up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
         at_u, at_v = hooks.select(F.col("node").alias("u"), F.col("root").alias("ru")), hooks.select(F.col("node").alias("v"), F.col("root").alias("rv"))
         moved = live.join(at_u, "u").join(at_v, "v").where("ru <> rv")
         live = cut(moved.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct())

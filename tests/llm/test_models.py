@@ -24,6 +24,13 @@ def test_elias_fano():
         ef = ngram.ef_encode(values)
         at = rng.integers(0, len(values), 300)
         assert (ngram.ef_access(ef, at) == values[at]).all()
+        unique = np.unique(values)
+        ef, top = ngram.ef_encode(unique, zeros=True), int(unique[-1]) + 3
+        sought = rng.integers(0, top, 500)
+        n = np.full(500, len(unique))
+        want = {int(x): k for k, x in enumerate(unique)}
+        assert ngram.ef_find(ef, 0 * n, n, sought).tolist() == [want.get(x, -1) for x in sought.tolist()]
+        assert (ngram.ef_find(ef, 0 * n, n, unique[rng.integers(0, len(unique), 500)]) >= 0).all()
 
 
 @pytest.mark.parametrize("shards", [1, 7])
@@ -31,7 +38,7 @@ def test_scores_against_brute_force(spark, frame, shards):
     rng = random.Random(1)
     texts = [" ".join(rng.choice(["a", "b", "c", "the", "of", "Xy", "é", "w%d" % rng.randrange(40)]) for _ in range(rng.randrange(60))) for _ in range(60)] + [None, "", "the of\x0b the\tof", "the of the of"]
     docs = frame(texts).withColumn("learn", F.col("doc_id") % 5 != 0)
-    model, scores = ngram.train_and_score(docs, "learn", shards=shards)
+    model, scores = ngram.train_and_score(docs, "learn", shards=shards, min_count=2)
     got = {r.doc_id: r for r in scores.collect()}
     words = {i: [*(t or "").encode().lower().split(), b"\n"] for i, t in enumerate(texts)}
     c1, c2, c3 = Counter(), Counter(), Counter()

@@ -2,18 +2,20 @@
 
 Training counts every n-gram of the training texts up to `order`, level by level. Words take ids in hash
 order. A level's nodes are its kept n-grams sorted by (parent node, word): monotone Elias-Fano pointers
-lead from a parent to the range of its successors, whose words rise within it, so a query is a successor
-search relative to its context, guided by interpolation as ids are uniform. Nodes carry their smoothed
-probability, and parents the weight that is left for the shorter context, quantised to 16 bits of
-log10. Smoothing is interpolated absolute discounting: p(w|c) = max(n(cw) - D, 0)/n(c) + left(c) p(w|c'),
-down to words, where the discounted mass goes to the unknown word. N-grams of two words and more that
-were seen less than min_count times are counted, but not kept: their mass goes to the shorter context, so
-sums stay one. The query keeps all (min_count 1).
-
-A level is cut into shards of equal training mass, a heavy parent's successors over several; tasks count
-blocks of texts into sorted key lists, which meet at their shard. Shards are files in the shared folder
-(any store that pyarrow reaches), memory-mapped by the workers that score; where the folder is not a local
-path, Spark hands the files to the executors. The driver sees a few numbers a shard.
+lead from a parent to the range of its successors; their words, offset by the parent's place times the number
+of words, are one Elias-Fano sequence a shard, so a query is a successor search relative to its context:
+the high bits select a bucket of one or two nodes, cut to the parent's range, and the low bits decide. Nodes
+carry their smoothed probability, and parents the weight that is left for the shorter context, quantised to
+16 bits of log10: under eight bytes a node in all. Smoothing is interpolated absolute discounting:
+p(w|c) = max(n(cw) - D, 0)/n(c) + left(c) p(w|c'), down to words, where the discounted mass goes to the unknown
+word. All n-grams are kept (min_count 1); with a larger one, those of two words and more that were seen less
+often are counted, but not kept: their mass goes to the shorter context, so sums stay one.
+
+A level is cut into shards of about equal training mass at keys that the driver knows, a heavy parent's
+successors over several; tasks count blocks of texts into sorted key lists, which meet at their shard.
+Shards are files in the shared folder (any store that pyarrow reaches), memory-mapped by the workers that
+score; where the folder is not a local path, Spark hands the files to the executors. Counts above words are
+kept in files of their own and deleted when the level above is written. The driver sees a few numbers a shard.
 
 Tokens are runs of other than the six ASCII spaces, A-Z folded, and one end a text. Null texts count as
 empty (their end is scored). Without training texts every probability is 1. A row whose doc_id is null is
@@ -39,45 +41,108 @@ from pyspark.sql import functions as F
 
 from topicloom.llm.common import Generations, new_folder, session, text_column
 
-ORDER, DISCOUNT, MIN_COUNT, MIN_SHARDS, SHARD_TOKENS = 3, 0.8, 2, 8, 8_000_000
+ORDER, DISCOUNT, MIN_COUNT, MIN_SHARDS, SHARD_TOKENS = 3, 0.8, 1, 8, 8_000_000
 FLUSH_TOKENS, BLOCK_TOKENS, SCALE, END, SEED = 3_000_000, 1_000_000, 65535 / 16, b"\n", 5
 NO = np.int64(-1)
+#: Places that a shard reports of its training mass, for the cuts of the level above.
+POINTS = 16
 
 
 # ---- Elias-Fano ----------------------------------------------------------------------------------
 
 
-def ef_encode(values: np.ndarray) -> dict[str, np.ndarray]:
-    """A monotone sequence as low bits, unary high bits and a directory of their counts."""
+def pack_bits(values: np.ndarray, bits: int) -> np.ndarray:
+    """The lowest bits of each value, one after the other, and a word more than they need."""
+    out = np.zeros(len(values) * bits // 64 + 2, np.uint64)
+    step = 1 << 16  # so many values end at a word's border
+    for k in range(0, len(values) if bits else 0, step):
+        part = np.ascontiguousarray(values[k : k + step]).astype("<u8").view(np.uint8).reshape(-1, 8)
+        packed = np.packbits(np.unpackbits(part, axis=1, bitorder="little")[:, :bits].reshape(-1), bitorder="little")
+        packed = np.concatenate([packed, np.zeros(-len(packed) % 8, np.uint8)]).view("<u8")
+        out[k * bits // 64 :][: len(packed)] = packed
+    return out
+
+
+def unpack_bits(packed: np.ndarray, bits: int, at: np.ndarray) -> np.ndarray:
+    if not bits:
+        return np.zeros(len(at), np.uint64)
+    off = at * bits
+    word, shift = off >> 6, (off & 63).astype(np.uint64)
+    return ((packed[word] >> shift) | (packed[word + 1] << (np.uint64(63) - shift) << np.uint64(1))) & np.uint64((1 << bits) - 1)
+
+
+def ef_encode(values: np.ndarray, zeros: bool = False) -> dict[str, np.ndarray]:
+    """A monotone sequence as low bits, unary high bits, and for each word of these the ones (or zeros) before it."""
     n, top = len(values), int(values[-1]) + 1 if len(values) else 1
     low_bits = max(0, int(math.log2(top / n))) if n and top > n else 0
     values = values.astype(np.uint64)
     ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
-    words = (int(ones[-1]) if n else 0) // 64 + 1
-    high = np.packbits(np.bincount(ones, minlength=64 * words).astype(np.uint8), bitorder="little").view(np.uint64)
-    counts = np.concatenate(([0], np.cumsum(np.bitwise_count(high), dtype=np.int64)[:-1]))
-    width = np.uint8 if low_bits <= 8 else np.uint16 if low_bits <= 16 else np.uint32
-    return {"low": (values & np.uint64((1 << low_bits) - 1)).astype(width), "high": high, "before": counts, "low_bits": np.array([low_bits])}
+    bits = np.zeros(64 * ((int(ones[-1]) if n else 0) // 64 + 2), np.uint8)
+    bits[ones] = 1
+    high = np.packbits(bits, bitorder="little").view(np.uint64)
+    counts = np.cumsum(np.bitwise_count(~high if zeros else high), dtype=np.int64)
+    kind = np.uint32 if counts[-1] < 1 << 32 else np.int64
+    return {"low": pack_bits(values, low_bits), "high": high, "before": np.concatenate(([0], counts[:-1])).astype(kind), "low_bits": np.array([low_bits]), "size": np.array([n])}
 
 
-def ef_access(ef: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
-    """Values at the places `at`: a select of the high bits, found in the directory, then within a word."""
-    word = np.searchsorted(ef["before"], at, side="right") - 1
-    bits, rank = ef["high"][word], (at - ef["before"][word]).astype(np.uint64)
-    place = np.zeros(len(at), np.uint64)
+def _select(bits: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of the one of this rank within each word."""
+    rank, place = rank.astype(np.uint64), np.zeros(len(bits), np.uint64)
     for step in (32, 16, 8, 4, 2, 1):
         count = np.bitwise_count(bits & np.uint64((1 << step) - 1)).astype(np.uint64)
         beyond = rank >= count
         rank = np.where(beyond, rank - count, rank)
-        place += np.where(beyond, np.uint64(step), np.uint64(0))
-        bits = np.where(beyond, bits >> np.uint64(step), bits)
-    high = 64 * word + place.astype(np.int64) - at
-    return (high << int(ef["low_bits"][0])) | ef["low"][at].astype(np.int64)
+        move = np.where(beyond, np.uint64(step), np.uint64(0))
+        place, bits = place + move, bits >> move
+    return place.astype(np.int64)
+
+
+def ef_access(ef: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
+    """Values at the places `at`: a select of the high bits, found in the directory (of ones), then within a word."""
+    word = np.searchsorted(ef["before"], at.astype(ef["before"].dtype), side="right") - 1
+    high = 64 * word + _select(ef["high"][word], at - ef["before"][word].astype(np.int64)) - at
+    bits = int(ef["low_bits"][0])
+    return (high << bits) | unpack_bits(ef["low"], bits, at).astype(np.int64)
+
+
+def ef_bucket(ef: dict[str, np.ndarray], high: np.ndarray) -> np.ndarray:
+    """Place of the first value whose high bits are `high` or more; the directory counts zeros."""
+    size, before = int(ef["size"][0]), ef["before"]
+    out = np.where(high > 0, size, 0)
+    last = 64 * len(before) - size  # zeros in all
+    some = np.flatnonzero((high > 0) & (high <= last))
+    rank = high[some] - 1
+    word = np.searchsorted(before, rank.astype(before.dtype), side="right") - 1
+    place = 64 * word + _select(~ef["high"][word], rank - before[word].astype(np.int64))
+    out[some] = np.minimum(place - rank, size)
+    return out
+
+
+def ef_find(ef: dict[str, np.ndarray], lo: np.ndarray, hi: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Place of each value among those from lo to hi (exclusive), which rise; -1 if it isn't there."""
+    out, bits = np.full(len(value), NO), int(ef["low_bits"][0])
+    high, low = value >> bits, (value & ((1 << bits) - 1)).astype(np.uint64)
+    lo, hi = np.maximum(lo, ef_bucket(ef, high)), np.minimum(hi, ef_bucket(ef, high + 1))
+    live = np.flatnonzero(hi > lo)
+    lo, hi, low = lo[live], hi[live], low[live]
+    while len(live):
+        mid = (lo + hi) >> 1
+        got = unpack_bits(ef["low"], bits, mid)
+        hit, less = got == low, got < low
+        out[live[hit]] = mid[hit]
+        lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+        on = ~hit & (hi > lo)
+        live, lo, hi, low = live[on], lo[on], hi[on], low[on]
+    return out
 
 
 # ---- shared files --------------------------------------------------------------------------------
 
 
+def _uri(folder: str) -> str:
+    return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
+
 def _save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     """One file: a header's length, the header, arrays at multiples of 64. Written beside, then moved: a repeated task replaces it whole."""
     head, at, body = {}, 0, io.BytesIO()
@@ -88,7 +153,7 @@ def _save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
         at += a.nbytes + -a.nbytes % 64
     header = json.dumps(head).encode()
     header += b" " * (-(len(header) + 8) % 64)
-    fs, path = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    fs, path = pafs.FileSystem.from_uri(_uri(folder))
     fs.create_dir(path, recursive=True)
     part = f"{path}/.{name}-{np.random.default_rng().integers(1 << 62)}"
     with fs.open_output_stream(part) as f:
@@ -119,16 +184,22 @@ def _load(folder: str, name: str) -> dict[str, np.ndarray]:
     return _OPEN[key]
 
 
+def _part(arrays: dict[str, np.ndarray], name: str) -> dict[str, np.ndarray]:
+    """The Elias-Fano sequence of this name in a file."""
+    return {k: arrays[f"{name}_{k}"] for k in ("low", "high", "before", "low_bits", "size")}
+
+
 # ---- the model -----------------------------------------------------------------------------------
 
 
 @dataclass
 class Level:
-    """What the driver knows of a level: nodes before each shard, training mass before each shard, sums of parents that two shards share."""
+    """What the driver knows of a level: nodes before each shard, keys at which shards begin (but the first), the weight left of parents that shards share, and where its training mass lies: (node, mass before it, its own) at some places."""
 
     offsets: list[int]
-    mass: list[int]
-    shared: dict[int, float] = field(default_factory=dict)
+    cuts: np.ndarray
+    shared: dict[int, float]
+    points: list[tuple[int, int, int]]
 
 
 @dataclass
@@ -144,6 +215,25 @@ class Model:
     def word_bits(self) -> int:
         return max(1, self.v.bit_length())
 
+    def next_cuts(self) -> np.ndarray:
+        """Keys that cut the successors of the top level's nodes into shards of about equal mass; words lie evenly, as their ids are hashes in order."""
+        points, bits = self.levels[-1].points, self.word_bits
+        if not points:
+            return np.empty(0, np.uint64)
+        node, before, own = (np.array(x, np.float64) for x in zip(*points))
+        total, end = before[-1] + own[-1], float(self.levels[-1].offsets[-1])
+        cuts = []
+        for k in range(1, self.shards):
+            goal = total * k / self.shards
+            i = int(np.searchsorted(before, goal, side="right")) - 1
+            if goal < before[i] + own[i]:  # within the successors of one parent
+                at, word = int(node[i]), int((goal - before[i]) / own[i] * self.v)
+            else:
+                a, b, c = before[i] + own[i], before[i + 1] if i + 1 < len(node) else total, node[i + 1] if i + 1 < len(node) else end
+                at, word = int(node[i] + 1 + (c - node[i] - 1) * min(1.0, (goal - a) / max(1.0, b - a))), 0
+            cuts.append((at << bits) | word)
+        return np.maximum.accumulate(np.array(cuts, np.uint64)) if cuts else np.empty(0, np.uint64)
+
 
 def word_hash(token: bytes) -> int:
     return xxhash.xxh64_intdigest(token, SEED)
@@ -191,33 +281,29 @@ class Reader:
             at = slice(bounds[s], bounds[s + 1])
             yield s, at, nodes[at] - offsets[s]
 
-    def counts(self, level: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Count of each node (level 0: words), and training mass before it."""
-        n, before = np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
+    def counts(self, level: int, nodes: np.ndarray) -> np.ndarray:
+        """Training count of each node (level 0: words)."""
+        n = np.zeros(len(nodes), np.int64)
         for s, at, local in self._by_shard(level, nodes):
-            arrays = _load(self.model.folder, f"{level + 1}-{s}")
-            n[at], before[at] = arrays["count"][local], arrays["before_count"][local]
-            before[at] += self.model.levels[level].mass[s]
-        return n, before
-
-    def shard_of(self, total: int, n: np.ndarray, before: np.ndarray, word: np.ndarray | float) -> np.ndarray:
-        """Of (parent, word): by the mass before the parent and the word's place among all; rising in (parent, word)."""
-        return np.minimum(((before + n * (word / (self.model.v + 1))) * (self.model.shards / max(1, total))).astype(np.int64), self.model.shards - 1)
+            arrays = _load(self.model.folder, f"{level + 1}-{s}-n" if level else f"{level + 1}-{s}")
+            n[at] = some = arrays["count"][local].astype(np.int64)
+            if level and len(large := np.flatnonzero(some == 255)):
+                n[np.arange(len(nodes))[at][large]] = arrays["large"][np.searchsorted(arrays["large_at"], local[large])]
+        return n
 
     def parents(self, level: int, nodes: np.ndarray) -> dict[str, np.ndarray]:
         """What a lookup below these (rising) nodes of `level` needs."""
-        m = self.model
-        n, before = self.counts(level, nodes)
-        total = m.levels[level].mass[-1]
-        first, last = self.shard_of(total, n, before, 0.0), self.shard_of(total, n, before, m.v / 1.0)
-        found = {"node": nodes, "n": n, "before": before, "first": first, "last": last, "a": np.zeros(len(nodes), np.int64), "b": np.zeros(len(nodes), np.int64), "left": np.ones(len(nodes))}
+        above, bits = self.model.levels[level + 1], np.uint64(self.model.word_bits)
+        keys = nodes.astype(np.uint64) << bits
+        first = np.searchsorted(above.cuts, keys, side="right")
+        last = np.searchsorted(above.cuts, keys | ((np.uint64(1) << bits) - np.uint64(1)), side="right")
+        found = {"node": nodes, "first": first, "last": last, "a": np.zeros(len(nodes), np.int64), "b": np.zeros(len(nodes), np.int64), "left": np.ones(len(nodes))}
         starts = np.flatnonzero(np.diff(first, prepend=-1))
         for a, b in zip(starts, [*starts[1:], len(first)]):
             mine = slice(a, a + int(np.searchsorted(last[a:b], first[a], side="right")))  # all but, at most, a last one that goes on
             found["a"][mine], found["b"][mine], found["left"][mine] = self._range(level + 1, int(first[a]), nodes[mine])
         for k in np.flatnonzero(first != last):
-            if (held := m.levels[level + 1].shared.get(int(nodes[k]))) is not None:
-                found["left"][k] = (n[k] - held) / n[k]
+            found["left"][k] = above.shared.get(int(nodes[k]), 1.0)
         return found
 
     def _range(self, level: int, shard: int, nodes: np.ndarray):
@@ -228,19 +314,21 @@ class Reader:
         inside = np.flatnonzero((local >= 0) & (local < len(arrays["left"])))
         if len(inside):
             local = local[inside]
-            a[inside], b[inside] = ef_access(arrays, local), ef_access(arrays, local + 1)
+            ends = ef_access(_part(arrays, "pointer"), np.concatenate([local, local + 1]))
+            a[inside], b[inside] = ends[: len(local)], ends[len(local) :]
             left[inside] = np.power(10.0, arrays["left"][local] / -SCALE)
         return a, b, left
 
     def successors(self, level: int, parents: dict[str, np.ndarray], at: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Node (-1: none) of `level` and quantised probability (0: none) of each word below parents[at]; rising in (at, word)."""
+        """Node (-1: none) of `level` and probability (0: none) of each word below parents[at]; rising in (at, word)."""
         m = self.model
         node, prob = np.full(len(word), NO), np.zeros(len(word))
         first, last = parents["first"][at], parents["last"][at]
         shard = first.copy()
-        split = np.flatnonzero(first != last)
+        split = np.flatnonzero((first != last) & (word >= 0))
         if len(split):
-            shard[split] = self.shard_of(m.levels[level - 1].mass[-1], parents["n"][at[split]], parents["before"][at[split]], word[split])
+            keys = (parents["node"][at[split]].astype(np.uint64) << np.uint64(m.word_bits)) | word[split].astype(np.uint64)
+            shard[split] = np.searchsorted(m.levels[level].cuts, keys, side="right")
         a, b = parents["a"][at], parents["b"][at]
         todo = np.flatnonzero((word >= 0) & ((b > a) | (first != last)))
         starts = np.flatnonzero(np.diff(shard[todo], prepend=-1))
@@ -254,35 +342,13 @@ class Reader:
                 nodes, back = np.unique(parents["node"][at[mine[apart]]], return_inverse=True)
                 ra, rb, _ = self._range(level, s, nodes)
                 lo[apart], hi[apart] = ra[back], rb[back]
-            place = self._search(arrays["word"], lo, hi, word[mine])
+            base = (parents["node"][at[mine]] - int(arrays["first_parent"][0])) * m.v
+            place = ef_find(_part(arrays, "word"), lo, hi, np.maximum(base, 0) + word[mine])
             hit = np.flatnonzero(place >= 0)
             node[mine[hit]] = place[hit] + m.levels[level].offsets[s]
             prob[mine[hit]] = np.power(10.0, arrays["prob"][place[hit]] / -SCALE)
         return node, prob
 
-    def _search(self, words: np.ndarray, lo: np.ndarray, hi: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Place of word within words[lo:hi], rising there; -1 if it isn't. Interpolates first, then halves."""
-        out = np.full(len(word), NO)
-        live = np.flatnonzero(hi > lo)
-        lo, hi, word, turn = lo[live], hi[live], word[live], 0
-        below, above = np.full(len(live), -1.0), np.full(len(live), float(self.model.v + 1))
-        while len(live):
-            if turn < 4:
-                mid = lo + ((hi - lo) * ((word - below) / (above - below))).astype(np.int64)
-                mid = np.clip(mid, lo, hi - 1)
-            else:
-                mid = (lo + hi) >> 1
-            got = words[mid].astype(np.int64)
-            hit = got == word
-            out[live[hit]] = mid[hit]
-            less = got < word
-            lo, below = np.where(less, mid + 1, lo), np.where(less, got, below)
-            hi, above = np.where(less, hi, mid), np.where(less, above, got)
-            on = ~hit & (hi > lo)
-            live, lo, hi, word, below, above = live[on], lo[on], hi[on], word[on], below[on], above[on]
-            turn += 1
-        return out
-
     def chains(self, ids: np.ndarray, start: np.ndarray, levels: int):
         """For words in order (start: first of a text), yields for each level above words (node, probability, weight left)."""
         nodes, bits = ids, self.model.word_bits
@@ -337,6 +403,25 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view("<u4").ravel().astype(np.int64)
 
 
+def _points(counts: np.ndarray) -> pa.Array:
+    """(node, mass before it, its own) at equal steps of a shard's mass, one after the other."""
+    after = np.cumsum(counts, dtype=np.int64)
+    at = np.unique(np.searchsorted(after, after[-1] * np.arange(POINTS) // POINTS, side="right"))
+    return pa.array([np.stack([at, after[at] - counts[at], counts[at].astype(np.int64)], 1).reshape(-1).tolist()], pa.list_(pa.int64()))
+
+
+def _placed(found: dict, shards: int) -> tuple[list[int], int, list[tuple[int, int, int]]]:
+    """Nodes before each shard, the whole mass, and the shards' points among all."""
+    offsets, mass, points = [0], 0, []
+    for s in range(shards):
+        if s in found:
+            p = found[s]["points"]
+            points += [(offsets[-1] + p[k], mass + p[k + 1], p[k + 2]) for k in range(0, len(p), 3)]
+            mass += found[s]["mass"]
+        offsets.append(offsets[-1] + (found[s]["nodes"] if s in found else 0))
+    return offsets, mass, points
+
+
 def _train_words(docs: DataFrame, folder: str, shards: int | None) -> Model:
     """docs (text binary) -> the level of words."""
 
@@ -362,24 +447,22 @@ def _train_words(docs: DataFrame, folder: str, shards: int | None) -> Model:
         hashes, n = table["h"].to_numpy().view(np.uint64), table["n"].to_numpy()
         order = np.argsort(hashes)
         hashes, n, shard = hashes[order], n[order], table["shard"][0].as_py()
-        _save(folder, f"1-{shard}", {"hash": hashes, "count": n.astype(np.uint32 if n.max() < 1 << 32 else np.uint64), "before_count": (np.cumsum(n) - n).astype(np.int64)})
-        return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": [len(n)], "mass": [int(n.sum())], "n1": [int((n == 1).sum())], "n2": [int((n == 2).sum())]})
+        _save(folder, f"1-{shard}", {"hash": hashes, "count": n.astype(np.uint32 if n.max() < 1 << 32 else np.uint64)})
+        return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": [len(n)], "mass": [int(n.sum())], "n1": [int((n == 1).sum())], "n2": [int((n == 2).sum())], "points": _points(n)})
 
     sharded = words.withColumn("shard", F.expr(f"cast((shiftrightunsigned(h, 48) * {parts}) div 65536 as int)"))
-    found = {r["shard"]: r for r in sharded.groupBy("shard").applyInArrow(write, "shard int, nodes long, mass long, n1 long, n2 long").collect()}
+    found = {r["shard"]: r for r in sharded.groupBy("shard").applyInArrow(write, "shard int, nodes long, mass long, n1 long, n2 long, points array<long>").collect()}
     for s in range(parts):
         if s not in found:
-            _save(folder, f"1-{s}", {"hash": np.empty(0, np.uint64), "count": np.empty(0, np.uint32), "before_count": np.empty(0, np.int64)})
-    get = lambda s, k: found[s][k] if s in found else 0
-    nodes, mass = np.cumsum([0, *(get(s, "nodes") for s in range(parts))]).tolist(), np.cumsum([0, *(get(s, "mass") for s in range(parts))]).tolist()
-    n1, n2 = sum(get(s, "n1") for s in range(parts)), sum(get(s, "n2") for s in range(parts))
-    return Model(folder, parts, mass[-1], nodes[-1], n1 / (n1 + 2 * n2) if n1 else 0.5, [Level(nodes, mass)])
+            _save(folder, f"1-{s}", {"hash": np.empty(0, np.uint64), "count": np.empty(0, np.uint32)})
+    n1, n2 = sum(r["n1"] for r in found.values()), sum(r["n2"] for r in found.values())
+    offsets, mass, points = _placed(found, parts)
+    return Model(folder, parts, mass, offsets[-1], n1 / (n1 + 2 * n2) if n1 else 0.5, [Level(offsets, np.empty(0, np.uint64), {}, points)])
 
 
 def _train_level(encoded: DataFrame, model: Model, discount: float, min_count: int, top: bool = False) -> Level:
     """The level above the model's, one word more, of encoded training texts."""
-    level, bits, folder = len(model.levels), model.word_bits, model.folder
-    total = model.levels[-1].mass[-1]
+    level, bits, folder, cuts = len(model.levels), model.word_bits, model.folder, model.next_cuts()
     if model.levels[-1].offsets[-1].bit_length() + bits > 63:
         raise ValueError("keys of this level pass 63 bits: raise min_count")
 
@@ -397,20 +480,17 @@ def _train_level(encoded: DataFrame, model: Model, discount: float, min_count: i
             held.append((before[known].astype(np.uint64) << np.uint64(bits)) | ids[known].astype(np.uint64))
             size += len(held[-1])
             if size > FLUSH_TOKENS:
-                yield from emit(use, held)
+                yield from emit(held)
                 held, size = [], 0
         if size:
-            yield from emit(use, held)
+            yield from emit(held)
 
-    def emit(use, held):
+    def emit(held):
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        parent = (keys >> np.uint64(bits)).astype(np.int64)
-        unique, back = np.unique(parent, return_inverse=True)
-        n, before = use.counts(level - 1, unique)
-        shard = use.shard_of(total, n[back], before[back], (keys & np.uint64((1 << bits) - 1)).astype(np.int64))
-        starts = np.flatnonzero(np.diff(shard, prepend=-1))
-        for a, b in zip(starts, [*starts[1:], len(keys)]):
-            yield pa.RecordBatch.from_arrays([pa.array([int(shard[a])], pa.int32()), pa.array([_pack(keys[a:b], counts[a:b])], pa.binary())], names=["shard", "data"])
+        ends = [0, *np.searchsorted(keys, cuts).tolist(), len(keys)]
+        for shard, (a, b) in enumerate(zip(ends, ends[1:])):
+            if b > a:
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([_pack(keys[a:b], counts[a:b])], pa.binary())], names=["shard", "data"])
 
     def write(table: pa.Table) -> pa.Table:
         use, shard = reader(model), table["shard"][0].as_py()
@@ -425,39 +505,45 @@ def _train_level(encoded: DataFrame, model: Model, discount: float, min_count: i
         keys, counts = keys[keep], counts[keep]
         return _write_shard(use, level, shard, keys, counts, bits, discount, top=top)
 
-    rows = encoded.select("doc_id", "ids").mapInArrow(count, "shard int, data binary").groupBy("shard").applyInArrow(write, "shard int, nodes long, mass long, parents array<long>, sums array<double>").collect()
-    found = {r["shard"]: r for r in rows}
+    rows = encoded.select("doc_id", "ids").mapInArrow(count, "shard int, data binary").groupBy("shard").applyInArrow(write, "shard int, nodes long, mass long, points array<long>, parents array<long>, sums array<double>, counts array<long>").collect()
+    found = {r["shard"]: r for r in rows if r["nodes"]}
     for s in range(model.shards):
         if s not in found:
-            _write_shard(None, level, s, np.empty(0, np.uint64), np.empty(0, np.int64), bits, discount, folder, top)
-    get = lambda s, k: found[s][k] if s in found else 0
-    shared: dict[int, float] = {}
-    for r in rows:
-        for p, held in zip(r["parents"], r["sums"]):
-            shared[p] = shared.get(p, 0.0) + held
-    return Level(np.cumsum([0, *(get(s, "nodes") for s in range(model.shards))]).tolist(), np.cumsum([0, *(get(s, "mass") for s in range(model.shards))]).tolist(), shared)
+            _write_shard(None, level, s, np.empty(0, np.uint64), np.empty(0, np.int64), bits, discount, folder, top, model.v)
+    held: dict[int, float] = {}
+    for r in found.values():
+        for p, x, n in zip(r["parents"], r["sums"], r["counts"]):
+            held[p] = held.get(p, 1.0) - x / n
+    offsets, _, points = _placed(found, model.shards)
+    return Level(offsets, cuts, held, points)
 
 
-def _write_shard(use, level: int, shard: int, keys: np.ndarray, counts: np.ndarray, bits: int, discount: float, folder: str | None = None, top: bool = False) -> pa.Table:
+def _write_shard(use, level: int, shard: int, keys: np.ndarray, counts: np.ndarray, bits: int, discount: float, folder: str | None = None, top: bool = False, v: int = 0) -> pa.Table:
     parent, word = (keys >> np.uint64(bits)).astype(np.int64), (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
-    parents, sums, first = [], [], 0
+    parents, sums, own, first = [], [], [], 0
     prob, left, pointers = np.empty(0, np.uint16), np.empty(0, np.uint16), np.zeros(1, np.int64)
+    folder, v = folder or use.model.folder, v or use.model.v
     if len(keys):
         first, last = int(parent[0]), int(parent[-1])
         unique, back = np.unique(parent, return_inverse=True)
-        n, _ = use.counts(level - 1, unique)
+        n = use.counts(level - 1, unique)
         quantise = lambda p: np.minimum(np.rint(-np.log10(p) * SCALE), 65535).astype(np.uint16)
         prob = quantise((counts - discount) / n[back])
         held = np.bincount(back, counts - discount)
         left = np.zeros(last - first + 1, np.uint16)
         left[unique - first] = quantise((n - held) / n)
         pointers = np.searchsorted(parent, np.arange(first, last + 2))
-        parents, sums = ([first, last], [float(held[0]), float(held[-1])]) if first != last else ([first], [float(held[0])])
-    arrays = {"first_parent": np.array([first]), "left": left, "word": word.astype(np.uint32 if bits <= 32 else np.uint64), "prob": prob}
-    if not top:  # only the level above reads them
-        arrays |= {"count": counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64), "before_count": (np.cumsum(counts) - counts).astype(np.int64)}
-    _save(folder or use.model.folder, f"{level + 1}-{shard}", arrays | ef_encode(pointers))
-    return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": [len(keys)], "mass": [int(counts.sum())], "parents": pa.array([parents], pa.list_(pa.int64())), "sums": pa.array([sums], pa.list_(pa.float64()))})
+        ends = [0, -1] if first != last else [0]
+        parents, sums, own = ([x[k].item() for k in ends] for x in (unique, held, n))
+    arrays = {"first_parent": np.array([first]), "left": left, "prob": prob}
+    arrays |= {f"pointer_{k}": x for k, x in ef_encode(pointers).items()}
+    arrays |= {f"word_{k}": x for k, x in ef_encode((parent - first) * v + word, zeros=True).items()}
+    _save(folder, f"{level + 1}-{shard}", arrays)
+    if not top:  # what only training reads
+        large = np.flatnonzero(counts >= 255)
+        _save(folder, f"{level + 1}-{shard}-n", {"count": np.minimum(counts, 255).astype(np.uint8), "large_at": large, "large": counts[large]})
+    points = _points(counts) if len(keys) else pa.array([[]], pa.list_(pa.int64()))
+    return pa.table({"shard": pa.array([shard], pa.int32()), "nodes": [len(keys)], "mass": [int(counts.sum())], "points": points, "parents": pa.array([parents], pa.list_(pa.int64())), "sums": pa.array([sums], pa.list_(pa.float64())), "counts": pa.array([own], pa.list_(pa.int64()))})
 
 
 def _blocks(batches):
@@ -512,10 +598,17 @@ def _words(texts: DataFrame, shards: int | None) -> Model:
 
 def _levels(encoded: DataFrame, model: Model, order: int, discount: float, min_count: int) -> Model:
     for _ in range(1, order):
-        if not model.levels[-1].mass[-1]:
+        if not model.levels[-1].offsets[-1]:
             break
-        model.levels.append(_train_level(encoded, model, discount, min_count, len(model.levels) + 1 == order))
-        _hand_out(encoded.sparkSession, model)
+        top = len(model.levels) + 1 == order
+        model.levels.append(_train_level(encoded, model, discount, min_count, top))
+        _hand_out(encoded.sparkSession, model, () if top else ("-n",))
+    fs, path = pafs.FileSystem.from_uri(_uri(model.folder))
+    for level in range(2, len(model.levels) + 1):
+        for s in range(model.shards):
+            for name in (f"{level}-{s}-n", f"{model.folder.rsplit('/', 1)[1]}-{level}-{s}-n"):
+                if fs.get_file_info(f"{path}/{name}").type != pafs.FileType.NotFound:
+                    fs.delete_file(f"{path}/{name}")
     return model
 
 
@@ -540,14 +633,15 @@ def _stored(encoded: DataFrame, model: Model) -> DataFrame:
     return encoded.sparkSession.read.parquet(path)
 
 
-def _hand_out(spark, model: Model) -> None:
+def _hand_out(spark, model: Model, also: tuple[str, ...] = ()) -> None:
     """Where the shared folder is no path that executors can map, Spark fetches the files for them."""
     if _local(model.folder) is None:
         fs, path = pafs.FileSystem.from_uri(model.folder)
         level, name = len(model.levels), model.folder.rsplit("/", 1)[1]
         for s in range(model.shards):
-            fs.move(f"{path}/{level}-{s}", f"{path}/{name}-{level}-{s}")
-            spark.sparkContext.addFile(f"{model.folder}/{name}-{level}-{s}")
+            for end in ("", *also):
+                fs.move(f"{path}/{level}-{s}{end}", f"{path}/{name}-{level}-{s}{end}")
+                spark.sparkContext.addFile(f"{model.folder}/{name}-{level}-{s}{end}")
 
 
 # ---- scoring -------------------------------------------------------------------------------------
@@ -559,7 +653,7 @@ def log10_probabilities(use: Reader, ids: np.ndarray, start: np.ndarray) -> tupl
     known = ids >= 0
     count = np.zeros(len(ids), np.int64)
     unique, back = np.unique(ids[known], return_inverse=True)
-    count[known] = use.counts(0, unique)[0][back]
+    count[known] = use.counts(0, unique)[back]
     base = np.log10((count + 0.1) / (m.n + 0.1 * (m.v + 1)))
     if not m.n:
         return base, np.zeros(len(ids))

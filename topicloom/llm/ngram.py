@@ -187,18 +187,20 @@ def _local(folder: str) -> str | None:
 
 
 _OPEN: dict[str, dict[str, np.ndarray]] = {}
+#: Bytes that a worker keeps mapped; beyond them it starts anew, as mapped pages count as its memory.
+MAP_BYTES = 128 << 20
 
 
 def _load(folder: str, name: str) -> dict[str, np.ndarray]:
     """The arrays of a file, memory-mapped once a worker."""
     key = f"{folder}/{name}"
     if key not in _OPEN:
-        if len(_OPEN) > 4096:
-            _OPEN.clear()
         local = _local(folder)
         data = np.memmap(f"{local}/{name}" if local else SparkFiles.get(f"{folder.rsplit('/', 1)[1]}-{name}"), np.uint8, "r").view(np.ndarray)
+        if sum(a["_bytes"][0] for a in _OPEN.values()) + len(data) > MAP_BYTES:
+            _OPEN.clear()
         n = int.from_bytes(data[:8].tobytes(), "little")
-        _OPEN[key] = {k: data[8 + n + at :][: np.dtype(kind).itemsize * size].view(kind) for k, (at, kind, size) in json.loads(data[8 : 8 + n].tobytes()).items()}
+        _OPEN[key] = {k: data[8 + n + at :][: np.dtype(kind).itemsize * size].view(kind) for k, (at, kind, size) in json.loads(data[8 : 8 + n].tobytes()).items()} | {"_bytes": np.array([len(data)])}
     return _OPEN[key]
 
 

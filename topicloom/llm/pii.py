@@ -13,6 +13,10 @@ most. So no number of lines is fixed: two lines suffice for a rare term, and one
 so rare that a coincidence is not expected. Sanitising generalises entities to their kind and removes
 disclosing terms.
 
+Positions, blanks and sanitised texts come from running sums and maxima over chunks of CHUNK matches, so that
+time grows with a text's matches and not with their square. The patterns match within lines, so lines that
+could hold an entity are read by themselves, each beside its neighbours.
+
 Patterns are written so that Java's matcher neither recurses nor rescans: possessive where nothing can
 be given back, and starting only where the leftmost match can start (after \\G too, as a match may end
 inside a run). Positions are code points, the end exclusive.
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from topicloom.llm.common import cut, fenced
 
 KINDS = ("email", "ip", "card", "phone")
-DISCLOSURE, CHANCE, BROADCAST_ROWS = 0.75, 0.01, 20_000
+DISCLOSURE, CHANCE, BROADCAST_ROWS, CHUNK = 0.75, 0.01, 20_000, 256
 #: What the contract's patterns match, for Java.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -50,13 +54,41 @@ def _matches(text: str, pattern: str, when: Column) -> tuple[Column, Column]:
     return F.when(when, F.split(text, pattern, -1)), F.when(when, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """body, in which name stands for value, computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _chunks(size: str) -> str:
+    return f"sequence(0, ({size} - 1) div {CHUNK})"
+
+
+def _before(values: str, size: str, join: str) -> str:
+    """Of an array of bigints what those before each come to; join, of (x, y), is their sum or maximum."""
+    both = lambda x, y: join.replace("x", x).replace("y", y)
+    none = "cast(array() as array<bigint>)"
+    local = f"transform({_chunks(size)}, c -> aggregate(slice({values}, c * {CHUNK} + 1, {CHUNK}), struct(0L as at, {none} as found), (a, v) -> struct({both('a.at', 'v')} as at, concat(a.found, array(a.at)) as found)))"
+    bases = f"aggregate(_l, struct(0L as at, {none} as found), (a, p) -> struct({both('a.at', 'p.at')} as at, concat(a.found, array(a.at)) as found), a -> a.found)"
+    return _let(local, "_l", _let(bases, "_b", f"flatten(transform(_l, (p, c) -> transform(p.found, v -> {both('v', 'get(_b, c)')})))"))
+
+
 def _place(parts: str, matches: str) -> Column:
     """Structs (s, e, value) of the matches in order."""
-    return F.expr(
-        f"aggregate({matches}, struct(cast(0 as bigint) as at, 0 as k, cast(array() as array<struct<s:bigint,e:bigint,value:string>>) as found),"
-        f" (a, m) -> struct(a.at + length(get({parts}, a.k)) + length(m) as at, a.k + 1 as k,"
-        f" concat(a.found, array(struct(a.at + length(get({parts}, a.k)) as s, a.at + length(get({parts}, a.k)) + length(m) as e, m as value))) as found), a -> a.found)"
-    )
+    steps = f"transform({matches}, (m, k) -> cast(length(get({parts}, k)) + length(m) as bigint))"
+    s = f"get(_at, k) + length(get({parts}, k))"
+    body = f"transform({matches}, (m, k) -> struct({s} as s, {s} + length(m) as e, m as value))"
+    return F.expr(_let(steps, "_s", _let(_before("_s", "size(_s)", "(x + y)"), "_at", body)))
+
+
+def _rewritten(text: str, spans: str, mark: str) -> Column:
+    """text with `mark` (of the span x and the place `at`, up to which is written) in place of each of the spans (s, e, ...), which are in order; what several hold is written once."""
+    ends = f"transform({spans}, x -> x.e)"
+    piece = f"concat(substring(_part, cast(at - _from + 1 as int), cast(greatest(x.s - at, 0L) as int)), {mark})"
+    pieces = f"array_join(transform(slice({spans}, c * {CHUNK} + 1, {CHUNK}), (x, k) -> {_let(f'get(_at, c * {CHUNK} + k)', 'at', piece)}), '')"
+    part = f"substring({text}, cast(_from + 1 as int), cast(coalesce(get(_at, (c + 1) * {CHUNK}), _end) - _from as int))"
+    chunk = _let(f"get(_at, c * {CHUNK})", "_from", _let(part, "_part", pieces))
+    whole = f"concat(array_join(transform({_chunks(f'size({spans})')}, c -> {chunk}), ''), substring({text}, cast(_end + 1 as int)))"
+    return F.expr(_let(_before(ends, f"size({spans})", "greatest(x, y)"), "_at", _let(f"array_max({ends})", "_end", whole)))
 
 
 def _on(test, kind: str):
@@ -109,13 +141,8 @@ def _terms(line: Column) -> Column:
 
 def _cleared(rows: DataFrame) -> DataFrame:
     """rows with _clear: the text with its base spans blank, so that parts of a value are no terms beside it but the same words in the prose are."""
-    spans = F.sort_array(F.concat(*[F.col(f"_{k}") for k in KINDS]))
-    blank = F.expr(
-        "aggregate(_found, struct(cast(0 as bigint) as at, '' as done),"
-        " (a, x) -> if(x.e <= a.at, a, struct(x.e as at, concat(a.done, substring(_text, cast(a.at + 1 as int), cast(greatest(x.s - a.at, 0) as int)), repeat(' ', cast(x.e - greatest(a.at, x.s) as int))) as done)),"
-        " a -> concat(a.done, substring(_text, cast(a.at + 1 as int))))"
-    )
-    rows = rows.withColumn("_found", spans)
+    rows = rows.withColumn("_found", F.sort_array(F.concat(*[F.col(f"_{k}") for k in KINDS])))
+    blank = _rewritten("_text", "_found", "repeat(' ', cast(x.e - greatest(x.s, at) as int))")
     return fenced(rows.withColumn("_clear", F.when(F.size("_found") > 0, blank).otherwise(F.col("_text"))), ["_clear"]).drop("_found")
 
 
@@ -133,17 +160,32 @@ def _unlikely(x: Column, d: Column, q: Column, bound: float) -> Column:
     return (rate > q) & (-d * (rate * F.log(rate / q) + rest) <= math.log(bound))
 
 
+def _holding_lines(docs: DataFrame) -> DataFrame:
+    """(h, entities, terms) of each line with an entity: the line's digest, and the terms of it and its neighbours."""
+    lines = docs.select(F.filter(F.split(F.coalesce(docs["text"].cast("string"), F.lit("")), "\n"), lambda x: x != "").alias("_l"))
+    around = F.expr("transform(filter(sequence(0, size(_l) - 1), k -> size(_l) > 0 and get(_l, k) rlike '[0-9@]'), k -> struct(array(get(_l, k), get(_l, k - 1), get(_l, k + 1)) as texts))")
+    lines = lines.select(F.explode(around).alias("x")).select("x.texts", F.monotonically_increasing_id().alias("id"))
+    line = with_base_spans(lines.select("id", "texts", F.col("texts")[0].alias("text")))
+    entities = F.array_distinct(F.concat(*[F.transform(f"_{k}", _on(_entity, k)) for k in KINDS]))
+    line = fenced(_cleared(line).select("texts", "_clear", entities.alias("entities")), ["entities"]).where(F.size("entities") > 0)
+    line = line.select("texts", "entities", F.col("_clear").alias("clear0"))
+    for k in (1, 2):  # neighbours, each blank where it holds values of its own
+        beside = with_base_spans(line.withColumn("text", F.col("texts")[k]))
+        line = _cleared(beside).select(*line.columns, F.col("_clear").alias(f"clear{k}"))
+    terms = F.array_distinct(F.flatten(F.array(*[_terms(F.col(f"clear{k}")) for k in range(3)])))
+    return line.select(F.xxhash64(F.col("texts")[0]).alias("h"), "entities", terms.alias("terms"))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """df for a join: broadcast if it was counted and is small."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """(entity, term) pairs whose term discloses the entity, over all lines of docs."""
-    rows = _cleared(with_base_spans(docs.select("text")))
-    placed = lambda kind: lambda x: F.struct(_entity(kind, x["value"]).alias("entity"), x["s"].alias("s"))
-    spans = F.concat(*[F.transform(f"_{k}", placed(k)) for k in KINDS])
-    held = _contexts(rows.withColumn("_spans", spans).where("size(_spans) > 0"), "_clear")
-    # the line that a span starts in, among those that aren't empty
-    held = held.withColumn("_spans", F.expr("array_distinct(transform(_spans, x -> struct(x.entity as entity, size(filter(split(substring(_text, 1, cast(x.s + 1 as int)), '\n'), l -> l <> '')) - 1 as k)))"))
-    held = held.select(F.inline("_spans"), F.filter(F.split("_text", "\n"), lambda x: x != "").alias("lines"), "_near")
-    held = cut(held.select("entity", F.xxhash64(F.expr("lines[k]")).alias("h"), F.expr("_near[k]").alias("terms")))
-    by_line = held.groupBy("entity", "h").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("terms")).alias("terms"))
+    held = cut(_holding_lines(docs))
+    each = held.select("h", F.size("terms").alias("terms"), F.explode("entities").alias("entity"))
+    by_line = each.groupBy("entity", "h").agg(F.count(F.lit(1)).alias("n"), F.max("terms").alias("terms"))
     known = cut(by_line.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("d"), F.sum("terms").alias("looked")))
     looked = known.agg(F.sum("looked")).head()[0] or 0
     if not looked:
@@ -151,18 +193,18 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float =
     n = float(docs.select(F.size(F.filter(F.split(F.coalesce(docs["text"].cast("string"), F.lit("")), "\n"), lambda x: x != "")).alias("n")).agg(F.sum("n")).head()[0])
     # an entity, then a term, goes no further if it could not pass even with as few lines as it has itself
     bound = min(chance / looked, 1.0)
-    able = known.where(_unlikely(F.col("d"), F.col("d"), F.col("d") / n, bound)).select("entity", "n_e", "d")
-    shared = held.join(able.select("entity"), "entity").select("entity", "h", F.explode("terms").alias("term"))
+    able = cut(known.where(_unlikely(F.col("d"), F.col("d"), F.col("d") / n, bound)).select("entity", "n_e", "d"))
+    # only then do the lines' terms travel, each line once for an entity that may pass
+    beside = _few(able.select("entity"))
+    alive = held.select("h", "terms", F.explode("entities").alias("entity")).join(beside, "entity", "left_semi")
+    shared = alive.select("entity", "h", F.explode("terms").alias("term"))
     shared = shared.groupBy("entity", "term", "h").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("x"))
-    shared = shared.join(able, "entity").where(_unlikely(F.col("x"), F.col("d"), F.col("x") / n, bound))
-    shared = cut(shared)
-    candidates = shared.select("term").distinct()
-    few = candidates.limit(BROADCAST_ROWS + 1).count()
-    if not few:
+    shared = cut(shared.join(able, "entity").where(_unlikely(F.col("x"), F.col("d"), F.col("x") / n, bound)))
+    candidates = cut(shared.select("term").distinct())
+    if candidates.isEmpty():
         return shared.select("entity", "term")
-    totals = _contexts(rows.select("_clear"), "_clear").select(F.explode("_near").alias("terms")).select(F.explode("terms").alias("term"))
-    totals = totals.join(F.broadcast(candidates), "term", "left_semi").groupBy("term") if few <= BROADCAST_ROWS else totals.groupBy("term")
-    totals = totals.agg(F.count(F.lit(1)).alias("n_t"))
+    totals = _contexts(_cleared(with_base_spans(docs.select("text"))).select("_clear"), "_clear").select(F.explode("_near").alias("terms")).select(F.explode("terms").alias("term"))
+    totals = totals.join(_few(candidates), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     scored = shared.join(totals, "term").where(_unlikely(F.col("x"), F.col("d"), F.col("n_t") / n, bound))
     content = F.log2(F.lit(n) / F.col("n_e"))
     information = F.log2(F.lit(n) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
@@ -182,15 +224,12 @@ def with_spans(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float =
     entities = F.array_distinct(F.concat(*[F.transform(f"_{k}", _on(_entity, k)) for k in KINDS]))
     holders = with_base_spans(docs.select("text")).select(F.xxhash64("_text").alias("_key"), F.explode(entities).alias("entity")).distinct()
     terms = holders.join(by_entity, "entity").groupBy("_key").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("_terms"))
-    terms = cut(terms)
-    terms = F.broadcast(terms) if terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else terms
-    texts = texts.join(terms, "_key", "left")
-    parts, matches = _matches("_text", TERM, F.col("_terms").isNotNull())
+    texts = texts.join(_few(cut(terms)), "_key", "left")
+    texts = _cleared(texts)  # blanks keep places, so what is found there overlaps no base span
+    parts, matches = _matches("_clear", TERM, F.col("_terms").isNotNull())
     texts = texts.withColumns({"_p": parts, "_m": matches}).withColumn("_found", F.when(F.size("_m") > 0, _place("_p", "_m")))
-    base = F.concat(*[F.col(f"_{k}") for k in KINDS])
-    texts = texts.withColumn("_base", base)
-    inside = F.expr("filter(_found, x -> array_contains(_terms, lower(x.value)) and not exists(_base, b -> b.s < x.e and x.s < b.e))")
-    return texts.withColumn("_term", F.coalesce(inside, none)).drop("_p", "_m", "_found", "_base", "_terms", "_key")
+    inside = F.expr("filter(_found, x -> array_contains(_terms, lower(x.value)))")
+    return texts.withColumn("_term", F.coalesce(inside, none)).drop("_p", "_m", "_found", "_clear", "_terms", "_key")
 
 
 def _listed(kind: str) -> Column:
@@ -216,12 +255,8 @@ def sanitised(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float = C
     rows = with_spans(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["text"].alias("text")), disclosure, chance)
     marked = F.concat(*[_marked(k) for k in (*KINDS, "term")])
     rows = rows.withColumn("_marked", F.sort_array(marked))
-    written = F.expr(
-        "aggregate(_marked, struct(cast(0 as bigint) as at, '' as done),"
-        " (a, x) -> case when x.s < a.at then struct(greatest(a.at, -x.e) as at, a.done as done)"
-        " else struct(-x.e as at, concat(a.done, substring(_text, cast(a.at + 1 as int), cast(x.s - a.at as int)), x.by) as done) end,"
-        " a -> concat(a.done, substring(_text, cast(a.at + 1 as int))))"
-    )
+    rows = rows.withColumn("_marked", F.transform("_marked", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), x["by"].alias("by"))))
+    written = _rewritten("_text", "_marked", "if(x.s >= at, x.by, '')")
     changed = F.size("_marked") > 0
     rows = rows.withColumn("_written", F.when(changed, written).otherwise(F.col("text")))
     new = F.col("_row").withField("text", F.col("_written"))

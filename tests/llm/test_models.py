@@ -126,6 +126,31 @@ def test_machine_learns_pairs():
     assert p(0, 1) > 0.9 and p(0) < 0.3 and p(1) < 0.3
 
 
+def test_words_that_tell_only_together(spark, frame):
+    rng = random.Random(8)
+    texts, labels = [], []
+    for i in range(2000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        w = ["".join(rng.choice("aeioulmnrst") for _ in range(3)) for _ in range(25)] + ["kelp"] * a + ["rust"] * b
+        rng.shuffle(w)
+        texts.append(" ".join(w))
+        labels.append((i, int(a != b)))
+    docs = frame(texts)
+    machine = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int").where("doc_id % 4 <> 1"))
+    right = lambda m: sum(r.predicted == labels[r.doc_id][1] for r in toxicity.score(docs.where("doc_id % 4 = 1"), m, 0.5).collect()) / 500
+    linear = toxicity.Machine(machine.bias, machine.known, machine.weights, 0 * machine.factors)
+    assert right(machine) > 0.95 and right(linear) < 0.8
+
+
+def test_telling_pairs():
+    rng = np.random.default_rng(9)
+    x = (rng.random((800, 12)) < 0.5).astype(np.float32)
+    x[:, 11] = x[:, 10]  # nested terms are no pair
+    y = (x[:, 2] != x[:, 7]).astype(int)
+    found = toxicity.telling_pairs(800, int(y.sum()), x.T @ x, x[y == 1].T @ x[y == 1])
+    assert np.flatnonzero(found).tolist() == [2, 7]
+
+
 def test_toxicity_without_labels(spark, frame):
     none = spark.createDataFrame([(None, 1), (3, None)], "doc_id long, toxic int")
     assert {r.predicted for r in toxicity.score(frame(["a", None]), toxicity.train(frame(["a"]), none)).collect()} == {0}

@@ -2,11 +2,14 @@
 
 Terms are the distinct letter runs of the whole text, A-Z folded, and their beginnings (languages that
 inflect an insult share its stem), each also as a term of its own where two, and where three or more, of
-the text's words have it; all are hashed to 31 bits. The machine adds a bias, a weight for each term and, for each pair of terms in a text, the inner product of their factors,
-so it learns what a pair says beyond its parts (an insult beside the mention of a group). It is trained
-on at most TRAIN_ROWS labelled rows: those of smallest seeded hash among the rows that the caller leaves
-in. Their terms are screened by a likelihood-ratio test against the label and the weights shrink by L1, so
-that long texts do not gather noise; the fit itself is full-batch AdaGrad and deterministic.
+the text's words have it; all are hashed to 31 bits. The machine adds a bias, a weight for each term and,
+for each pair of terms in a text, the inner product of their factors, so it learns what a pair says beyond
+its parts (an insult beside the mention of a group). It is trained on at most TRAIN_ROWS labelled rows: those of smallest seeded hash among the rows that the caller leaves
+in. Terms reach the machine by either of two likelihood-ratio tests against the label: a term's own (at most
+MAX_TERMS of them), or what a pair tells beyond its two terms, for all pairs of PAIR_TERMS terms, those that
+tell most by themselves and those that stand in most nearly half of the rows (a pair of rarer ones has too few rows in some cell to
+tell much). So words that mean something only together are learnt, too. Weights shrink by L1, so that long
+texts do not gather noise; the fit itself is full-batch AdaGrad and deterministic.
 
 Scores depend on the text alone. Null texts count as empty, whose score is the bias's. Repeated rows are
 scored alike; rows of a doc_id labelled twice count as toxic if either says so; without labelled rows every
@@ -30,6 +33,8 @@ from topicloom.llm.common import Generations, cut, session, text_column
 TRAIN_ROWS, SEED, THRESHOLD, TERM_BITS = 20_000, 29, 0.3, 31
 MASK, STEMS = (1 << TERM_BITS) - 1, (4, 5, 6, 7, 8)
 FACTORS, MIN_ROWS, MIN_G2, MAX_TERMS, ROUNDS, STEP, L1, L2 = 4, 5, 24.0, 16_384, 300, 0.25, 2e-4, 1e-4
+#: Terms whose pairs are tested (a multiple of 8), and the statistic that a pair must add to its terms' own.
+PAIR_TERMS, PAIR_G2 = 2048, 45.0
 #: ASCII letters fold to lower case, other ASCII parts words, the bytes of other letters stay.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -88,10 +93,61 @@ def _g2(rows: F.Column, ones: F.Column, n: int, p: int) -> F.Column:
 
 
 def screen(examples: DataFrame, n: int, p: int) -> np.ndarray:
-    """The term hashes, ascending, that tell the labels of examples (label, hashes) apart; MAX_TERMS at most."""
+    """The term hashes, ascending, that tell the labels of examples (label, hashes) apart, by themselves or in a pair."""
     counts = examples.select("label", F.explode("hashes").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("ones")).where(F.col("rows") >= MIN_ROWS)
-    best = counts.withColumn("g2", _g2(F.col("rows"), F.col("ones"), n, p)).where(F.col("g2") >= MIN_G2).orderBy(F.desc(F.round("g2", 6)), "h").limit(MAX_TERMS)
-    return np.sort(np.array([r["h"] for r in best.select("h").collect()], np.int64))
+    counts = cut(counts.withColumn("g2", F.round(_g2(F.col("rows"), F.col("ones"), n, p), 6)))
+    alone = [r["h"] for r in counts.where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "h").limit(MAX_TERMS).select("h").collect()]
+    even = [r["h"] for r in counts.orderBy(F.desc(F.least("rows", n - F.col("rows"))), "h").limit(PAIR_TERMS).select("h").collect()]
+    several = np.sort(np.array(list(dict.fromkeys(alone[: PAIR_TERMS // 2] + even))[:PAIR_TERMS], np.int64))
+    return np.union1d(np.array(alone, np.int64), several[telling_pairs(*_co_occurrence(examples, several))])
+
+
+def _co_occurrence(examples: DataFrame, several: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Examples, ones, and of each pair of these terms the examples and ones that have both. A row sends a bit a term to the driver."""
+
+    def held(batches):
+        for batch in batches:
+            out = []
+            for hashes in batch.column(1).to_pylist():
+                bits = np.zeros(-(-len(several) // 8) * 8, np.uint8)
+                bits[np.flatnonzero(np.isin(several, hashes, assume_unique=True))] = 1
+                out.append(np.packbits(bits).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["label", "bits"])
+
+    rows = examples.mapInArrow(held, "label int, bits binary").toArrow()
+    labels, bits, m = rows["label"].to_numpy(), rows["bits"], len(several)
+    both, ones = np.zeros((m, m), np.float32), np.zeros((m, m), np.float32)
+    for k in range(0, len(labels) if m else 0, 1024):
+        part = np.frombuffer(b"".join(bits[k : k + 1024].to_pylist()), np.uint8).reshape(-1, -(-m // 8))
+        x = np.unpackbits(part, axis=1)[:, :m].astype(np.float32)
+        toxic = x[labels[k : k + 1024] == 1]
+        both += x.T @ x
+        ones += toxic.T @ toxic
+    return len(labels), int((labels == 1).sum()), both, ones
+
+
+def _cell(rows: np.ndarray, ones: np.ndarray, n: int, p: int) -> np.ndarray:
+    """A cell's part of the likelihood-ratio statistic against the label."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        part = [np.where(seen > 0, seen * np.log(seen * (n / max(1, of)) / np.maximum(rows, 1)), 0.0) for seen, of in ((ones, p), (rows - ones, n - p))]
+    return 2 * (part[0] + part[1])
+
+
+def telling_pairs(n: int, p: int, both: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Which terms are in a pair whose four cells tell more of the label than its terms do by themselves. Works through rows of the matrix in blocks."""
+    rows, toxic, found = np.diag(both).astype(float), np.diag(ones).astype(float), np.zeros(len(both), bool)
+    alone = _cell(rows, toxic, n, p) + _cell(n - rows, p - toxic, n, p)
+    for k in range(0, len(both), 256):
+        b, o = both[k : k + 256].astype(float), ones[k : k + 256].astype(float)
+        ra, ta = rows[k : k + 256, None], toxic[k : k + 256, None]
+        cells = ((b, o), (ra - b, ta - o), (rows - b, toxic - o), (n - ra - rows + b, p - ta - toxic + o))
+        more = sum(_cell(r, t, n, p) for r, t in cells) - np.maximum(alone[k : k + 256, None] + alone, 0)
+        # a pair counts with rows in all cells: of nested terms one tells nothing beyond the other
+        full = np.minimum.reduce([r for r, _ in cells]) >= MIN_ROWS
+        hit = (more >= PAIR_G2) & full
+        found[k : k + 256] |= hit.any(1)
+        found |= hit.any(0)
+    return found
 
 
 def fit(examples: list[tuple[int, np.ndarray]], known: np.ndarray) -> Machine:

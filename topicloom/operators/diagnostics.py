@@ -3,20 +3,43 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def rank_matrix(pairs: DataFrame, distance: str) -> DataFrame:
-    """pairs (a, b, distance) with the place of b among a's others, 1-based, ties by b."""
-    return pairs.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(distance, "b")))
-
-
-def preserved(pairs: DataFrame, from_: str, to: str, n: int, k: int) -> DataFrame:
-    """One row: 1 - penalty for points that are among the k nearest by `to` but not by `from_` (trustworthiness; swapped: continuity)."""
-    a = rank_matrix(pairs, from_).select("a", "b", F.col("place").alias("true"))
-    b = rank_matrix(pairs, to).where(F.col("place") <= k).select("a", "b")
-    penalty = a.join(b, ["a", "b"]).agg(F.coalesce(F.sum(F.greatest(F.col("true") - k, F.lit(0))), F.lit(0)).alias("p"))
+from topicloom.operators import grid, vectors
+
+
+def places(rows: DataFrame, id_: str, vector: str, metric: str, pairs: DataFrame) -> DataFrame:
+    """pairs (a, b) with the place of b among all of a's others by this distance, 1-based, ties by id. The others are counted in cells; no row of the rank matrix is ever whole."""
+    kind = rows.schema[id_].dataType.simpleString()
+    points = rows.select(F.col(id_).alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id is not null and v is not null")
+    ends = pairs.select("a", "b").join(points.select(F.col("id").alias("b"), F.col("v").alias("vb")), "b")
+    asked = ends.groupBy("a").agg(F.collect_list(F.struct("b", "vb")).alias("t")).join(points.select(F.col("id").alias("a"), F.col("v").alias("va")), "a")
+    asked = asked.select("a", "va", F.col("t.b").alias("bs"), F.col("t.vb").alias("vbs"))
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            ids, others = b["id"].to_numpy(), grid.stacked(b["v"])
+            for at in range(0, len(a), grid.STRIP):
+                strip = a.iloc[at : at + grid.STRIP]
+                for row, d in zip(strip.itertuples(index=False), grid.distances(grid.stacked(strip["va"]), others, metric)):
+                    own = grid.distances(np.asarray(row.va, float)[None], grid.stacked(row.vbs), metric)[0]
+                    for target, far in zip(row.bs, own):
+                        before = (ids != row.a) & ((d < far) | ((d == far) & (ids < target)))
+                        out.append((row.a, target, int(before.sum())))
+        return pd.DataFrame(out, columns=["a", "b", "n"])
+
+    counted = grid.cells(asked, points, "a", "id", run, f"a {kind}, b {kind}, n long")
+    return counted.groupBy("a", "b").agg((F.sum("n") + 1).alias("place"))
+
+
+def preserved(rows: DataFrame, id_: str, true: tuple[str, str], near: tuple[str, str], k: int) -> DataFrame:
+    """One row: 1 - penalty for points that are among the k nearest by `near` but not by `true`, each a vector column and a metric (trustworthiness; swapped: continuity)."""
+    n = F.lit(rows.count())
+    found = places(rows, id_, *true, vectors.nearest(rows, id_, near[0], k, near[1]))
+    penalty = found.agg(F.coalesce(F.sum(F.greatest(F.col("place") - k, F.lit(0))), F.lit(0)).alias("p"))
     return penalty.select((1 - F.col("p") * (2.0 / (n * k * (2 * n - 3 * k - 1)))).alias("value"))
 
 
@@ -48,6 +71,15 @@ def verify_identical(stored: DataFrame, recomputed: DataFrame, keys: list[str],
     return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("different"))
 
 
+def recomputed(rows: DataFrame, key: str, weights: dict[str, float]) -> DataFrame:
+    """(key, score): the weighted percentile ranks of a bounded population, each from counts of the smaller and the equal values; no window is shared with what is audited."""
+    values = rows.select(key, *weights)
+    every = values.agg(F.count(F.lit(1)).alias("_n"), *[F.collect_list(a).alias(f"_{a}") for a in weights])
+    both = values.join(F.broadcast(every))
+    rank = lambda a: (F.size(F.filter(f"_{a}", lambda x: x < F.col(a))) + (F.size(F.filter(f"_{a}", lambda x: x == F.col(a))) - 1) / 2) / F.greatest(F.col("_n") - 1, F.lit(1))
+    return both.select(key, weighted({a: F.when(F.col("_n") == 1, 0.5).otherwise(rank(a)) for a in weights}, weights).alias("score"))
+
+
 def influence(ranks: DataFrame, weights: dict[str, float]) -> DataFrame:
     """(axis, sd, share): how much of the ranking's spread each weighted axis makes."""
     sds = ranks.agg(*[F.stddev_pop(a).alias(a) for a in weights])

@@ -31,12 +31,15 @@ def replace_children(children: DataFrame, parents: DataFrame, new: DataFrame, ke
 
 
 def overwrite_run(table: str, new: DataFrame, run_id: str) -> None:
-    """Replaces one partition of a table partitioned by run_id; an empty frame clears it (dynamic overwrite would not)."""
+    """Replaces one partition of a table partitioned by run_id; an empty frame clears it (dynamic overwrite would not). The new files are written whole beside the old ones before these go."""
     spark = new.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/run_id={run_id}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(path, True)
-    new.drop("run_id").write.mode("append").parquet(f"{table}/run_id={run_id}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    old, beside = path(f"{table}/run_id={run_id}"), path(f"{table}/_new-{run_id}")
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    new.drop("run_id").write.mode("overwrite").parquet(f"{table}/_new-{run_id}")
+    fs.delete(old, True)
+    if not fs.rename(beside, old):
+        raise OSError(f"{table}/_new-{run_id} could not take the old partition's place")
 
 
 def run_status(events: DataFrame) -> DataFrame:

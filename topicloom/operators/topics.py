@@ -21,9 +21,9 @@ def average_linkage(vectors: np.ndarray, threshold: float) -> list[list[int]]:
     sims = (vectors[live] @ vectors[live].T).astype(float)
     np.fill_diagonal(sims, -np.inf)
     size, alive = np.ones(len(groups)), np.ones(len(groups), bool)
+    best = sims.argmax(1)  # each group's nearest; a merge changes few of them
+    top = sims[np.arange(len(sims)), best]
     while True:
-        best = sims.argmax(1)
-        top = sims[np.arange(len(sims)), best]
         i = int(top.argmax())
         if top[i] < threshold:
             break
@@ -35,6 +35,12 @@ def average_linkage(vectors: np.ndarray, threshold: float) -> list[list[int]]:
         groups[i] += groups[j]
         size[i] += size[j]
         alive[j] = False
+        lost = np.flatnonzero((best == i) | (best == j))
+        lost = np.union1d(lost, [i, j])
+        best[lost] = sims[lost].argmax(1)
+        top[lost] = sims[lost, best[lost]]
+        nearer = np.flatnonzero((sims[:, i] > top) | ((sims[:, i] == top) & (best > i) & alive))
+        best[nearer], top[nearer] = i, sims[nearer, i]
     return [sorted(g) for g, a in zip(groups, alive) if a]
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from topicloom.functions import stats, text
+from topicloom.operators import grid
 
 
 @F.pandas_udf(LongType())
@@ -59,14 +61,27 @@ def attach(rows: DataFrame, id_: str, vector: str, topics: DataFrame, topic: str
     return near.where(F.col("best.s") >= threshold).select(id_, (-F.col("best.t")).alias(topic), F.col("best.s").alias("similarity"))
 
 
-def nearest(rows: DataFrame, id_: str, vector: str, k: int, blocks: int = 8) -> DataFrame:
-    """(a, b, similarity, place): the k nearest others of each row by inner product; ties go to the smaller id.
-
-    Rows meet in blocks: one copy of each row for every block of the other side."""
-    a = rows.select(F.col(id_).alias("a"), F.col(vector).cast("array<double>").alias("va"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    b = rows.select(F.col(id_).alias("b"), F.col(vector).cast("array<double>").alias("vb"), F.pmod(F.xxhash64(id_), F.lit(blocks)).cast("int").alias("block"))
-    scored = a.join(b, "block").where("a <> b").select("a", "b", "block", stats.dot(F.col("va"), F.col("vb")).alias("similarity"))
-    within = F.row_number().over(Window.partitionBy("a", "block").orderBy(F.desc("similarity"), "b"))
-    some = scored.withColumn("r", within).where(F.col("r") <= k)
-    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("similarity"), "b"))
-    return some.withColumn("place", place).where(F.col("place") <= k).select("a", "b", "similarity", "place")
+def nearest(rows: DataFrame, id_: str, vector: str, k: int, metric: str = "inner") -> DataFrame:
+    """(a, b, distance, place): the k nearest others of each row, by inner product (distance is its negative) or squared euclidean distance; ties go to the smaller id. Rows without a vector take no part.
+
+    All pairs are looked at, in cells of bounded size; only k rows of each cell go on."""
+    kind = rows.schema[id_].dataType.simpleString()
+    rows = rows.where(F.col(id_).isNotNull() & F.col(vector).isNotNull()).select(F.col(id_).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            ids, others = b["id"].to_numpy(), grid.stacked(b["v"])
+            for at in range(0, len(a), grid.STRIP):
+                strip = a.iloc[at : at + grid.STRIP]
+                for one, d in zip(strip["id"], grid.distances(grid.stacked(strip["v"]), others, metric)):
+                    live = np.flatnonzero(ids != one)
+                    if len(live) > k:
+                        live = live[d[live] <= np.partition(d[live], k - 1)[k - 1]]
+                    live = live[np.lexsort((ids[live], d[live]))[:k]]
+                    out += [(one, ids[x], d[x]) for x in live]
+        return pd.DataFrame(out, columns=["a", "b", "distance"])
+
+    some = grid.cells(rows, rows, "id", "id", run, f"a {kind}, b {kind}, distance double")
+    place = F.row_number().over(Window.partitionBy("a").orderBy("distance", "b"))
+    return some.withColumn("place", place).where(F.col("place") <= k)

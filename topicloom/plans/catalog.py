@@ -71,15 +71,15 @@ def a02_count_documents(spark, d):
     return read(spark, d, "documents").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT vec_id, label FROM embeddings WHERE vec_id IN (SELECT doc_id * 3 FROM documents WHERE doc_id < 200)")
+@query("SELECT vec_id, label FROM embeddings WHERE vec_id IN (SELECT doc_id * 3 FROM documents)")
 def a03_j12_cached_vectors(spark, d):
-    keys = read(spark, d, "documents").where("doc_id < 200").select((F.col("doc_id") * 3).alias("vec_id")).distinct()
+    keys = read(spark, d, "documents").select((F.col("doc_id") * 3).alias("vec_id")).distinct()
     return read(spark, d, "embeddings").join(keys, "vec_id").select("vec_id", "label")
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id < 900 AND doc_id NOT IN (SELECT vec_id FROM embeddings)")
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT vec_id * 2 FROM embeddings)")
 def j12_missing_vectors(spark, d):
-    return read(spark, d, "documents").where("doc_id < 900").select("doc_id").join(read(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id")), "doc_id", "left_anti")
+    return read(spark, d, "documents").select("doc_id").join(read(spark, d, "embeddings").select((F.col("vec_id") * 2).alias("doc_id")), "doc_id", "left_anti")
 
 
 @query("SELECT p_type AS ref_type, p_name AS code, p_partkey AS ref_id FROM part WHERE p_size < 10 ORDER BY 1, 2, 3")
@@ -155,15 +155,15 @@ def u06_u07_run_log(spark, d):
 # ---- filters -------------------------------------------------------------------------------------
 
 
-@query("SELECT SUBSTRING(SHA256(source || CHR(0) || CAST(doc_id AS VARCHAR)), 1, 32) AS id, TRIM(SUBSTRING(text, 1, 40)) AS title, 2018 + doc_id % 9 AS year, CAST(2018 + doc_id % 9 AS VARCHAR) AS time_slice FROM documents")
+@query("SELECT SUBSTRING(SHA256(source || CHR(0) || CAST(doc_id AS VARCHAR)), 1, 32) AS id, TRIM(text) AS title, 2018 + doc_id % 9 AS year, CAST(2018 + doc_id % 9 AS VARCHAR) AS time_slice FROM documents")
 def c01_x14_normalise_document(spark, d):
     docs = roles.docs(spark, d)
-    return docs.select(text.document_id(F.col("source"), F.col("doc_id").cast("string")).alias("id"), F.trim(F.substring("text", 1, 40)).alias("title"), "year", F.col("year").cast("string").alias("time_slice"))
+    return docs.select(text.document_id(F.col("source"), F.col("doc_id").cast("string")).alias("id"), F.trim("text").alias("title"), "year", F.col("year").cast("string").alias("time_slice"))
 
 
-@query("SELECT doc_id, TRIM(COALESCE(SUBSTRING(text, 1, 20), '') || '. ' || COALESCE(lang, '')) AS body, SHA256('key' || CHR(0) || COALESCE(lang, '')) AS hash FROM documents")
+@query("SELECT doc_id, TRIM(COALESCE(text, '') || '. ' || COALESCE(lang, '')) AS body, SHA256('key' || CHR(0) || COALESCE(lang, '')) AS hash FROM documents")
 def c02_x15_document_text(spark, d):
-    return read(spark, d, "documents").select("doc_id", text.document_text(F.substring("text", 1, 20), F.col("lang")).alias("body"), text.content_hash(F.lit("key"), F.coalesce("lang", F.lit(""))).alias("hash"))
+    return read(spark, d, "documents").select("doc_id", text.document_text(F.col("text"), F.col("lang")).alias("body"), text.content_hash(F.lit("key"), F.coalesce("lang", F.lit(""))).alias("hash"))
 
 
 @query(f"SELECT doc_id, CASE WHEN source IN ('src1', 'src2', 'src3') THEN 'forming' ELSE 'attached' END AS role FROM {DOCS}")
@@ -248,9 +248,9 @@ def j01_h04_evidence(spark, d):
     return tables.evidence(members, docs, 5).select("topic_id", "doc_id", F.round("similarity", 2).alias("similarity"))
 
 
-@query("SELECT c_mktsegment, COUNT(*) AS n, COUNT(DISTINCT o_custkey) AS customers FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey < 5 GROUP BY c_mktsegment")
+@query("SELECT c_mktsegment, COUNT(*) AS n, COUNT(DISTINCT o_custkey) AS customers FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment")
 def j02_j05_j07_memberships(spark, d):
-    customers = read(spark, d, "customer").where("c_nationkey < 5")
+    customers = read(spark, d, "customer")
     return read(spark, d, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_custkey").alias("customers"))
 
 
@@ -295,23 +295,23 @@ def f04_novelty(spark, d):
     return _centroids(spark, d).join(F.broadcast(early)).select("topic", F.round(stats.clip(1 - stats.dot(F.col("centroid"), F.col("early"))), 6).alias("novelty"))
 
 
-@query(f"SELECT a.vec_id AS a, b.vec_id AS b, ROUND(LIST_DOT_PRODUCT(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity FROM {POINTS} a JOIN {POINTS} b ON a.vec_id <> b.vec_id WHERE a.vec_id < 500 AND b.vec_id < 500 QUALIFY ROW_NUMBER() OVER (PARTITION BY a.vec_id ORDER BY LIST_DOT_PRODUCT(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) DESC, b.vec_id) <= 5")
+@query(f"SELECT a.vec_id AS a, b.vec_id AS b, ROUND(LIST_DOT_PRODUCT(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity FROM {POINTS} a JOIN {POINTS} b ON a.vec_id <> b.vec_id QUALIFY ROW_NUMBER() OVER (PARTITION BY a.vec_id ORDER BY LIST_DOT_PRODUCT(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) DESC, b.vec_id) <= 5")
 def w14_j15_nearest_neighbours(spark, d):
-    rows = roles.points(spark, d).where("vec_id < 500")
-    return vectors.nearest(rows, "vec_id", "embedding", 5).select("a", "b", F.round("similarity", 6).alias("similarity"))
+    rows = roles.points(spark, d)
+    return vectors.nearest(rows, "vec_id", "embedding", 5).select("a", "b", F.round(-F.col("distance"), 6).alias("similarity"))
 
 
-@query(f"WITH k AS (SELECT a.vec_id AS a, a.topic AS ta, b.topic AS tb FROM {POINTS} a JOIN {POINTS} b ON a.vec_id <> b.vec_id WHERE a.vec_id < 500 AND b.vec_id < 500 QUALIFY ROW_NUMBER() OVER (PARTITION BY a.vec_id ORDER BY LIST_DOT_PRODUCT(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) DESC, b.vec_id) <= 5) SELECT ta AS topic, ROUND(AVG(CASE WHEN ta = tb THEN 1.0 ELSE 0.0 END), 6) AS purity FROM k GROUP BY ta")
+@query(f"WITH k AS (SELECT a.vec_id AS a, a.topic AS ta, b.topic AS tb FROM {POINTS} a JOIN {POINTS} b ON a.vec_id <> b.vec_id QUALIFY ROW_NUMBER() OVER (PARTITION BY a.vec_id ORDER BY LIST_DOT_PRODUCT(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) DESC, b.vec_id) <= 5) SELECT ta AS topic, ROUND(AVG(CASE WHEN ta = tb THEN 1.0 ELSE 0.0 END), 6) AS purity FROM k GROUP BY ta")
 def k12_neighbour_purity(spark, d):
-    rows = roles.points(spark, d).where("vec_id < 500")
+    rows = roles.points(spark, d)
     near = vectors.nearest(rows, "vec_id", "embedding", 5)
     at = rows.select(F.col("vec_id").alias("a"), "topic").alias("x")
     other = rows.select(F.col("vec_id").alias("b"), F.col("topic").alias("topic_b"))
     return near.join(at, "a").join(other, "b").groupBy("topic").agg(F.round(F.avg((F.col("topic") == F.col("topic_b")).cast("double")), 6).alias("purity"))
 
 
-@query("WITH s AS (SELECT l_suppkey, l_partkey, MAX_BY(l_quantity, l_shipdate::VARCHAR || LPAD(CAST(l_orderkey AS VARCHAR), 10, '0') || l_linenumber) AS latest FROM lineitem GROUP BY 1, 2) SELECT l_suppkey, l_partkey, latest, p_brand FROM s JOIN part ON p_partkey = l_partkey WHERE l_suppkey < 20")
+@query("WITH s AS (SELECT l_suppkey, l_partkey, MAX_BY(l_quantity, l_shipdate::VARCHAR || LPAD(CAST(l_orderkey AS VARCHAR), 10, '0') || l_linenumber) AS latest FROM lineitem GROUP BY 1, 2) SELECT l_suppkey, l_partkey, latest, p_brand FROM s JOIN part ON p_partkey = l_partkey")
 def j13_latest_release(spark, d):
     order = F.struct("l_shipdate", "l_orderkey", "l_linenumber")
-    latest = read(spark, d, "lineitem").where("l_suppkey < 20").groupBy("l_suppkey", "l_partkey").agg(F.max_by("l_quantity", order).alias("latest"))
+    latest = read(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.max_by("l_quantity", order).alias("latest"))
     return latest.join(read(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey").select("l_suppkey", "l_partkey", "latest", "p_brand")

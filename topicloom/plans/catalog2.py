@@ -6,9 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from topicloom.functions import stats, text
-from topicloom.operators import diagnostics, series, topics, vectors
+from topicloom.operators import diagnostics, references, series, topics, vectors
 from topicloom.plans import roles
-from topicloom.plans.catalog import COMPOSITE, composite, query, ranked_axes
+from topicloom.plans.catalog import CENTROIDS, COMPOSITE, composite, query, ranked_axes
 from topicloom.plans.roles import BRANDS, DOCS, ITEM_YEARS, USER_DAYS, rank_sql
 from topicloom.session import read
 
@@ -375,19 +375,27 @@ def x27_sorted_set(spark, d):
 
 # ---- scores against references -------------------------------------------------------------------
 
-REFS = "(SELECT n_nationkey AS ref, n_name AS label, CAST(1 + n_nationkey % 3 AS DOUBLE) / 3 AS weight, LOWER(n_name) AS word FROM nation)"
+BEST = f"""WITH t AS (SELECT topic, term, score, place FROM ({TERMS})),
+w AS (SELECT topic, token, SUM(score) AS weight FROM (SELECT topic, score, UNNEST(STRING_SPLIT(term, ' ')) AS token FROM t) GROUP BY 1, 2),
+x AS (SELECT topic, SUM(score) AS total FROM t GROUP BY topic), c AS {CENTROIDS},
+r AS (SELECT n_nationkey AS ref, n_name AS label, (1 + n_nationkey % 3) / 3 AS weight, CAST(embedding AS DOUBLE[]) AS vec, term AS entry FROM nation JOIN embeddings ON vec_id = n_nationkey JOIN t ON t.topic = n_nationkey % 4 AND t.place = 1 + n_nationkey % 7),
+l AS (SELECT ref, w.topic, MIN(w.weight) AS least FROM (SELECT ref, LEN(LIST_DISTINCT(STRING_SPLIT(entry, ' '))) AS n, UNNEST(LIST_DISTINCT(STRING_SPLIT(entry, ' '))) AS token FROM r) u JOIN w USING (token) GROUP BY ref, w.topic, n HAVING COUNT(*) = n),
+s AS (SELECT x.topic, r.ref, r.label, r.weight, 0.6 * GREATEST(LIST_DOT_PRODUCT(c.centroid, r.vec), 0) + 0.4 * LEAST(COALESCE(least, 0) / total, 1) AS blend FROM x JOIN c ON c.topic = x.topic CROSS JOIN r LEFT JOIN l ON l.ref = r.ref AND l.topic = x.topic),
+b AS (SELECT topic, label, ROUND(blend * weight, 9) AS score FROM s QUALIFY ROW_NUMBER() OVER (PARTITION BY topic ORDER BY ROUND(blend * weight, 9) DESC, ref) = 1), k AS (SELECT topic, MAX(blend) AS top FROM s GROUP BY topic)
+SELECT topic, CASE WHEN score > 0 THEN label ELSE '' END AS best, ROUND(CAST(LEAST(GREATEST(score, 0), 1) AS DOUBLE), 6) AS fit, ROUND(CAST(LEAST(GREATEST(score, 0) + CASE WHEN top >= 0.25 THEN 0.1 ELSE 0 END, 1) AS DOUBLE), 6) AS boosted FROM b JOIN k USING (topic)"""
 
 
-@query(f"WITH b AS (SELECT topic, revenue / 1e9 AS x, quantity / 1e6 AS y FROM {BRANDS}), s AS (SELECT topic, r.label, r.ref, ROUND((0.6 * GREATEST(SIN(x * (ref + 1)), 0) + 0.4 * COS(y) * COS(y)) * r.weight, 9) AS score FROM b, {REFS} r) SELECT topic, CASE WHEN score > 0 THEN label ELSE '' END AS best, ROUND(LEAST(GREATEST(score, 0), 1), 6) AS fit, ROUND(LEAST(GREATEST(score, 0) + 0.1, 1), 6) AS boosted FROM s QUALIFY ROW_NUMBER() OVER (PARTITION BY topic ORDER BY score DESC, ref) = 1")
+@query(BEST)
 def j10_f09_f11_f12_best_reference(spark, d):
-    refs = read(spark, d, "nation").select(F.col("n_nationkey").alias("ref"), F.col("n_name").alias("label"), ((1 + F.col("n_nationkey") % 3).cast("double") / 3).alias("weight"))
-    every = refs.agg(F.array_sort(F.collect_list(F.struct("ref", "label", "weight"))).alias("refs"))
-    rows = roles.brands(spark, d).select("topic", (F.col("revenue") / 1e9).alias("x"), (F.col("quantity") / 1e6).alias("y")).join(F.broadcast(every)).select("topic", "x", "y", F.inline("refs"))
-    lexical = F.cos("y") * F.cos("y")
-    blended = (0.6 * F.greatest(F.sin(F.col("x") * (F.col("ref") + 1)), F.lit(0.0)) + 0.4 * lexical) * F.col("weight")
-    rows = rows.withColumn("score", F.round(blended, 9))
-    best = rows.withColumn("rn", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("score"), "ref"))).where("rn = 1")
-    return best.select("topic", F.when(F.col("score") > 0, F.col("label")).otherwise("").alias("best"), F.round(stats.clip(F.col("score")), 6).alias("fit"), F.round(F.least(F.greatest("score", F.lit(0.0)) + 0.1, F.lit(1.0)), 6).alias("boosted"))
+    terms = _benchmark_terms(spark, d)
+    words = references.word_weights(terms, "topic").join(vectors.centroids(roles.points(spark, d), "topic", "embedding"), "topic")
+    entries = terms.select((F.col("topic")).alias("t"), "place", F.array("term").alias("lexicon"))
+    refs = read(spark, d, "nation").join(read(spark, d, "embeddings"), F.col("vec_id") == F.col("n_nationkey"))
+    refs = refs.join(entries, (F.col("t") == F.col("n_nationkey") % 4) & (F.col("place") == 1 + F.col("n_nationkey") % 7))
+    refs = refs.select(F.col("n_nationkey").alias("ref"), F.col("n_name").alias("label"), ((1 + F.col("n_nationkey") % 3) / 3.0).alias("weight"), F.col("embedding").alias("vector"), "lexicon")
+    pairs = references.blends(words, "topic", refs, 0.6, 0.4)
+    rows = references.best_reference(pairs, "topic").join(references.match(pairs, "topic", 0.25), "topic")
+    return rows.select("topic", F.col("label").alias("best"), F.round("score", 6).alias("fit"), F.round(references.with_bonus(F.col("score"), F.col("match")), 6).alias("boosted"))
 
 
 @query(f"WITH t AS (SELECT topic, term, score FROM ({TERMS})), w AS (SELECT topic, UNNEST(STRING_SPLIT(term, ' ')) AS token, score FROM t), m AS (SELECT topic, token, SUM(score) AS weight FROM w GROUP BY 1, 2), x AS (SELECT topic, SUM(score) AS total FROM t GROUP BY topic), e AS (SELECT DISTINCT term AS entry FROM ({PHRASES})) SELECT entry, topic, ROUND(CAST(MIN(weight) / MAX(total) AS DOUBLE), 6) AS overlap FROM (SELECT entry, LEN(LIST_DISTINCT(STRING_SPLIT(entry, ' '))) AS n, UNNEST(LIST_DISTINCT(STRING_SPLIT(entry, ' '))) AS token FROM e) JOIN m USING (token) JOIN x USING (topic) GROUP BY entry, topic, n HAVING COUNT(*) = n")
@@ -405,9 +413,8 @@ def f08_f16_lexicon_overlap(spark, d):
 @query(f"WITH c AS (SELECT token, COUNT(*) AS n FROM (SELECT UNNEST({tokens_sql('text')}) AS token FROM documents) GROUP BY token), t AS (SELECT topic, term, score FROM ({TERMS})), k AS (SELECT topic, term, score, MIN(COALESCE(n, 0)) AS least FROM (SELECT topic, term, score, UNNEST(STRING_SPLIT(term, ' ')) AS token FROM t) LEFT JOIN c USING (token) GROUP BY 1, 2, 3) SELECT topic, ROUND(CAST(SUM(score * LEAST(least / 50.0, 1)) / SUM(score) AS DOUBLE), 6) AS salience FROM k GROUP BY topic")
 def f16_g35_policy_salience(spark, d):
     counts = read(spark, d, "documents").select(F.explode(text.tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    parts = _benchmark_terms(spark, d).select("topic", "term", "score", F.explode(F.split("term", " ")).alias("token")).join(counts, "token", "left")
-    least = parts.groupBy("topic", "term", "score").agg(F.min(F.coalesce("n", F.lit(0))).alias("least"))
-    return least.groupBy("topic").agg(F.round(F.sum(F.col("score") * F.least(F.col("least") / 50.0, F.lit(1.0))) / F.sum("score"), 6).alias("salience"))
+    found = references.policy_salience(_benchmark_terms(spark, d), "topic", counts.withColumnRenamed("token", "word"))
+    return found.select("topic", F.round("salience", 6).alias("salience"))
 
 
 @query("SELECT n_nationkey, n_name || ' ' || r_name AS label, LOWER(r_name) || ':' || CAST(n_nationkey AS VARCHAR) AS ref_id FROM nation JOIN region ON r_regionkey = n_regionkey")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions import stats, text
-from topicloom.operators import diagnostics, graph, series, topics, vectors
+from topicloom.operators import diagnostics, graph, references, series, topics, vectors
 
 
 @dataclass
@@ -27,12 +27,19 @@ class Settings:
     attention: tuple[str, ...] = ()
     patents: tuple[str, ...] = ()
     match: tuple[float, float] = (0.5, 0.5)
+    critical_threshold: float | None = 0.25
     min_documents: int = 15
     emergence: dict[str, float] = field(default_factory=lambda: {"novelty": 0.2, "growth": 0.3, "coherence": 0.15, "impact": 0.2, "uncertainty": 0.15})
     index: dict[str, float] = field(default_factory=lambda: {"research_growth": 0.3, "attention": 0.25, "attention_tone": 0.1, "patent_activity": 0.2})
     composite: dict[str, float] = field(default_factory=lambda: {"emergence": 0.4, "fit": 0.35, "leverage": 0.25})
 
 
+def _dense(sparse: DataFrame, id_: str, dim: int) -> DataFrame:
+    """(id, vector) of sparse (id, idx, weight)."""
+    rows = sparse.groupBy(id_).agg(F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("m"))
+    return rows.select(id_, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.coalesce(F.try_element_at(F.col("m"), k.cast("long")), F.lit(0.0))).alias("vector"))
+
+
 def topic_model(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """((topic_id, doc_id, similarity, forming), (doc_id, vector)): members of labelled clusters, with documents of the other sources attached to frozen centroids."""
     body = text.document_text(F.col("title"), F.col("abstract"))
@@ -42,9 +49,7 @@ def topic_model(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFra
     own = sparse.join(forming, "doc_id")
     pairs = vectors.similar_pairs(own, "doc_id", settings.threshold)
     parts = graph.component_labels(own.select("doc_id").distinct(), pairs, "doc_id")
-    dense = sparse.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("m"))
-    dense = dense.select("doc_id", F.transform(F.sequence(F.lit(0), F.lit(settings.dim - 1)), lambda k: F.coalesce(F.try_element_at(F.col("m"), k.cast("long")), F.lit(0.0))).alias("vector"))
-    dense = dense.checkpoint()
+    dense = _dense(sparse, "doc_id", settings.dim).checkpoint()
     clusters = topics.cluster(dense.join(parts, "doc_id"), "doc_id", "vector", "component", settings.threshold, settings.min_topic_size, settings.max_topics)
     centres = vectors.centroids(clusters.join(dense, "doc_id"), "topic_id", "vector").checkpoint()
     at = centres.withColumn("ord", F.substring("topic_id", 2, 9).cast("int"))
@@ -88,6 +93,36 @@ def attributes(docs: DataFrame, members: DataFrame, dense: DataFrame, settings:
     return rows.join(F.broadcast(cuts)).withColumn("horizon", stats.horizon(F.col("maturity"))).withColumn("signal", stats.signal_class(F.col("avg_proportion"), F.col("growth"), F.col("cp"), F.col("cg"))).drop("cp", "cg")
 
 
+def reference_scores(docs: DataFrame, members: DataFrame, dense: DataFrame, refs: DataFrame, settings: Settings) -> DataFrame:
+    """refs (ref, kind: objective, capability or critical; label, weight, body, lexicon) -> (topic_id, fit, objective, leverage, capability, critical): each topic's best references by vector and lexicon; a critical one that it matches raises its fit."""
+    text_of = text.document_text(F.col("title"), F.col("abstract"))
+    body = members.where("forming").join(docs, "doc_id").select("topic_id", text_of.alias("body"))
+    words = references.word_weights(topics.terms(body, "topic_id", "body"), "topic_id")
+    words = words.join(vectors.centroids(members.where("forming").join(dense, "doc_id"), "topic_id", "vector"), "topic_id").checkpoint()
+    fitted = vectors.features(docs, "doc_id", text_of, settings.dim, "blake2b").withColumnRenamed("doc_id", "ref")
+    sparse = vectors.tfidf(vectors.features(refs, "ref", F.col("body"), settings.dim, "blake2b"), "ref", fitted)
+    refs = refs.join(_dense(sparse, "ref", settings.dim), "ref").select("ref", "kind", "label", "weight", "vector", "lexicon").checkpoint()
+    pairs = lambda kind: references.blends(words, "topic_id", refs.where(F.col("kind") == kind).drop("kind"), *settings.match)
+    best = lambda kind, score: references.best_reference(pairs(kind), "topic_id").select("topic_id", F.col("score").alias(score), F.col("label").alias(kind))
+    critical = references.match(pairs("critical"), "topic_id", settings.critical_threshold).withColumnRenamed("match", "critical")
+    rows = words.select("topic_id").join(best("objective", "fit"), "topic_id", "left").join(best("capability", "leverage"), "topic_id", "left").join(critical, "topic_id", "left").na.fill(0.0, ["fit", "leverage"])
+    return rows.withColumn("fit", references.with_bonus(F.col("fit"), F.col("critical")))
+
+
+def opportunities(docs: DataFrame, members: DataFrame, rows: DataFrame, settings: Settings) -> tuple[DataFrame, dict[str, float]]:
+    """(topic_id, research_growth, attention, attention_tone, patent_activity, opportunity) and the weights used; docs may have a tone, which counts on documents of attention."""
+    joined = members.join(docs, "doc_id")
+    shares = references.source_shares(joined, "topic_id", {"research": settings.research, "attention": settings.attention, "patent_activity": settings.patents})
+    if "tone" in docs.columns:
+        tones = joined.groupBy("topic_id").agg(stats.tone_share(F.avg(F.when(F.col("source").isin(*settings.attention), F.col("tone")))).alias("attention_tone"))
+        shares = shares.join(tones, "topic_id")
+    else:
+        shares = shares.withColumn("attention_tone", F.lit(0.0))
+    shares = shares.join(rows.select("topic_id", "cagr"), "topic_id").withColumn("research_growth", F.greatest("cagr", F.lit(0.0)) * F.col("research"))
+    found, used = references.opportunity(shares, settings.index, settings.min_documents)
+    return found.select("topic_id", *settings.index, "opportunity"), used
+
+
 def ranked(rows: DataFrame, scores: DataFrame, settings: Settings) -> DataFrame:
     """rows of attributes() with scores (topic_id, fit, leverage; missing: 0): composite, rank, quadrant."""
     rows = rows.join(scores, "topic_id", "left").na.fill(0.0, ["fit", "leverage"])

@@ -155,6 +155,31 @@ def test_top_k_against_brute_force(spark):
     assert topk.top_k(df.limit(0)).collect() == []
 
 
+def test_top_k_of_repeated_ids_and_wide_numbers(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 2.0]), (3, [1e17, -1e17]), (100, [1e17, 1e17]), (4, [1e300, 0.0])]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, score string, rank int")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, k=3).collect())
+    top = (1 << 63) - 1
+    floors = {i: [min(top, int(256 * x)) for x in v] for i, v in rows if i not in (50, 100)} | {100: [min(top, int(256 * 1e17))] * 2}
+    want = []
+    for i, q in rows:
+        if i % 50 == 0:
+            w = [min(top, int(256 * x)) for x in q]
+            scores = sorted((-(w[0] * v[0] + w[1] * v[1]), j) for j, v in [*floors.items(), *((50, [256 * int(a) for a in x]) for y, x in rows if y == 50)] if j != i)[:3]
+            want += [(i, k + 1, j, max(-top - 1, min(top, -s))) for k, (s, j) in enumerate(scores)]
+    # cut scores tie and go by id, as they do in the result's own order
+    assert sorted((q, s) for q, _, _, s in got) == sorted((q, s) for q, _, _, s in want)
+    assert [r for r in got if r[0] == 50] == sorted(r for r in want if r[0] == 50)
+
+
+def test_rows_without_an_id_are_dealt_out(spark):
+    df = spark.createDataFrame([(None, "same text", "en", "s", "x")] * 900 + [(1, "a", "en", "s", "y")], "doc_id long, text string, lang string, source string, h string")
+    got = sharding.shards(df).toPandas()
+    assert len(got) == 901 and sorted(got.groupby("shard").size().unique().tolist()) in ([56, 57], [56], [57])
+    assert all(sorted(part.slot) == list(range(len(part))) for _, part in got.groupby("shard"))
+    assert simhash.near_duplicates(df).where("doc_id is null and component_id = 1").count() == 0
+
+
 def test_cell_prunes_nothing_it_needs():
     rng = np.random.default_rng(7)
     x = rng.integers(-20, 20, (300, 24))

@@ -162,7 +162,9 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabulary
     """The pieces with sequence_id and offset; offsets of a sequence are gapless from 0."""
     found = cut(pieces(docs, window, end_id, vocabulary, folder, with_ids))
     groups = max(1, -(-found.count() // group_pieces))
-    found = found.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(groups)).cast("int"))
+    # rows without a doc_id may be equal in any number: their place in the checkpointed table tells them apart
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long"))
+    found = found.withColumn("_place", place).withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", "_place"), F.lit(groups)).cast("int")).drop("_place")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)

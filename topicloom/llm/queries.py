@@ -68,10 +68,10 @@ QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram, op3_packing, op4_html, op
 #: The others need a vocabulary, XXH64, a trained model or positions of matches, which DuckDB's SQL lacks; tests hold them against brute force.
 ORACLES: dict[str, str] = {
     "op10_topk": """
-WITH v AS (SELECT vec_id, LIST_TRANSFORM(embedding, lambda x: FLOOR(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+WITH v AS (SELECT vec_id, ROW_NUMBER() OVER () AS r, LIST_TRANSFORM(embedding, lambda x: FLOOR(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND LEN(LIST_FILTER(embedding, lambda x: x IS NULL OR NOT ISFINITE(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(LIST_DOT_PRODUCT(q.v, c.v) AS BIGINT) AS score
+s AS (SELECT q.vec_id AS query_id, q.r, c.vec_id, CAST(LIST_DOT_PRODUCT(q.v, c.v) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND LEN(q.v) = LEN(c.v) WHERE q.vec_id % 50 = 0)
-SELECT query_id, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+SELECT query_id, CAST(ROW_NUMBER() OVER (PARTITION BY query_id, r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5""",
 }

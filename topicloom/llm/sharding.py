@@ -6,8 +6,9 @@ the corpus's proportion and counts differ by one at most. Both ranks are found w
 source, or the table, in one task: rows fall into buckets of the (uniform) hash or fraction, bucket
 counts are summed up to offsets, and only a bucket's rows are sorted together.
 
-Null texts count as empty, null sources are a stratum of their own, null doc_ids hash as a value; equal
-rows are interchangeable. An empty table gives an empty result; further columns are ignored.
+Null texts count as empty, null sources are a stratum of their own. The hash is of doc_id, text and, where
+doc_id is null, the row's place in the table, so that such rows do not share one; equal rows are
+interchangeable. An empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,9 +38,10 @@ def shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFra
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.when(docs["source"].isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), docs["source"].cast("string"))).alias("stratum"),
-        F.xxhash64(F.lit(seed), docs["doc_id"].cast("long")).alias("h"),
     )
     rows = cut(rows)
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long"))
+    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size", place))
     total = rows.count()
     buckets = max(16, min(MAX_BUCKETS, total // BUCKET_ROWS))
     rows = rows.withColumn("hb", F.pmod("h", F.lit(buckets)).cast("int"))

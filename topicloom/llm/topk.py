@@ -9,12 +9,15 @@ remaining norms) is under the k-th best known is dropped, and the survivors are
 bests meet per query in one last top k. Ties go to the smaller vec_id.
 
 Vectors that are null or hold null or non-finite components take no part; vectors of different lengths
-do not meet. Rows that share the query's vec_id count as its own. An empty table, or one without
+do not meet. Rows that share the query's vec_id count as its own; each row of a repeated vec_id is a query and
+has its own ranks. Components beyond 64 bits saturate; vectors of norm 2^31 or more are scored by whole numbers of
+any size, and scores beyond 64 bits saturate, too. An empty table, or one without
 queries, gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 
 import numpy as np
@@ -65,13 +68,24 @@ def cell_top_k(query_ids, queries, ids, vectors, k: int = K, block: int = BLOCK_
     return out_q, out_i, out_s
 
 
+def exact_top_k(query_ids, queries, ids, vectors, k: int = K):
+    """As cell_top_k, for vectors whose products may pass 64 bits: (query, id, score), scores cut to 64 bits after they are compared."""
+    out = []
+    every = [list(map(int, v)) for v in vectors]
+    for q_id, q in zip(query_ids, queries):
+        q = list(map(int, q))
+        scores = [(-sum(map(int.__mul__, q, v)), int(i)) for i, v in zip(ids, every) if i != q_id]
+        out += [(q_id, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for s, i in heapq.nsmallest(k, scores)]
+    return tuple(zip(*out)) if out else ((), (), ())
+
+
 def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale: int = SCALE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each vec_id divisible by query_every its k best other rows."""
     session(vectors.sparkSession)
     x = F.col("embedding").cast("array<double>")
     usable = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
     rows = vectors.where(F.col("vec_id").isNotNull() & usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v"))
-    rows = cut(rows.withColumn("dims", F.size("v")))
+    rows = cut(rows.withColumn("dims", F.size("v"))).withColumn("row", F.monotonically_increasing_id())
     n, nq = rows.count(), rows.where(F.col("vec_id") % query_every == 0).count()
     across, down = max(1, -(-n // CELL_ROWS)), max(1, -(-nq // CELL_QUERIES))
     across = max(across, min(-(-n // 1000), -(-vectors.sparkSession.sparkContext.defaultParallelism // down)))
@@ -81,11 +95,25 @@ def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale:
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         q, c = cell[cell["is_query"]], cell[~cell["is_query"]]
         if not len(q) or not len(c):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({"query_id": [], "row": [], "vec_id": [], "score": []}).astype("int64")
         stack = lambda s: np.stack([np.asarray(v, np.int64) for v in s])
-        got = cell_top_k(q["vec_id"].to_numpy(), stack(q["v"]), c["vec_id"].to_numpy(), stack(c["v"]), k)
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), got))).astype("int64")
+        ids, rows, wanted, others = q["vec_id"].to_numpy(), q["row"].to_numpy(), stack(q["v"]), stack(c["v"])
+        theirs = c["vec_id"].to_numpy()
+        large = lambda x: np.square(x.astype(float)).sum(1) >= float(1 << 62)
+        far, wide, out = large(wanted), large(others), []
+        # each of the query's rows for itself: a repeated vec_id is as many queries
+        while len(ids):
+            first = np.unique(ids, return_index=True)[1]
+            for of, queries_, among in ((cell_top_k, ~far, ~wide), (exact_top_k, ~far, wide), (exact_top_k, far, wide | True)):
+                mine = first[queries_[first]]
+                if len(mine) and among.any():
+                    got_q, got_i, got_s = of(ids[mine], wanted[mine], theirs[among], others[among], k)
+                    row_of = dict(zip(ids[mine].tolist(), rows[mine].tolist()))
+                    out += [(int(x), row_of[int(x)], int(y), int(z)) for x, y, z in zip(got_q, got_i, got_s)]
+            rest = np.setdiff1d(np.arange(len(ids)), first)
+            ids, rows, wanted, far = ids[rest], rows[rest], wanted[rest], far[rest]
+        return pd.DataFrame(out, columns=["query_id", "row", "vec_id", "score"]).astype("int64")
 
-    found = queries.unionByName(others).groupBy("dims", "i", "j").applyInPandas(run, "query_id long, vec_id long, score long")
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = queries.unionByName(others).groupBy("dims", "i", "j").applyInPandas(run, "query_id long, row long, vec_id long, score long")
+    best = F.row_number().over(Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

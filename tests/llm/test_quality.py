@@ -100,7 +100,7 @@ def test_the_determinant_never_rises(spark):
     params = quality._starts(used)
     assert params.count() == 3
     for _ in range(3):
-        moved = quality._concentrated(used, params)
+        moved = quality._concentrated(used, params, 2)
         a, b = ({r["start"]: r["logdet"] for r in p.collect()} for p in (params, moved))
         if _:
             assert all(b[k] <= a[k] + 0.02 for k in a)

@@ -61,6 +61,8 @@ def spread(df: DataFrame) -> DataFrame:
 
 def beside_hot(rows: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """rows joined with `one`, which holds a key once. Keys of over HOT_ROWS of the rows are taken out by broadcast (of these there are few; if not, they are dealt out over salts), so that none gathers in a task."""
+    if rows.limit(HOT_ROWS + 1).count() <= HOT_ROWS:  # so few rows have no such key
+        return rows.join(one, key, how)
     hot = cut(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS).select(key))
     if hot.isEmpty():
         return rows.join(one, key, how)

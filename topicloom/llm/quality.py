@@ -116,28 +116,39 @@ def _distance() -> Column:
     return sum((x * x for x in z[1:]), z[0] * z[0])
 
 
+def _broadcast(params: DataFrame, groups: int) -> DataFrame:
+    """params of so many groups: broadcast if they are few."""
+    return F.broadcast(params) if groups <= BROADCAST_GROUPS else params
+
+
 def _beside(params: DataFrame) -> DataFrame:
     """One row a group: broadcast while these are few, so that no group's rows gather; beyond, both sides shuffle."""
     return F.broadcast(params) if params.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS else params
 
 
-def _bucketed(used: DataFrame, params: DataFrame) -> DataFrame:
-    """used with b, the bucket of its distance under each start of its group's params."""
-    return used.join(_beside(params.select("group", "start", *MOMENTS[:D], *FACTOR)), "group").withColumn("b", F.floor(F.log1p(_distance()) * PER_UNIT).cast("int"))
+def _small(df: DataFrame, groups: int) -> DataFrame:
+    """A few rows a group, in as few tasks as these need."""
+    return df.coalesce(max(1, groups // 500))
+
+
+def _bucketed(used: DataFrame, params: DataFrame, groups: int) -> DataFrame:
+    """used with b, the bucket of its distance under each start of its group's params, and the start's last determinant."""
+    params = params.select("group", "start", "logdet", *MOMENTS[:D], *FACTOR)
+    return used.join(_broadcast(params, groups), "group").withColumn("b", F.floor(F.log1p(_distance()) * PER_UNIT).cast("int"))
 
 
-def _concentrated(used: DataFrame, params: DataFrame) -> DataFrame:
-    """params after a concentration step."""
-    near = _bucketed(used, params)
-    bars = cut(_from_histogram(near, ["group", "start"], "b", {"bar": 0.5}).select(F.col("group").alias("_g"), F.col("start").alias("_s"), "bar", "bar_part"))
-    half = near.join(_beside(bars), (F.col("group") == F.col("_g")) & (F.col("start") == F.col("_s"))).where("b <= bar")
+def _concentrated(used: DataFrame, params: DataFrame, groups: int) -> DataFrame:
+    """params after a concentration step, with the determinant before it."""
+    near = _bucketed(used, params, groups)
+    bars = _from_histogram(near, ["group", "start"], "b", {"bar": 0.5}).select(F.col("group").alias("_g"), F.col("start").alias("_s"), "bar", "bar_part")
+    half = near.join(_broadcast(bars, groups), (F.col("group") == F.col("_g")) & (F.col("start") == F.col("_s"))).where("b <= bar")
     w = F.when(F.col("b") < F.col("bar"), F.lit(1.0)).otherwise(F.col("bar_part"))
     # about the last centre, so that sums of squares do not cancel
     u = [F.col(v) - F.col(f"m_{i}") for i, v in enumerate(VARIABLES)]
-    sums = [F.sum(w).alias("w"), *[F.first(f"m_{i}").alias(f"o_{i}") for i in range(D)], *[F.sum(w * u[i]).alias(f"s_{i}") for i in range(D)], *[F.sum(w * u[i] * u[j]).alias(f"q_{i}{j}") for i in range(D) for j in range(i + 1)]]
+    sums = [F.sum(w).alias("w"), F.first("logdet").alias("before"), *[F.first(f"m_{i}").alias(f"o_{i}") for i in range(D)], *[F.sum(w * u[i]).alias(f"s_{i}") for i in range(D)], *[F.sum(w * u[i] * u[j]).alias(f"q_{i}{j}") for i in range(D) for j in range(i + 1)]]
     mean = lambda c: F.col(c) / F.col("w")
-    got = half.groupBy("group", "start").agg(*sums)
-    got = got.select("group", "start", *[(F.col(f"o_{i}") + mean(f"s_{i}")).alias(f"m_{i}") for i in range(D)], *[(mean(f"q_{i}{j}") - mean(f"s_{i}") * mean(f"s_{j}")).alias(f"c_{i}{j}") for i in range(D) for j in range(i + 1)])
+    got = _small(half.groupBy("group", "start").agg(*sums), groups)
+    got = got.select("group", "start", "before", *[(F.col(f"o_{i}") + mean(f"s_{i}")).alias(f"m_{i}") for i in range(D)], *[(mean(f"q_{i}{j}") - mean(f"s_{i}") * mean(f"s_{j}")).alias(f"c_{i}{j}") for i in range(D) for j in range(i + 1)])
     return cut(_with_factor(got))
 
 
@@ -157,25 +168,26 @@ def _starts(used: DataFrame) -> DataFrame:
 def estimates(rows: DataFrame) -> DataFrame:
     """rows of with_vector -> for each group its mean and factor; the group "" is that of all rows and serves groups that have no row here."""
     own = cut(rows.where(~F.col("base_failed")).select("group", *VARIABLES))
+    # vectors are small and read often: in as few tasks as they need
+    own = own.coalesce(max(own.sparkSession.sparkContext.defaultParallelism, own.count() // 500_000))
     used = own.select(F.explode(F.array("group", F.lit(""))).alias("group"), *VARIABLES)
     params = _starts(used)
+    groups = params.select("group").distinct().count()
     for _ in range(FIRST_STEPS):
-        params = _concentrated(used, params)
+        params = _concentrated(used, params, groups)
     best = params.groupBy("group").agg(F.min(F.struct("logdet", "start")).alias("x")).select("group", "x.start")
-    params = cut(params.join(best, ["group", "start"]))
+    params = cut(_small(params.join(_broadcast(best, groups), ["group", "start"]), groups))
     for _ in range(MAX_STEPS):
-        moved = _concentrated(used, params)
-        change = params.select("group", F.col("logdet").alias("before")).join(moved.select("group", "logdet"), "group")
-        params = moved
-        if change.where(F.col("before") - F.col("logdet") > STILL).isEmpty():
+        params = _concentrated(used, params, groups)
+        if params.where(F.col("before") - F.col("logdet") > STILL).isEmpty():
             break
     # scaled for consistency: half of the rows lie within the median of chi-square
-    bars = _from_histogram(_bucketed(used, params), ["group"], "b", {"bar": 0.5})
+    bars = _from_histogram(_bucketed(used, params, groups), ["group"], "b", {"bar": 0.5})
     spreads = sum((F.when(F.col(f"c_{i}{i}") > FLOORS[i] ** 2, 1).otherwise(0) for i in range(D)), F.lit(0))
     median = F.element_at(F.array(*[F.lit(x) for x in MEDIANS]), F.greatest(spreads, F.lit(1)))
     scale = F.greatest(F.expm1((F.col("bar") + F.col("bar_part")) / PER_UNIT) / median, F.lit(1.0))
     params = params.join(bars, "group").withColumn("scale", scale)
-    params = cut(params.select("group", "of", *MOMENTS[:D], *[(F.col(c) * F.col("scale")).alias(c) for c in MOMENTS[D:]]))
+    params = cut(_small(params, groups).select("group", "of", *MOMENTS[:D], *[(F.col(c) * F.col("scale")).alias(c) for c in MOMENTS[D:]]))
     whole = params.where("group = ''").first()
     if whole is None:
         return _with_factor(params)

@@ -35,6 +35,8 @@ MASK, STEMS = (1 << TERM_BITS) - 1, (4, 5, 6, 7, 8)
 FACTORS, MIN_ROWS, MIN_G2, MAX_TERMS, ROUNDS, STEP, L1, L2 = 4, 5, 24.0, 16_384, 300, 0.25, 2e-4, 1e-4
 #: Terms whose pairs are tested (a multiple of 8), and the statistic that a pair must add to its terms' own.
 PAIR_TERMS, PAIR_G2 = 2048, 45.0
+#: Examples that the fit unpacks at once; the share of the examples above which a term is kept as bits.
+BLOCK, BUSY = 1024, 1 / 16
 #: ASCII letters fold to lower case, other ASCII parts words, the bytes of other letters stay.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -150,29 +152,51 @@ def telling_pairs(n: int, p: int, both: np.ndarray, ones: np.ndarray) -> np.ndar
     return found
 
 
+def _blocks(examples: list[tuple[int, np.ndarray]], m: int):
+    """Which of m terms the examples have, a byte each, for BLOCK examples at a time."""
+    for k in range(0, len(examples), BLOCK):
+        held = np.zeros((len(examples[k : k + BLOCK]), m), np.uint8)
+        for i, (_, at) in enumerate(examples[k : k + BLOCK]):
+            held[i, at.astype(np.int64)] = 1
+        yield held
+
+
 def fit(examples: list[tuple[int, np.ndarray]], known: np.ndarray) -> Machine:
-    """Of (label, places in `known` of the terms present) pairs."""
+    """Of (label, places in `known` of the terms present) pairs. Terms of over BUSY of the examples are kept as bits and
+    multiplied as a matrix, a block of examples at a time; the others are kept as places."""
     y = np.array([label for label, _ in examples], float)
     if not len(y) or not y.any():
         return Machine(-35.0, np.empty(0, np.int64), np.empty(0), np.empty((0, FACTORS)))
-    at = np.concatenate([x for _, x in examples]).astype(np.int64)
-    row = np.repeat(np.arange(len(examples)), [len(x) for _, x in examples])
+    rows, columns = np.zeros(len(known), np.int64), []
+    for held in _blocks(examples, len(known)):
+        rows += held.sum(0, dtype=np.int64)
+        columns.append(np.packbits(held, axis=0))
     # of terms that stand in the same texts (a stem and its parts) one serves
-    order = np.argsort(at, kind="stable")
-    ends = np.searchsorted(at[order], np.arange(len(known) + 1))
     first: dict[bytes, int] = {}
-    own = np.array([first.setdefault(np.sort(row[order[a:b]]).tobytes(), k) == k for k, (a, b) in enumerate(zip(ends, ends[1:]))], bool)
-    here = own[at] if len(at) else np.empty(0, bool)
-    at, row, known = (np.cumsum(own) - 1)[at[here]], row[here], known[own] if len(known) else known
-    n, m = len(y), len(known)
+    own = np.array([first.setdefault(xxhash.xxh3_128_digest(c.tobytes()), k) == k for k, c in enumerate(np.concatenate(columns).T)], bool)
+    own, columns = np.flatnonzero(own), None
+    busy, rare = np.flatnonzero(rows[own] > BUSY * len(y)), np.flatnonzero(rows[own] <= BUSY * len(y))
+    parts = []
+    for k, held in enumerate(_blocks(examples, len(known))):
+        row, at = np.nonzero(held[:, own[rare]])
+        parts.append((y[k * BLOCK : (k + 1) * BLOCK], np.packbits(held[:, own[busy]], axis=1), row, rare[at]))
+    known, n, m = known[own], len(y), len(own)
     bias, w, v = math.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)), np.zeros(m), np.random.default_rng(SEED).normal(0, 0.01, (m, FACTORS))
     past_b, past_w, past_v = 1e-8, np.full(m, 1e-8), np.full((m, FACTORS), 1e-8)
     for _ in range(ROUNDS):
-        sums = np.stack([np.bincount(row, v[at, f], minlength=n) for f in range(FACTORS)], 1)
-        squares = np.bincount(row, np.square(v[at]).sum(1), minlength=n)
-        gap = (sigmoid(bias + np.bincount(row, w[at], minlength=n) + 0.5 * (np.square(sums).sum(1) - squares)) - y) / n
-        gb, gw = gap.sum(), np.bincount(at, gap[row], minlength=m)
-        gv = np.stack([np.bincount(at, gap[row] * (sums[row, f] - v[at, f]), minlength=m) for f in range(FACTORS)], 1) + L2 * v
+        # of each term its weight, its factors' squares and its factors; back come the gaps and the gaps times the sums
+        there, back, gb = np.column_stack([w, np.square(v).sum(1), v]), np.zeros((m, 1 + FACTORS)), 0.0
+        there_busy, back_busy = there[busy].astype(np.float32), np.zeros((len(busy), 1 + FACTORS))
+        for label, bits, row, at in parts:
+            held = np.unpackbits(bits, axis=1, count=len(busy)).astype(np.float32)
+            got = held @ there_busy + np.stack([np.bincount(row, there[at, c], minlength=len(label)) for c in range(2 + FACTORS)], 1)
+            gap = (sigmoid(bias + got[:, 0] + 0.5 * (np.square(got[:, 2:]).sum(1) - got[:, 1])) - label) / n
+            gaps = np.column_stack([gap, gap[:, None] * got[:, 2:]])
+            back_busy += held.T @ gaps.astype(np.float32)
+            back += np.stack([np.bincount(at, gaps[row, c], minlength=m) for c in range(1 + FACTORS)], 1)
+            gb += gap.sum()
+        back[busy] += back_busy
+        gw, gv = back[:, 0], back[:, 1:] - v * back[:, :1] + L2 * v
         past_b, past_w, past_v = past_b + gb * gb, past_w + gw * gw, past_v + gv * gv
         bias -= STEP * gb / math.sqrt(past_b)
         rate = STEP / np.sqrt(past_w)

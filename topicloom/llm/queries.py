@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import bpe, html, ngram, packing, pii, quality, repeats, sharding, simhash, topk, toxicity
+from topicloom.llm import bpe, collocations, html, ngram, packing, pii, quality, repeats, sharding, simhash, topk, toxicity
 from topicloom.llm.common import table
 
 
@@ -70,7 +70,11 @@ def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram, op3_packing, op4_html, op5_simhash, op6_sharding, op7_toxicity, op8_quality, op9_pii, op10_topk, op11_repeats)}
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ngram, op3_packing, op4_html, op5_simhash, op6_sharding, op7_toxicity, op8_quality, op9_pii, op10_topk, op11_repeats, op12_collocations)}
 #: The others need a vocabulary, XXH64, a trained model or positions of matches, which DuckDB's SQL lacks; tests hold them against brute force.
 ORACLES: dict[str, str] = {
     "op10_topk": """

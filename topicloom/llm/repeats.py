@@ -14,8 +14,10 @@ sorted order is then verified byte by byte; a class of suffixes that fails (a co
 suffixes that agree in `length` bytes the earliest stays, the others' bytes go.
 
 Bounds. A task holds BATCH bytes of text, or BUCKET segments with as many again of one anchor. An anchor of more than HOT
-different segments is dealt over salts by segment; the strings that each salt finds first, then one row each, meet
-once more, dealt by their content. One document, its spans and its bytes must fit in a task.
+different segments (a common line in ever other surroundings) is crowded: its segments are cut in halves by the anchor's
+offset. The strings of a half share more bytes than the anchor, and by these they are combined and counted again, until no
+anchor is crowded; so what a passage has in common is told apart from its surroundings without a row for each string.
+One document, its spans and its bytes must fit in a task. Texts travel compressed.
 
 Nulls are empty texts. Texts shorter than `length` keep all. Rows that repeat both doc_id and text are one document, listed as
 often as it came. An empty table gives an empty result; further columns are ignored.
@@ -26,14 +28,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.llm.common import cut, session, text_column
 
-LENGTH, GRAM = 100, 32
-#: Bytes whose hashes a task has at once; bytes of text within which it combines segments; segments of a bucket and of an anchor beyond which it is dealt out.
-PIECE, BATCH, BUCKET, HOT = 1 << 20, 16 << 20, 20_000, 20_000
+LENGTH, GRAM = 100, 24
+#: Bytes whose hashes a task has at once; bytes of text within which it combines segments; segments of a bucket, and different ones of an anchor beyond which it is crowded.
+PIECE, BATCH, BUCKET, HOT = 1 << 20, 16 << 20, 5_000, 5_000
 UNNAMED = -(1 << 63)
 CODES = np.random.default_rng(11).integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
@@ -95,26 +98,31 @@ def unpack(place):
     return place >> 20, place >> 10 & 1023, place & 1023
 
 
-def combined(anchor, digest, doc, key, place) -> pa.RecordBatch:
-    """Equal segments (anchor, digest) as the first of them and the others."""
+def combined(anchor, digest, doc, key, place, **more) -> pa.RecordBatch:
+    """Equal segments (anchor, digest) as the first of them and the others; more: further columns, which the first has."""
     order = np.lexsort((place, key, doc, digest, anchor))
     anchor, digest, doc, key, place = (x[order] for x in (anchor, digest, doc, key, place))
     same = lambda *xs: np.concatenate(([False], np.logical_and.reduce([x[1:] == x[:-1] for x in xs])))[: len(anchor)]
     again = same(anchor, digest, doc, key, place)  # the same document, listed twice
-    anchor, digest, doc, key, place = (x[~again] for x in (anchor, digest, doc, key, place))
+    order, anchor, digest, doc, key, place = (x[~again] for x in (order, anchor, digest, doc, key, place))
     copy = same(anchor, digest)
     first = np.flatnonzero(~copy)
     lengths = np.diff(first, append=len(anchor)) - 1
     copies = pa.StructArray.from_arrays([pa.array(x[copy]) for x in (doc, key, place)], names=["doc", "key", "place"])
     offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
-    return pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in (anchor, digest, doc, key, place)), pa.ListArray.from_arrays(offsets, copies)], names=["anchor", "digest", "doc", "key", "place", "copies"])
+    own = [pa.array(x).take(pa.array(order[first])) for x in more.values()]
+    return pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in (anchor, digest, doc, key, place)), pa.ListArray.from_arrays(offsets, copies), *own], names=["anchor", "digest", "doc", "key", "place", "copies", *more])
+
+
+SEGMENTS = "anchor long, digest long, doc long, key long, place long, copies array<struct<doc: long, key: long, place: long>>"
 
 
 def _segmented(length: int, gram: int):
     def run(batches):
-        held, size = [], 0
+        loose, held, size = zstandard.ZstdDecompressor().decompress, [], 0
         for batch in batches:
-            for doc, key, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for doc, key, packed in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                text = loose(packed)
                 start, strings, offset, anchor = segments(text, length, gram)
                 if len(start):
                     view = memoryview(text)
@@ -130,6 +138,30 @@ def _segmented(length: int, gram: int):
     return run
 
 
+def _halved(length: int, gram: int):
+    """Segments of crowded anchors -> their strings in two halves by the anchor's offset (low to high): what the strings of a half have in common is longer than the anchor, and takes its place."""
+    most = length - gram + 1
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for doc, key, place, low, high, data in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                start, offset, strings = unpack(place)
+                mid = (low + high) // 2
+                upper = min(max(offset - mid + 1, 0), strings)
+                for a, b, i, j in ((mid, high, 0, upper), (low, mid, upper, strings)):
+                    if i < j:
+                        part, at = data[i : j + length - 1], offset - i
+                        anchor = xxhash.xxh64_intdigest(part[at - a : at + gram + most - b], a)
+                        out.append((anchor, xxhash.xxh64_intdigest(part), doc, key, pack(start + i, at, j - i), a, b, part))
+            if out:
+                anchor, digest, doc, key, place, low, high, data = zip(*out)
+                signed = lambda x: np.array(x, np.uint64).view(np.int64)
+                yield combined(signed(anchor), signed(digest), np.array(doc), np.array(key), np.array(place), low=np.array(low, np.int32), high=np.array(high, np.int32), data=pa.array(data, pa.binary()))
+
+    return run
+
+
 class Texts:
     """Texts in one buffer, with the sums from which the hash of any part of one is computed."""
 
@@ -225,120 +257,133 @@ def later(texts: list[bytes], anchors, offsets, strings, names, starts, most: in
     return of, which, is_later
 
 
-FOUND = "doc long, key long, start long, stop long, anchor long, string_offset int, salts int, data binary"
-
-
 def _sorted(length: int):
-    """Of a bucket's segments: spans to remove (stop), and of anchors with salts the strings that came first (data)."""
+    """Of a bucket's segments: the spans to remove."""
 
     def run(table: pa.Table) -> pa.Table:
         n = table.num_rows
         num = lambda c: table.column(c).combine_chunks().to_numpy(zero_copy_only=False)
-        doc, key, anchor, salts = num("doc"), num("key"), num("anchor"), num("salts")
+        doc, key, anchor = num("doc"), num("key"), num("anchor")
         start, offset, strings = unpack(num("place"))
         order = np.lexsort((key, doc))
         new = np.concatenate(([False], (doc[order][1:] != doc[order][:-1]) | (key[order][1:] != key[order][:-1])))[:n]
         names = np.empty(n, np.int64)
         names[order] = np.cumsum(new)
-        data = table.column("data").to_pylist()
-        of, which, gone = later(data, anchor, offset, strings, names, start, length)
+        of, which, gone = later(table.column("data").to_pylist(), anchor, offset, strings, names, start, length)
         at = np.flatnonzero(gone)
-        edge = np.concatenate(([True], np.diff(at) != 1)) | np.concatenate(([True], of[at][1:] != of[at][:-1])) if len(at) else np.empty(0, bool)
-        a, b = at[edge], at[np.concatenate((np.flatnonzero(edge)[1:] - 1, [len(at) - 1])).astype(int)] if len(at) else at
-        stays = np.flatnonzero(~gone & (salts[of] > 1))
-        every = np.concatenate((a, stays))
-        its = of[every]
-        first = start[its] + which[every]
-        stop = pa.array(np.concatenate((start[of[b]] + which[b] + length, np.zeros(len(stays), np.int64))), mask=np.arange(len(every)) >= len(a))
-        strings_ = [None] * len(a) + [data[j][i : i + length] for j, i in zip(of[stays].tolist(), which[stays].tolist())]
-        columns = [pa.array(doc[its]), pa.array(key[its]), pa.array(first), stop, pa.array(anchor[its]), pa.array((offset[its] - which[every]).astype(np.int32)), pa.array(salts[its].astype(np.int32)), pa.array(strings_, pa.binary())]
-        return pa.Table.from_arrays(columns, names=["doc", "key", "start", "stop", "anchor", "string_offset", "salts", "data"])
+        edge = np.concatenate(([True], (np.diff(at) != 1) | (of[at][1:] != of[at][:-1])))[: len(at)]
+        first, last = at[edge], at[np.concatenate((edge[1:], [True]))[: len(at)]]
+        columns = [doc[of[first]], key[of[first]], start[of[first]] + which[first], start[of[last]] + which[last] + length]
+        return pa.Table.from_arrays(list(map(pa.array, columns)), names=["doc", "key", "start", "stop"])
 
     return run
 
 
-def _bucketed(rows: DataFrame, by: list, buckets: int, length: int) -> DataFrame:
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)))
-    return rows.groupBy("bucket").applyInArrow(_sorted(length), FOUND)
-
-
 def _fetched(length: int):
-    """(doc, key, text, wanted) -> a row for each wanted segment with its bytes. Rows of one document come together; the second is skipped."""
-
+    """(doc, key, packed, wanted) -> a row for each wanted segment with its bytes. Rows of one document come together; the second is skipped."""
     def run(batches):
-        before = None
+        loose, before = zstandard.ZstdDecompressor().decompress, None
         for batch in batches:
             rows = []
-            for doc, key, text, wanted in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for doc, key, packed, wanted in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if (doc, key) != before:
-                    before = doc, key
+                    before, text = (doc, key), loose(packed)
                     for w in wanted:
                         start, _, strings = unpack(w["place"])
-                        rows.append((doc, key, w["place"], w["anchor"], w["salt"], w["salts"], text[start : start + strings + length - 1]))
-            names, kinds = ["doc", "key", "place", "anchor", "salt", "salts", "data"], [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 7, kinds)], names=names)
+                        rows.append((doc, key, w["place"], w["anchor"], text[start : start + strings + length - 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, [pa.int64()] * 4 + [pa.binary()])], names=["doc", "key", "place", "anchor", "data"])
 
     return run
 
 
-def spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """(doc, key, spans) of the documents that lose bytes: doc is doc_id (UNNAMED if null), key the text's xxhash64, spans (start, stop) in bytes, in any order, which may overlap."""
-    if not GRAM <= length < 1024:
-        raise ValueError(f"length from {GRAM} to 1023")
-    session(docs.sparkSession)
-    named = _named(docs)
-    rows = named.mapInArrow(_segmented(length, GRAM), "anchor long, digest long, doc long, key long, place long, copies array<struct<doc: long, key: long, place: long>>")
+def _shared(rows: DataFrame) -> DataFrame:
+    """Segments whose anchor has more than one place: nth of the equal ones, and the anchor's places and different segments (texts). An anchor's rows pass through one task, which streams them and spills."""
     equal = Window.partitionBy("anchor", "digest").orderBy("doc", "key", "place")
     shared = Window.partitionBy("anchor")
     rows = rows.repartition("anchor").withColumn("nth", F.rank().over(equal))
     rows = rows.withColumn("places", F.sum(1 + F.size("copies")).over(shared)).withColumn("texts", F.sum((F.col("nth") == 1).cast("long")).over(shared))
-    busy = cut(rows.where("places > 1"))
-    first = busy.where("nth = 1 and texts > 1").withColumn("salts", F.ceil(F.col("texts") / hot).cast("int"))
-    wanted = first.select("doc", "key", F.struct("place", "anchor", F.pmod(F.xxhash64("doc", "key", "place"), "salts").cast("int").alias("salt"), "salts").alias("w"))
-    wanted = wanted.groupBy("doc", "key").agg(F.collect_list("w").alias("wanted"))
-    fetched = named.join(wanted, ["doc", "key"]).select("doc", "key", "text", "wanted")
-    fetched = fetched.mapInArrow(_fetched(length), "doc long, key long, place long, anchor long, salt int, salts int, data binary")
-    n = first.count()
-    found = _bucketed(fetched, ["anchor", "salt"], -(-n // BUCKET) or 1, length)
-    removed = lambda df: df.where("stop is not null").select("doc", "key", "start", "stop")
-    if first.where("salts > 1").isEmpty():
-        sorted_ = removed(found)
-    else:
-        found = cut(found)
-        strings = found.where("stop is null").select("doc", "key", F.expr("start << 20 | string_offset << 10 | 1").alias("place"), "anchor", "salts", "data")
-        strings = strings.withColumn("salt", F.pmod(F.xxhash64("data"), "salts").cast("int"))
-        again = _bucketed(strings, ["anchor", "salt"], -(-strings.count() // BUCKET) or 1, length)
-        sorted_ = removed(found).union(removed(again))
-    whole = busy.where("nth > 1").select("doc", "key", "place").union(busy.where("size(copies) > 0").select(F.inline("copies")))
-    whole = whole.select("doc", "key", F.expr("place >> 20").alias("start"), F.expr(f"(place >> 20) + (place & 1023) + {length - 1}").alias("stop"))
-    return whole.union(sorted_).groupBy("doc", "key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-
-
-def _named(docs: DataFrame) -> DataFrame:
+    return cut(rows.where("places > 1"))
+
+
+def _whole(rows: DataFrame, length: int) -> DataFrame:
+    """Spans of the segments that repeat an earlier one from end to end."""
+    places = rows.where("nth > 1").select("doc", "key", "place").union(rows.where("size(copies) > 0").select(F.inline("copies")))
+    return places.select("doc", "key", F.expr("place >> 20").alias("start"), F.expr(f"(place >> 20) + (place & 1023) + {length - 1}").alias("stop"))
+
+
+def spans(packed: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+    """(doc, key, spans) of the documents (doc, key, packed) that lose bytes: spans (start, stop) in bytes, in any order, which may overlap."""
+    if not GRAM <= length < 1024:
+        raise ValueError(f"length from {GRAM} to 1023")
+
+    def fetch(first: DataFrame) -> DataFrame:
+        wanted = first.select("doc", "key", F.struct("place", "anchor").alias("w")).groupBy("doc", "key").agg(F.collect_list("w").alias("wanted"))
+        rows = packed.join(wanted, ["doc", "key"]).select("doc", "key", "packed", "wanted")
+        return rows.mapInArrow(_fetched(length), "doc long, key long, place long, anchor long, data binary")
+
+    busy = _shared(packed.mapInArrow(_segmented(length, GRAM), SEGMENTS))
+    few, many = F.col("texts").between(2, hot) & (F.col("nth") == 1), (F.col("texts") > hot) & (F.col("nth") == 1)
+    n, whole, to_sort = busy.where(few).count(), _whole(busy, length), fetch(busy.where(few))
+    crowded = busy.where(many).select("doc", "key", "place", "anchor")
+    if not crowded.isEmpty():
+        most = length - GRAM + 1
+        rows = fetch(crowded).select("*", F.lit(0).alias("low"), F.lit(most).alias("high"))
+        for level in range(most.bit_length() + 1):
+            halves = rows.select("doc", "key", "place", "low", "high", "data").mapInArrow(_halved(length, GRAM), f"{SEGMENTS}, low int, high int, data binary")
+            halves = _shared(halves)
+            # halves of one string are equal under one anchor, so that none is crowded in the end
+            last = level == most.bit_length()
+            mine = halves.where("nth = 1 and texts > 1") if last else halves.where(few)
+            n, whole = n + mine.count(), whole.union(_whole(halves, length))
+            to_sort = to_sort.unionByName(mine.select(*to_sort.columns))
+            rows = halves.where(many)
+            if last or rows.isEmpty():
+                break
+    buckets = -(-n // BUCKET) or 1
+    found = to_sort.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).groupBy("bucket").applyInArrow(_sorted(length), "doc long, key long, start long, stop long")
+    return whole.union(found).groupBy("doc", "key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """(doc, key, packed): doc_id, what tells apart documents of one doc_id (0 if all are different), and the text compressed, as it is shuffled."""
     text = text_column(docs)
-    return docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(UNNAMED)).alias("doc"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text"))
+    doc = F.coalesce(docs["doc_id"].cast("long"), F.lit(UNNAMED)).alias("doc")
+    tied = not docs.select(doc).groupBy("doc").count().where("count > 1").isEmpty()
+
+    def run(batches):
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = pa.array(map(squeeze, batch.column(2).to_pylist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], names=["doc", "key", "packed"])
+
+    rows = docs.select(doc, (F.xxhash64(text) if tied else F.lit(0).cast("long")).alias("key"), text.cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc long, key long, packed binary")
 
 
 def _kept(batches):
-    """(doc, text, spans) -> the bytes that stay, and the maximal runs of those that go."""
+    """(doc, packed, spans) -> the bytes that stay, and the maximal runs of those that go."""
+    loose = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        docs, out, runs = batch.column(0), [], []
-        for text, spans_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            merged: list[list[int]] = []
+        sizes, out, runs = [], [], []
+        for packed, spans_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            text, merged = loose(packed), []
             for a, b in sorted((s["start"], s["stop"]) for s in spans_ or ()):
                 if merged and a <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], b)
                 else:
                     merged.append([a, b])
             edges = [0, *(x for m in merged for x in m), len(text)]
+            sizes.append(len(text))
             out.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
             runs.append([{"start": a, "stop": b} for a, b in merged])
         kinds = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([docs, pa.array(map(len, batch.column(1).to_pylist()), pa.int64()), pa.array(out, pa.binary()), pa.array(runs, kinds)], names=["doc", "n_bytes", "kept", "removed"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(out, pa.binary()), pa.array(runs, kinds)], names=["doc", "n_bytes", "kept", "removed"])
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, kept, removed) of each row: the bytes that stay, and the maximal runs (start, stop) of those that go."""
-    rows = _named(docs).join(spans(docs, length, hot), ["doc", "key"], "left").select("doc", "text", "spans")
+    session(docs.sparkSession)
+    packed = _packed(docs)
+    rows = packed.join(spans(packed, length, hot), ["doc", "key"], "left").select("doc", "packed", "spans")
     rows = rows.mapInArrow(_kept, "doc long, n_bytes long, kept binary, removed array<struct<start: long, stop: long>>")
     return rows.select(F.when(F.col("doc") != UNNAMED, F.col("doc")).alias("doc_id"), "n_bytes", "kept", "removed")

@@ -35,13 +35,13 @@ from topicloom.llm.common import beside_hot, cut, new_folder, session, text_colu
 
 LONGEST, MIN_COUNT, INSIDE, LIMIT = 3, 10, 50, 2000
 #: Words of a block; fragments of a bucket; occurrences of a pivot beyond which its fragments are dealt over salts.
-BLOCK, BUCKET, HOT = 500_000, 500_000, 250_000
+BLOCK, BUCKET, HOT = 800_000, 500_000, 250_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\v\f\r" else c for c in range(256))
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
 def _numbered():
-    """(lang, text) -> blocks: a vocabulary, how often each of its words came, and the words as numbers in it, -1 between pieces."""
+    """(lang, text) -> blocks: a vocabulary, how often each of its words came, and the words as numbers in it, -1 between pieces, compressed."""
 
     def fresh():
         words = defaultdict()
@@ -51,7 +51,7 @@ def _numbered():
     def row(lang, words, ids):
         numbers = np.frombuffer(ids, np.int32)
         counts = np.bincount(numbers[numbers >= 0], minlength=len(words))
-        return lang, list(words), counts.tolist(), int(counts.sum()), ids.tobytes()
+        return lang, list(words), counts.tolist(), int(counts.sum()), zstandard.ZstdCompressor(level=1).compress(ids.tobytes())
 
     def run(batches):
         part, made, held = TaskContext.get().partitionId() << 33, 0, defaultdict(fresh)
@@ -138,14 +138,14 @@ def _routed(longest: int, buckets: int):
     """(block, ids, reply) -> (bucket, packed): a block's fragments with counts, compressed, by the bucket of their pivots."""
 
     def run(batches):
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze, loose = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for block, ids, size, reply in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 at, of, often = (np.array([x[k] for x in reply], np.int64) for k in ("pos", "id", "f"))
                 # the last is what -1 finds: no word
                 global_, often_ = np.full(size + 1, -1, np.int64), np.zeros(size + 1, np.int64)
                 global_[at] = of
-                words = global_[np.frombuffer(ids, np.int32)]
+                words = global_[np.frombuffer(loose(ids), np.int32)]
                 rows = fragments(words, longest)
                 rows, counts = added(rows, np.ones(len(rows), np.int64))
                 if not len(rows):

@@ -35,7 +35,7 @@ from topicloom.llm.common import beside_hot, cut, new_folder, session, text_colu
 
 LONGEST, MIN_COUNT, INSIDE, LIMIT = 3, 10, 50, 2000
 #: Words of a block; fragments of a bucket; occurrences of a pivot beyond which its fragments are dealt over salts.
-BLOCK, BUCKET, HOT = 800_000, 500_000, 250_000
+BLOCK, BUCKET, HOT = 500_000, 500_000, 250_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\v\f\r" else c for c in range(256))
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -140,14 +140,16 @@ def _routed(longest: int, buckets: int):
     def run(batches):
         squeeze, loose = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for block, ids, size, reply in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                at, of, often = (np.array([x[k] for x in reply], np.int64) for k in ("pos", "id", "f"))
+            replies = batch.column(3)
+            ends, flat = replies.offsets.to_numpy(), replies.values
+            every = [flat.field(k).to_numpy().astype(np.int64) for k in ("pos", "id", "f")]
+            for k, (block, ids, size) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)))):
+                at, of, often = (x[ends[k] : ends[k + 1]] for x in every)
                 # the last is what -1 finds: no word
                 global_, often_ = np.full(size + 1, -1, np.int64), np.zeros(size + 1, np.int64)
                 global_[at] = of
                 words = global_[np.frombuffer(loose(ids), np.int32)]
-                rows = fragments(words, longest)
-                rows, counts = added(rows, np.ones(len(rows), np.int64))
+                rows, counts = added(*(lambda r: (r, np.ones(len(r), np.int64)))(fragments(words, longest)))
                 if not len(rows):
                     continue
                 pivots = rows[:, longest - 1]
@@ -155,9 +157,8 @@ def _routed(longest: int, buckets: int):
                 salts = -(-often[order] // HOT)[np.searchsorted(of[order], pivots)]
                 mixed = (pivots.astype(np.uint64) * MIX[0] + (block % salts).astype(np.uint64) * MIX[1]) * MIX[2]
                 bucket = ((mixed ^ mixed >> np.uint64(29)) * MIX[3] >> np.uint64(20)).astype(np.int64) % buckets
-                rows = np.column_stack((rows, counts, salts > 1))
                 order = np.lexsort((pivots, bucket))
-                rows, bucket = rows[order], bucket[order]
+                rows, bucket = np.column_stack((rows, counts, salts > 1))[order], bucket[order]
                 edges = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]))
                 packed = [squeeze(np.asfortranarray(rows[a:b]).tobytes("F")) for a, b in zip(edges, edges[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), pa.array(packed, pa.binary())], names=["bucket", "packed"])

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from topicloom.llm import jaccard
+from topicloom.llm import jaccard, simhash
 
 
 def brute(texts):
@@ -59,3 +59,34 @@ def test_pipeline_stage_takes_near_copies(spark, frame):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 0), (False, 2), (True, 0), (True, 0), (True, 0)]
     assert jaccard.near_copies(frame([])).collect() == []
+
+
+def test_lists_in_blocks_lose_no_pair(spark, frame, monkeypatch):
+    rng = random.Random(3)
+    shared = [f"s{k}" for k in range(40)]
+    texts = copies()[:60] + [" ".join([*shared, *(f"w{rng.randrange(9)}" for _ in range(rng.randrange(1, 12)))]) for _ in range(90)]
+    want = brute(texts)
+    monkeypatch.setattr(jaccard, "COMMON", 0)  # shingles of all texts stand anywhere
+    for block in (3, 16):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        got = {r.doc_id: r.component_id for r in jaccard.near_copies(frame(texts)).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
+def test_a_template_makes_few_candidates(spark, frame, monkeypatch):
+    """3,000 texts share 100 words and have 14 of their own: none is similar to another at 0.8."""
+    rng = random.Random(1)
+    template = " ".join(f"t{k}" for k in range(100))
+    texts = [template + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(14)) for _ in range(3000)]
+    seen, true = [], jaccard._sketched
+    monkeypatch.setattr(jaccard, "_sketched", lambda pairs, *a: seen.append(pairs.count()) or true(pairs, *a))
+    got = jaccard.near_copies(frame(texts)).collect()
+    assert all(r.doc_id == r.component_id for r in got) and sum(seen) < 10_000
+
+
+def test_names_that_clash(spark):
+    row = ("a b c d e f g", 1, 2, 3, 4, 5, 6, 7, 8)
+    df = spark.createDataFrame([(k, *row) for k in (2, 1)] + [(3, "other", *row[1:])], "doc_id long, text string, _key int, _doc_id int, key int, row int, group int, size int, h int, rep int")
+    for module in (simhash, jaccard):
+        kept = module.representatives(df)
+        assert kept.columns == df.columns and sorted(tuple(r) for r in kept.collect()) == [(1, *row), (3, "other", *row[1:])]

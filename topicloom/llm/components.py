@@ -38,7 +38,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             up = hooks.select(F.col("node").alias("root"), F.col("root").alias("up"))
             labels = cut(beside_hot(labels, up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
         at_u, at_v = hooks.select(F.col("node").alias("u"), F.col("root").alias("ru")), hooks.select(F.col("node").alias("v"), F.col("root").alias("rv"))
-        moved = live.join(at_u, "u").join(at_v, "v").where("ru <> rv")
+        moved = beside_hot(cut(beside_hot(live, at_u, "u")), at_v, "v").where("ru <> rv")  # a star's centre has all its group's edges
         live = cut(moved.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct())
     else:
         raise RuntimeError("components did not converge")

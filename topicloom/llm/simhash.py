@@ -155,11 +155,12 @@ def representatives(docs: DataFrame, words: int = WORDS, max_bits: int = 2) -> D
 def kept(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Of docs and their (doc_id, key, group): one row of each group, that of the smallest doc_id (of several, of the smallest key), and all of a null doc_id."""
     first = found.where("doc_id is not null").groupBy("group").agg(F.min(F.struct("doc_id", "key")).alias("_first")).select("_first.*")
-    first = cut(first.select(F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key")))
+    first = cut(first)
     again = found.where("doc_id is not null").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    unnamed, named = docs.where("doc_id is null"), docs.where("doc_id is not null")
-    same = (docs["doc_id"].cast("long") == F.col("_doc_id")) & (F.xxhash64(text_column(docs)) == F.col("_key"))
-    named = named.join(first, same, "left_semi")
+    # the row travels in one column, so that its names clash with none
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text_column(docs)).alias("key"), F.struct("*").alias("row"))
+    unnamed, named = rows.where("doc_id is null"), rows.where("doc_id is not null")
+    named = named.join(first, ["doc_id", "key"], "left_semi")
     if not again.isEmpty():  # only then is it worth dealing the texts out once more
-        named = named.dropDuplicates(["doc_id", "text"])
-    return named.select(*docs.columns).unionByName(unnamed)
+        named = named.withColumn("text", F.col("row.text")).dropDuplicates(["doc_id", "text"]).drop("text")
+    return named.unionByName(unnamed).select("row.*")

@@ -55,7 +55,7 @@ burst AS (SELECT topic, ROUND(CASE WHEN MAX(st) = 0 OR MAX(weight) <= 0 THEN 0 E
 s AS (SELECT topic, LIST(CAST(r AS DOUBLE) ORDER BY i) AS s, MIN(CASE WHEN r > 0 THEN slice END) AS first_slice, MAX(CASE WHEN r > 0 THEN slice END) AS last_slice, ROUND(AVG(r / d), 9) AS share FROM f GROUP BY topic),
 g AS (SELECT topic, first_slice, last_slice, share, ROUND(CAST(CASE WHEN LEN(s) < 4 OR LIST_SUM(s) <= 0 THEN 0 WHEN s[-1] + s[-2] <= 0 THEN -1 ELSE POW(((s[-1] + s[-2]) / 2) / GREATEST((s[1] + s[2]) / 2, 0.5), 1.0 / (LEN(s) - 1)) - 1 END AS DOUBLE), 6) AS cagr FROM s),
 a AS (SELECT g.*, burst, ROUND(LEAST(GREATEST(0.6 * CASE WHEN cagr <= 0 THEN 0 ELSE cagr / (cagr + 1) END + 0.4 * burst, 0), 1), 6) AS growth, documents, worth, ROUND((COALESCE(x.e, y.e, 0) + COALESCE(y.e, x.e, 0)) / 2, 6) AS uncertainty
- FROM g JOIN burst USING (topic) JOIN (SELECT topic, COUNT(*) AS documents, ROUND(AVG(worth), 2) AS worth FROM docs GROUP BY topic) USING (topic)
+ FROM g JOIN burst USING (topic) JOIN (SELECT topic, COUNT(*) AS documents, SUM(CAST(ROUND(worth * 100) AS BIGINT)) // COUNT(worth) / 100.0 AS worth FROM docs GROUP BY topic) USING (topic)
  LEFT JOIN {_ENTROPY.format('source')} x ON x.topic = g.topic LEFT JOIN {_ENTROPY.format('actor')} y ON y.topic = g.topic),
 k AS (SELECT *, ROUND(CAST(0.4 * {_RANK.format('growth')} + 0.25 * {_RANK.format('share')} + 0.15 * {_RANK.format('uncertainty')} + 0.2 * {_RANK.format('worth')} AS DOUBLE), 6) AS emergence, share >= MEDIAN(share) OVER () AS large, growth >= MEDIAN(growth) OVER () AS fast FROM a)
 SELECT topic, documents, first_slice, last_slice, cagr, burst, growth, share, uncertainty, worth, emergence, CASE WHEN large AND fast THEN 'strong' WHEN fast THEN 'weak' WHEN large THEN 'latent' ELSE 'noise' END AS signal,

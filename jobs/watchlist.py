@@ -57,7 +57,8 @@ def attributes(docs: DataFrame, chosen: Settings) -> DataFrame:
     cagr, score = F.round(stats.cagr(F.col("counts")), 6), F.round(stats.burst_score(F.col("states"), F.col("max_weight")), 6)
     shape = burst.select("topic", F.array_min(held).alias("first_slice"), F.array_max(held).alias("last_slice"), cagr.alias("cagr"), score.alias("burst"), F.round(shares, 9).alias("share"))
     shape = shape.withColumn("growth", F.round(stats.clip(0.6 * stats.squash(F.col("cagr")) + 0.4 * F.col("burst")), 6))
-    basic = docs.groupBy("topic").agg(F.count(F.lit(1)).alias("documents"), F.round(F.avg("worth"), 2).alias("worth"))
+    # whole cents, so that equal means tie whatever the order of the sum
+    basic = docs.groupBy("topic").agg(F.count(F.lit(1)).alias("documents"), (F.expr("sum(cast(round(worth * 100) as bigint)) div count(worth)") / 100).alias("worth"))
     mixed = entropy.mean_entropy(docs, "topic", ["source", "actor"]).select("topic", F.round("entropy", 6).alias("uncertainty"))
     return shape.join(basic, "topic").join(mixed, "topic")
 

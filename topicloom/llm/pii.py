@@ -36,6 +36,8 @@ from topicloom.llm.common import cut, fenced
 
 KINDS = ("email", "ip", "card", "phone")
 DISCLOSURE, CHANCE, BROADCAST_ROWS, CHUNK = 0.75, 0.01, 20_000, 256
+#: Numbers of buckets of terms: so many of them may be broadcast.
+BUCKETS = 1 << 19
 #: What the contract's patterns match, for Java.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -204,7 +206,12 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float =
     if candidates.isEmpty():
         return shared.select("entity", "term")
     totals = _contexts(_cleared(with_base_spans(docs.select("text"))).select("_clear"), "_clear").select(F.explode("_near").alias("terms")).select(F.explode("terms").alias("term"))
-    totals = totals.join(_few(candidates), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    if candidates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        totals = totals.join(F.broadcast(candidates), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    else:  # terms of other buckets go at once, the rest is counted before it is shuffled
+        bucket = F.pmod(F.xxhash64("term"), F.lit(BUCKETS))
+        totals = totals.join(F.broadcast(candidates.select(bucket.alias("bucket")).distinct()), bucket == F.col("bucket"), "left_semi")
+        totals = totals.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(candidates, "term", "left_semi")
     scored = shared.join(totals, "term").where(_unlikely(F.col("x"), F.col("d"), F.col("n_t") / n, bound))
     content = F.log2(F.lit(n) / F.col("n_e"))
     information = F.log2(F.lit(n) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))

@@ -14,7 +14,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Each round hooks every node to its smallest neighbour (an aggregate that combines before the
     shuffle), flattens the hooks by pointer jumping, and contracts the edges onto the roots; a
     component at least halves in a round, so there are logarithmically many. Edges and labels stay
-    distributed; only their counts reach the driver. Self-loops and repeated edges are harmless;
+    distributed; only their counts reach the driver. A centre has all its group's edges, but the other side of each join has a node
+    once, so that adaptive execution splits its partition. Self-loops and repeated edges are harmless;
     nulls are dropped; an empty list gives an empty table.
     """
     edges = edges.where("u is not null and v is not null and u <> v").select(F.col("u").cast("long"), F.col("v").cast("long"))

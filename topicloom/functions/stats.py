@@ -73,3 +73,8 @@ def unit(v: Column) -> Column:
 def tone_share(mean_tone: Column) -> Column:
     """Mean tone on [0, 1]; half where there was none."""
     return F.coalesce(clip((mean_tone + 10.0) / 20.0), F.lit(0.5))
+
+
+def research_growth(cagr: Column, share: Column) -> Column:
+    """Growth, where there is any, as far as research carries it."""
+    return F.greatest(cagr, F.lit(0.0)) * share

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicloom.operators import grid, vectors
+from topicloom.operators import grid, ranks, vectors
 
 
 def places(rows: DataFrame, id_: str, vector: str, metric: str, pairs: DataFrame) -> DataFrame:
@@ -130,3 +130,36 @@ def pca_2d(df: DataFrame, id_: str, vector: str) -> DataFrame:
     rows = StandardScaler(withMean=True, withStd=False, inputCol="_v", outputCol="_c").fit(rows).transform(rows)
     rows = PCA(k=2, inputCol="_c", outputCol="_p").fit(rows).transform(rows).withColumn("_a", vector_to_array("_p"))
     return rows.select(id_, F.col("_a")[0].alias("x"), F.col("_a")[1].alias("y"))
+
+
+def map_centres(rows: DataFrame, topic: str, x: str, y: str, share: float = 0.9) -> DataFrame:
+    """(topic, cx, cy, spread): the median point of a topic and the distance within which `share` of its points lie."""
+    rows = rows.select(topic, F.col(x).alias("x"), F.col(y).alias("y"))
+    centres = ranks.quantiles(rows, "x", {"cx": 0.5}, [topic]).join(ranks.quantiles(rows, "y", {"cy": 0.5}, [topic]), topic)
+    far = F.sqrt(F.pow(F.col("x") - F.col("cx"), F.lit(2.0)) + F.pow(F.col("y") - F.col("cy"), F.lit(2.0)))
+    away = rows.join(centres, topic).select(topic, far.alias("far"))
+    return centres.join(ranks.quantiles(away, "far", {"spread": share}, [topic]), topic)
+
+
+def purity(rows: DataFrame, id_: str, label: str, vector: str, metric: str, k: int, name: str) -> DataFrame:
+    """(id, name): the share of a point's k nearest others that have its label."""
+    near, labels = vectors.nearest(rows, id_, vector, k, metric), rows.select(F.col(id_).alias("a"), F.col(label).alias("la"))
+    met = near.join(labels, "a").join(labels.select(F.col("a").alias("b"), F.col("la").alias("lb")), "b")
+    return met.groupBy(F.col("a").alias(id_)).agg(F.avg((F.col("la") == F.col("lb")).cast("double")).alias(name))
+
+
+def distortion(rows: DataFrame, id_: str, label: str, space: tuple[str, str], shown: tuple[str, str], k: int) -> DataFrame:
+    """(id, space_purity, map_purity, distortion): purity in the space less that on the map, each a vector column and a metric."""
+    both = purity(rows, id_, label, *space, k, "space_purity").join(purity(rows, id_, label, *shown, k, "map_purity"), id_)
+    return both.withColumn("distortion", F.col("space_purity") - F.col("map_purity"))
+
+
+def observations(topics: DataFrame, topic: str, count: str, value: str, least: int, edge: tuple[float, float], sources: DataFrame, most: float) -> DataFrame:
+    """(rule, subject, finding) of a run: topics of fewer than `least` documents, values within a margin of an edge, sources (source, n) with more than `most` of all documents."""
+    at, margin = edge
+    thin = topics.where(F.col(count) < least).select(F.lit("thin").alias("rule"), F.col(topic).alias("subject"), F.format_string("Only %d documents", count).alias("finding"))
+    said = F.format_string(f"A {value} of %.4f lies within {margin} of {at}", value)
+    close = topics.where(F.abs(F.col(value) - at) < margin).select(F.lit("borderline"), topic, said)
+    total = sources.agg(F.sum("n").alias("total"))
+    large = sources.join(F.broadcast(total)).where(F.col("n") > most * F.col("total"))
+    return thin.union(close).union(large.select(F.lit("dominant"), "source", F.format_string("%.1f percent of all documents", F.lit(100.0) * F.col("n") / F.col("total"))))

@@ -82,3 +82,20 @@ def cumulative(filled: DataFrame, topic: str, slice_: str) -> DataFrame:
     """Running counts from the first slice that has any."""
     upto = F.sum("n").over(Window.partitionBy(topic).orderBy(slice_))
     return filled.withColumn("cumulative", upto).where("cumulative > 0")
+
+
+def slice_totals(rows: DataFrame, slice_: str) -> DataFrame:
+    """(slice, total, share, place): the rows of each slice, null ones left out, as a share of all and in order; slices are a calendar."""
+    totals = rows.where(F.col(slice_).isNotNull()).groupBy(slice_).agg(F.count(F.lit(1)).alias("total"))
+    return totals.withColumn("share", F.col("total") / F.sum("total").over(Window.partitionBy(F.lit(0)))).withColumn("place", F.row_number().over(Window.orderBy(slice_)))
+
+
+def crosstab(rows: DataFrame, row: str, column: str) -> DataFrame:
+    """(row, column, n, of_row, of_column): counts of every row and column that occurs, zeros included, beside the marginals. Long, not wide, so that columns may be many."""
+    counts = rows.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
+    of_row, of_column = counts.groupBy(row).agg(F.sum("n").alias(f"of_{row}")), counts.groupBy(column).agg(F.sum("n").alias(f"of_{column}"))
+    # the calendar goes beside every column as one list
+    every = of_row.agg(F.collect_list(F.struct(row, f"of_{row}")).alias("_r"))
+    grid = of_column.join(F.broadcast(every)).select(column, f"of_{column}", F.inline("_r"))
+    met = grid[row].eqNullSafe(counts[row]) & grid[column].eqNullSafe(counts[column])
+    return grid.join(counts, met, "left").select(grid[row], grid[column], F.coalesce("n", F.lit(0)).alias("n"), f"of_{row}", f"of_{column}")

@@ -27,3 +27,10 @@ def cut(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """df written to the shared folder and read again: what iterates starts each round from a plain scan, without the constraints that a checkpoint inherits and that grow with every round."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions import text
-
-MAX_COMPONENT = 12_000
-
+from topicloom.operators import linkage
 
 def average_linkage(vectors: np.ndarray, threshold: float) -> list[list[int]]:
-    """Merges the two groups of highest mean similarity while it reaches the threshold; zero vectors stay out."""
+    """Merges the two groups of highest mean similarity while it reaches the threshold; zero vectors stay out. The plain order of a few vectors; clusters() takes any number."""
     live = [i for i in range(len(vectors)) if np.any(vectors[i])]
     groups = [[i] for i in live]
     if len(groups) < 2:
@@ -44,23 +41,19 @@ def average_linkage(vectors: np.ndarray, threshold: float) -> list[list[int]]:
     return [sorted(g) for g, a in zip(groups, alive) if a]
 
 
-def cluster(rows: DataFrame, id_: str, vector: str, component: str, threshold: float, min_size: int, max_topics: int) -> DataFrame:
-    """(topic_id, id): linkage within each component (no merge leaves a component of the graph of pairs that reach the
-    threshold, so this is exact); groups of min_size or more, the largest first, numbered T0000 on."""
+def clusters(rows: DataFrame, id_: str, threshold: float, min_size: int, max_topics: int) -> DataFrame:
+    """(topic_id, id) of sparse vectors (id, idx, weight): average linkage of any number of vectors; groups of min_size or more, the largest first, of ties that of the least id, numbered T0000 on."""
+    found = linkage.clusters(linkage.merges(rows, id_, threshold), rows.select(id_).distinct(), id_, [threshold]).select(id_, F.col("cluster").alias("head"))
+    sizes = found.groupBy("head").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= min_size)
+    first = sizes.orderBy(F.desc("size"), "head").limit(max_topics)
+    named = first.withColumn("rn", F.row_number().over(Window.orderBy(F.desc("size"), "head"))).select("head", F.format_string("T%04d", F.col("rn") - 1).alias("topic_id"))
+    return found.join(named, "head").select("topic_id", id_)
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        if len(part) > MAX_COMPONENT:
-            raise ValueError(f"a component of {len(part)} documents is beyond {MAX_COMPONENT}; raise the threshold")
-        part = part.sort_values(id_, ignore_index=True)
-        groups = average_linkage(np.stack(part[vector].map(np.asarray)), threshold)
-        return pd.DataFrame([(part[id_][g[0]], part[id_][i]) for g in groups if len(g) >= min_size for i in g], columns=["head", id_])
 
-    kind = rows.schema[id_].dataType.simpleString()
-    found = rows.select(id_, vector, component).groupBy(component).applyInPandas(run, f"head {kind}, {id_} {kind}")
-    sizes = found.groupBy("head").agg(F.count(F.lit(1)).alias("size"))
-    place = F.row_number().over(Window.orderBy(F.desc("size"), "head"))
-    named = sizes.withColumn("rn", place).where(F.col("rn") <= max_topics).select("head", F.format_string("T%04d", F.col("rn") - 1).alias("topic_id"))
-    return found.join(named, "head").select("topic_id", id_)
+def cluster(rows: DataFrame, id_: str, vector: str, component: str, threshold: float, min_size: int, max_topics: int) -> DataFrame:
+    """clusters() of dense vectors. Their component is not looked at: the merges find the parts of the graph themselves."""
+    entries = rows.select(id_, F.posexplode(vector).alias("idx", "weight")).select(id_, "idx", F.col("weight").cast("double").alias("weight")).where("weight <> 0")
+    return clusters(entries, id_, threshold, min_size, max_topics)
 
 
 def terms(docs: DataFrame, topic: str, body: str, limit: int = 30) -> DataFrame:

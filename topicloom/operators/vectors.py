@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from topicloom.functions import stats, text
-from topicloom.operators import grid
+from topicloom.operators import grid, shared
 
 
 @F.pandas_udf(LongType())
@@ -38,11 +38,38 @@ def tfidf(counts: DataFrame, id_: str, fitted: DataFrame | None = None) -> DataF
     return rows.select(id_, "idx", (F.col("w") / norm).alias("weight"))
 
 
-def similar_pairs(vectors: DataFrame, id_: str, threshold: float) -> DataFrame:
-    """(a, b, similarity), a < b, of sparse unit vectors that reach the threshold, by their shared indices."""
-    a = vectors.select(F.col(id_).alias("a"), "idx", F.col("weight").alias("wa"))
-    b = vectors.select(F.col(id_).alias("b"), "idx", F.col("weight").alias("wb"))
-    return a.join(b, "idx").where("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity")).where(F.col("similarity") >= threshold)
+#: Entries of an index on a side of a cell of the similarity join.
+CELL_ENTRIES = 2048
+
+
+def similar_pairs(vectors: DataFrame, id_: str, threshold: float, cell: int = CELL_ENTRIES) -> DataFrame:
+    """(a, b, similarity), a < b, of sparse vectors (id, idx, weight; each idx once) whose inner product reaches the positive threshold.
+
+    A vector's most frequent indices stay out of the inverted index while their norm is under the root of the threshold:
+    what two vectors share only there cannot reach it. So a pair meets by an index that at least one of both keeps there, and an index that
+    all vectors have makes no pair of the light ones. An index' entries are cut into blocks that meet in cells of bounded size. Pairs
+    whose sum over these meetings and bound on the rest reach the threshold are completed by what they share outside."""
+    if threshold <= 0:
+        raise ValueError("a positive threshold")
+    often = vectors.groupBy("idx").agg(F.count(F.lit(1)).alias("_df"))
+    mass = F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_).orderBy(F.desc("_df"), "idx"))
+    rows = vectors.select(id_, "idx", "weight").join(often, "idx").withColumn("_held", mass >= threshold * (1 - 1e-9))
+    rest = F.sqrt(F.coalesce(F.sum(F.when(~F.col("_held"), F.col("weight") * F.col("weight"))).over(Window.partitionBy(id_)), F.lit(0.0)))
+    rows = shared.cut(rows.select(F.col(id_).alias("id"), "idx", "weight", "_held", rest.alias("_rest")))
+    sizes = rows.groupBy("idx").agg(F.ceil(F.count_if("_held") / cell).cast("int").alias("_down"), F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("_across")).where("_down > 0")
+    outside, rows = rows.where("not _held"), rows.join(sizes, "idx")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where("_held").select("idx", F.col("id").alias("x"), F.col("weight").alias("wx"), F.col("_rest").alias("rx"), block("_down").alias("i"), every("_across").alias("j"))
+    right = rows.select("idx", F.col("id").alias("y"), F.col("weight").alias("wy"), F.col("_rest").alias("ry"), F.col("_held").alias("hy"), block("_across").alias("j"), every("_down").alias("i"))
+    # an index that both hold would meet twice
+    met = left.join(right, ["idx", "i", "j"]).where((F.col("x") != F.col("y")) & (~F.col("hy") | (F.col("x") < F.col("y"))))
+    met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("wx") * F.col("wy")).alias("w"), (F.col("rx") * F.col("ry")).alias("r"))
+    may = met.groupBy("a", "b").agg(F.sum("w").alias("part"), F.max("r").alias("r")).where(F.col("part") + F.col("r") >= threshold * (1 - 1e-9))
+    both = may.join(outside.select(F.col("id").alias("a"), "idx", F.col("weight").alias("wa")), "a").join(outside.select(F.col("id").alias("b"), "idx", F.col("weight").alias("wb")), ["b", "idx"])
+    both = both.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("more"))
+    found = may.join(both, ["a", "b"], "left").select("a", "b", (F.col("part") + F.coalesce("more", F.lit(0.0))).alias("similarity"))
+    return found.where(F.col("similarity") >= threshold)
 
 
 def centroids(rows: DataFrame, topic: str, vector: str) -> DataFrame:

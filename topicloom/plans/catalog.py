@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions import stats, text
-from topicloom.operators import diagnostics, series, tables, topics, vectors
+from topicloom.operators import diagnostics, ranks, series, tables, topics, vectors
 from topicloom.plans import roles
 from topicloom.plans.roles import BRANDS, DOCS, POINTS, USER_DAYS, rank_sql
 from topicloom.session import read
@@ -50,12 +50,14 @@ def w03_f19_h03_composite_shortlist(spark, d):
 
 @query(f"SELECT topic, ROUND(CAST({rank_sql('revenue')} AS DOUBLE), 6) AS revenue_rank, ROUND(CAST({rank_sql('n')} AS DOUBLE), 6) AS n_rank FROM {BRANDS}")
 def w01_percentile_rank(spark, d):
-    return roles.brands(spark, d).select("topic", F.round(stats.percentile_rank(F.col("revenue")), 6).alias("revenue_rank"), F.round(stats.percentile_rank(F.col("n")), 6).alias("n_rank"))
+    rows = ranks.percentile_ranks(ranks.percentile_ranks(roles.brands(spark, d).cache(), "revenue", "rr"), "n", "rn")
+    return rows.select("topic", F.round("rr", 6).alias("revenue_rank"), F.round("rn", 6).alias("n_rank"))
 
 
 @query(f"SELECT doc_id, ROUND(CASE WHEN MIN(citations) OVER (PARTITION BY source) = MAX(citations) OVER (PARTITION BY source) THEN 0.5 ELSE CUME_DIST() OVER (PARTITION BY source ORDER BY citations) END, 9) AS percentile FROM {DOCS}")
 def w02_j14_citation_percentile(spark, d):
-    return roles.docs(spark, d).select("doc_id", F.round(stats.share_at_or_below(F.col("citations"), "source"), 9).alias("percentile"))
+    rows = ranks.shares_at_or_below(roles.docs(spark, d).select("doc_id", "source", "citations"), "citations", "p", ["source"])
+    return rows.select("doc_id", F.round("p", 9).alias("percentile"))
 
 
 # ---- scans and reads ----------------------------------------------------------------------------

@@ -6,10 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from topicloom.functions import stats, text
-from topicloom.operators import diagnostics, references, series, topics, vectors
+from topicloom.operators import diagnostics, entropy, linkage, ranks, references, series, topics, vectors
 from topicloom.plans import roles
 from topicloom.plans.catalog import CENTROIDS, COMPOSITE, composite, query, ranked_axes
-from topicloom.plans.roles import BRANDS, DOCS, ITEM_YEARS, USER_DAYS, rank_sql
+from topicloom.plans.roles import BRANDS, DOCS, ITEM_YEARS, POINTS, USER_DAYS, rank_sql
 from topicloom.session import read
 
 # ---- aggregates ----------------------------------------------------------------------------------
@@ -68,23 +68,22 @@ def g12_durations(spark, d):
     return read(spark, d, "events").groupBy("user_id").agg(F.round(F.timestamp_diff("MILLISECOND", F.min("ts"), F.max("ts")) / F.lit(1000.0), 1).alias("seconds"))
 
 
-@query(f"SELECT COUNT(DISTINCT year) AS slices, COUNT(*) AS docs, ROUND(SUM(CASE WHEN n > 0 THEN 1 ELSE 0 END) / COUNT(*), 6) AS share FROM (SELECT year, steepv, 1 AS n FROM {DOCS})")
+@query(f"SELECT year AS slice, COUNT(*) AS total, ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS share, CAST(ROW_NUMBER() OVER (ORDER BY year) AS INTEGER) AS place FROM {DOCS} WHERE year IS NOT NULL GROUP BY year")
 def g13_slice_totals(spark, d):
-    return roles.docs(spark, d).agg(F.count_distinct("year").alias("slices"), F.count(F.lit(1)).alias("docs"), F.round(F.sum(F.lit(1)) / F.count(F.lit(1)), 6).alias("share"))
+    totals = series.slice_totals(roles.docs(spark, d), "year")
+    return totals.select(F.col("year").alias("slice"), "total", F.round("share", 6).alias("share"), "place")
 
 
-@query(f"WITH c AS (SELECT steepv AS topic, source, COUNT(*) AS n FROM {DOCS} GROUP BY 1, 2), p AS (SELECT topic, n / SUM(n) OVER (PARTITION BY topic) AS p, COUNT(*) OVER (PARTITION BY topic) AS k FROM c) SELECT topic, ROUND(CASE WHEN MAX(k) < 2 THEN 0 ELSE -SUM(p * LN(p)) / LN(MAX(k)) END, 6) AS entropy FROM p GROUP BY topic")
+@query(f"WITH s AS (SELECT steepv AS topic, source AS c FROM {DOCS}), y AS (SELECT steepv AS topic, year AS c FROM {DOCS}), e AS (SELECT k, topic, CASE WHEN COUNT(*) < 2 THEN 0 ELSE -SUM(p * LN(p)) / LN(COUNT(*)) END AS e FROM (SELECT k, topic, COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY k, topic) AS p FROM (SELECT 1 AS k, * FROM s UNION ALL SELECT 2, * FROM y) WHERE c IS NOT NULL GROUP BY k, topic, c) GROUP BY k, topic) SELECT topic, ROUND(MAX(CASE WHEN k = 1 THEN e END), 6) AS entropy, ROUND(AVG(e), 6) AS uncertainty FROM e GROUP BY topic")
 def g20_g21_entropy(spark, d):
-    counts = roles.docs(spark, d).groupBy(F.col("steepv").alias("topic"), "source").agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy("topic")
-    shares = counts.select("topic", (F.col("n") / F.sum("n").over(whole)).alias("p"), F.count(F.lit(1)).over(whole).alias("k"))
-    value = F.when(F.max("k") < 2, F.lit(0.0)).otherwise(-F.sum(F.col("p") * F.log("p")) / F.log(F.max("k").cast("double")))
-    return shares.groupBy("topic").agg(F.round(value, 6).alias("entropy"))
+    rows = roles.docs(spark, d).withColumnRenamed("steepv", "topic")
+    one, mean = entropy.normalised_entropy(rows, "topic", "source"), entropy.mean_entropy(rows, "topic", ["source", "year"]).withColumnRenamed("entropy", "uncertainty")
+    return one.join(mean, "topic").select("topic", F.round("entropy", 6).alias("entropy"), F.round("uncertainty", 6).alias("uncertainty"))
 
 
 @query(f"SELECT steepv AS topic, ROUND(AVG(p), 6) AS impact FROM (SELECT steepv, CUME_DIST() OVER (PARTITION BY source ORDER BY citations) AS p FROM {DOCS}) GROUP BY steepv")
 def g19_impact(spark, d):
-    rows = roles.docs(spark, d).withColumn("p", stats.share_at_or_below(F.col("citations"), "source"))
+    rows = ranks.shares_at_or_below(roles.docs(spark, d).select("steepv", "source", "citations"), "citations", "p", ["source"])
     return rows.groupBy(F.col("steepv").alias("topic")).agg(F.round(F.avg("p"), 6).alias("impact"))
 
 
@@ -121,11 +120,24 @@ SERIES = f"(SELECT topic, LIST(CAST(n AS DOUBLE) ORDER BY slice) AS s FROM {FILL
 CAGR = f"(SELECT topic, CASE WHEN LEN(s) < 4 OR LIST_SUM(s) <= 0 THEN 0 WHEN s[-1] + s[-2] <= 0 THEN -1 ELSE POW(((s[-1] + s[-2]) / 2) / GREATEST((s[1] + s[2]) / 2, 0.5), 1.0 / (LEN(s) - 1)) - 1 END AS cagr FROM {SERIES})"
 
 
-@query(f"SELECT topic, ROUND(CAST(cagr AS DOUBLE), 6) AS cagr, ROUND(CAST(CASE WHEN cagr <= 0 THEN 0 ELSE cagr / (cagr + 1) END AS DOUBLE), 6) AS squashed, ROUND(CAST(LEAST(GREATEST(0.6 * CASE WHEN cagr <= 0 THEN 0 ELSE cagr / (cagr + 1) END + 0.4 * 0.25, 0), 1) AS DOUBLE), 6) AS growth FROM {CAGR}")
+#: Counts (topic, slice, n, total) to states and weights of the two-state automaton, with s = 2 and gamma = 0.5.
+BURST_STEPS = """f AS (SELECT topic, n AS r, total AS d, ROW_NUMBER() OVER (PARTITION BY topic ORDER BY slice) AS i FROM {0}),
+p AS (SELECT *, CAST(SUM(r) OVER w AS DOUBLE) / SUM(d) OVER w AS p0, COUNT(*) OVER w AS n FROM f WINDOW w AS (PARTITION BY topic)),
+e AS (SELECT topic, i, n, -(r * LN(p0) + (d - r) * LN(1 - p0)) AS c0, -(r * LN(LEAST(p0 * 2, 1 - 1e-9)) + (d - r) * LN(1 - LEAST(p0 * 2, 1 - 1e-9))) AS c1, 0.5 * LN(n) AS tau FROM p),
+v AS (SELECT topic, i, c0 AS b0, c1 AS b1, 0 AS f0, 1 AS f1 FROM e WHERE i = 1
+ UNION ALL SELECT e.topic, e.i, LEAST(v.b0, v.b1 + tau) + c0, LEAST(v.b1, v.b0 + tau) + c1, CASE WHEN v.b0 <= v.b1 + tau THEN 0 ELSE 1 END, CASE WHEN v.b1 <= v.b0 + tau THEN 1 ELSE 0 END FROM v JOIN e ON e.topic = v.topic AND e.i = v.i + 1),
+h AS (SELECT v.topic, v.i, CASE WHEN b0 <= b1 THEN 0 ELSE 1 END AS st FROM v JOIN (SELECT topic, MAX(i) AS last FROM e GROUP BY topic) l ON l.topic = v.topic AND l.last = v.i
+ UNION ALL SELECT v.topic, v.i - 1, CASE WHEN h.st = 0 THEN v.f0 ELSE v.f1 END FROM h JOIN v ON v.topic = h.topic AND v.i = h.i WHERE v.i > 1),
+w AS (SELECT h.topic, h.i, h.st, CASE WHEN h.st = 1 THEN GREATEST(c0 - c1, 0) ELSE 0 END AS weight, n FROM h JOIN e ON e.topic = h.topic AND e.i = h.i)"""
+
+
+@query(f"""WITH RECURSIVE {BURST_STEPS.format(FILLED)}, b AS (SELECT topic, CASE WHEN MAX(st) = 0 OR MAX(weight) <= 0 THEN 0 ELSE 0.5 * MAX(weight) / (MAX(weight) + 10) + 0.5 * MAX(weight) / (MAX(weight) + 10) * MAX(CASE WHEN st = 1 THEN i END) / MAX(n) END AS burst FROM w GROUP BY topic)
+SELECT topic, ROUND(CAST(cagr AS DOUBLE), 6) AS cagr, ROUND(CAST(CASE WHEN cagr <= 0 THEN 0 ELSE cagr / (cagr + 1) END AS DOUBLE), 6) AS squashed, ROUND(burst, 6) AS burst, ROUND(CAST(LEAST(GREATEST(0.6 * CASE WHEN cagr <= 0 THEN 0 ELSE cagr / (cagr + 1) END + 0.4 * burst, 0), 1) AS DOUBLE), 6) AS growth FROM {CAGR} JOIN b USING (topic)""")
 def f01_f02_f03_growth(spark, d):
-    rows = series.series(_filled(spark, d), "topic", "slice").select("topic", stats.cagr(F.col("counts")).alias("c"))
+    rows = series.bursts(series.series(_filled(spark, d), "topic", "slice"), 2.0, 0.5)
+    rows = rows.select("topic", stats.cagr(F.col("counts")).alias("c"), stats.burst_score(F.col("states"), F.col("max_weight")).alias("b"))
     squashed = stats.squash(F.col("c"))
-    return rows.select("topic", F.round("c", 6).alias("cagr"), F.round(squashed, 6).alias("squashed"), F.round(stats.clip(0.6 * squashed + 0.4 * 0.25), 6).alias("growth"))
+    return rows.select("topic", F.round("c", 6).alias("cagr"), F.round(squashed, 6).alias("squashed"), F.round("b", 6).alias("burst"), F.round(stats.clip(0.6 * squashed + 0.4 * F.col("b")), 6).alias("growth"))
 
 
 BURSTS = f"""WITH RECURSIVE f AS (SELECT t.topic, s.day, COALESCE(c.n, 0) AS r, s.total AS d, ROW_NUMBER() OVER (PARTITION BY t.topic ORDER BY s.day) AS i FROM (SELECT DISTINCT topic FROM {USER_DAYS}) t CROSS JOIN (SELECT day, COUNT(*) AS total FROM {USER_DAYS} GROUP BY day) s LEFT JOIN (SELECT topic, day, COUNT(*) AS n FROM {USER_DAYS} GROUP BY 1, 2) c ON c.topic = t.topic AND c.day = s.day),
@@ -163,7 +175,9 @@ def k08_f05_maturity(spark, d):
 
 @query(f"SELECT MEDIAN(revenue) AS middle, QUANTILE_CONT(CAST(quantity AS DOUBLE), 0.6) AS p60, QUANTILE_CONT(CAST(discount AS DOUBLE), 0.25) AS p25 FROM {BRANDS}")
 def g26_g27_percentiles(spark, d):
-    return roles.brands(spark, d).agg(F.median("revenue").alias("middle"), F.percentile("quantity", 0.6).alias("p60"), F.percentile("discount", 0.25).alias("p25"))
+    rows = roles.brands(spark, d).cache()
+    one = lambda value, name, q: ranks.quantiles(rows, value, {name: q})
+    return one("revenue", "middle", 0.5).join(one("quantity", "p60", 0.6)).join(one("discount", "p25", 0.25))
 
 
 @query(f"SELECT topic, CASE WHEN large AND fast THEN 'strong' WHEN fast THEN 'weak' WHEN large THEN 'latent' ELSE 'noise' END AS signal, CASE WHEN large AND fast THEN 'd' WHEN fast THEN 'c' WHEN large THEN 'b' ELSE 'a' END AS quadrant FROM (SELECT topic, revenue >= MEDIAN(revenue) OVER () AS large, discount >= MEDIAN(discount) OVER () AS fast FROM {BRANDS})")
@@ -190,16 +204,22 @@ def f17_f18_g25_opportunity_index(spark, d):
     return ranked_axes(spark, d).select("topic", F.when(~low, F.round(index, 6)).alias("opportunity"), low.alias("suppressed"))
 
 
-@query("SELECT event_type AS topic, COUNT(*) FILTER (WHERE user_id < 50) AS research, COUNT(*) FILTER (WHERE user_id BETWEEN 50 AND 99) AS attention, ROUND(COALESCE(LEAST(GREATEST((AVG(CASE WHEN user_id BETWEEN 50 AND 99 THEN value - 50 END) + 10) / 20, 0), 1), 0.5), 6) AS tone, ROUND(GREATEST(0.3, 0) * COUNT(*) FILTER (WHERE user_id < 50) / COUNT(*), 6) AS research_growth FROM events GROUP BY event_type")
+@query("""WITH y AS (SELECT event_type AS topic, CAST(DATE_TRUNC('month', ts) AS DATE) AS slice, COUNT(*) AS n FROM events GROUP BY 1, 2), f AS (SELECT t.topic, s.slice, COALESCE(y.n, 0) AS n FROM (SELECT DISTINCT topic FROM y) t CROSS JOIN (SELECT DISTINCT slice FROM y) s LEFT JOIN y ON y.topic = t.topic AND y.slice = s.slice),
+s AS (SELECT topic, LIST(CAST(n AS DOUBLE) ORDER BY slice) AS s FROM f GROUP BY topic), c AS (SELECT topic, CASE WHEN LEN(s) < 4 OR LIST_SUM(s) <= 0 THEN 0 WHEN s[-1] + s[-2] <= 0 THEN -1 ELSE POW(((s[-1] + s[-2]) / 2) / GREATEST((s[1] + s[2]) / 2, 0.5), 1.0 / (LEN(s) - 1)) - 1 END AS cagr FROM s)
+SELECT topic, research, attention, tone, ROUND(CAST(GREATEST(cagr, 0) * research / total AS DOUBLE), 6) AS research_growth FROM (SELECT event_type AS topic, COUNT(*) AS total, COUNT(*) FILTER (WHERE user_id < 50) AS research, COUNT(*) FILTER (WHERE user_id BETWEEN 50 AND 99) AS attention, ROUND(COALESCE(LEAST(GREATEST((AVG(CASE WHEN user_id BETWEEN 50 AND 99 THEN value - 50 END) + 10) / 20, 0), 1), 0.5), 6) AS tone FROM events GROUP BY event_type) JOIN c USING (topic)""")
 def g24_f14_f15_source_split(spark, d):
+    rows = read(spark, d, "events").select(F.col("event_type").alias("topic"), F.trunc("ts", "month").alias("slice"), "user_id", "value")
     research, attention = F.col("user_id") < 50, F.col("user_id").between(50, 99)
     tone = stats.tone_share(F.avg(F.when(attention, F.col("value") - 50)))
-    return read(spark, d, "events").groupBy(F.col("event_type").alias("topic")).agg(F.count_if(research).alias("research"), F.count_if(attention).alias("attention"), F.round(tone, 6).alias("tone"), F.round(F.lit(0.3) * F.count_if(research) / F.count(F.lit(1)), 6).alias("research_growth"))
+    split = rows.groupBy("topic").agg(F.count_if(research).alias("research"), F.count_if(attention).alias("attention"), F.round(tone, 6).alias("tone"), F.count(F.lit(1)).alias("total"))
+    growth = series.series(series.zero_filled(rows, "topic", "slice"), "topic", "slice").select("topic", stats.cagr(F.col("counts")).alias("cagr"))
+    grown = stats.research_growth(F.col("cagr"), F.col("research") / F.col("total"))
+    return split.join(growth, "topic").select("topic", "research", "attention", "tone", F.round(grown, 6).alias("research_growth"))
 
 
-@query(f"SELECT year, COUNT(*) FILTER (WHERE source = 'src0') AS src0, COUNT(*) FILTER (WHERE source = 'src1') AS src1, COUNT(*) FILTER (WHERE source = 'src2') AS src2 FROM {DOCS} GROUP BY year")
+@query(f"SELECT year, source, COUNT(d.year) AS n, ANY_VALUE(of_year) AS of_year, ANY_VALUE(of_source) AS of_source FROM (SELECT year, COUNT(*) AS of_year FROM {DOCS} GROUP BY year) CROSS JOIN (SELECT source, COUNT(*) AS of_source FROM {DOCS} GROUP BY source) LEFT JOIN {DOCS} d USING (year, source) GROUP BY year, source")
 def g28_crosstab(spark, d):
-    return roles.docs(spark, d).groupBy("year").pivot("source", ["src0", "src1", "src2"]).agg(F.count(F.lit(1))).na.fill(0)
+    return series.crosstab(roles.docs(spark, d), "year", "source")
 
 
 @query("SELECT l_linenumber AS threshold, COUNT(*) AS clusters, CAST(SUM(n) AS BIGINT) AS docs, MAX(n) AS largest, MEDIAN(n) AS middle, ROUND(MAX(n) / SUM(n), 6) AS share FROM (SELECT l_linenumber, l_suppkey, COUNT(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY l_linenumber")
@@ -216,7 +236,9 @@ def h10_first_healthy(spark, d):
 @query("SELECT cut, ROUND(AVG(CASE WHEN c_acctbal >= cut THEN 1.0 ELSE 0.0 END), 6) AS share, ROUND(QUANTILE_CONT(c_acctbal, 0.1), 4) AS p10, ROUND(QUANTILE_CONT(c_acctbal, 0.9), 4) AS p90 FROM customer, (SELECT UNNEST([0, 2500, 5000]) AS cut) GROUP BY cut")
 def g30_distribution(spark, d):
     rows = read(spark, d, "customer").select("c_acctbal", F.explode(F.array(F.lit(0), F.lit(2500), F.lit(5000))).alias("cut"))
-    return rows.groupBy("cut").agg(F.round(F.avg((F.col("c_acctbal") >= F.col("cut")).cast("double")), 6).alias("share"), F.round(F.percentile("c_acctbal", 0.1), 4).alias("p10"), F.round(F.percentile("c_acctbal", 0.9), 4).alias("p90"))
+    shares = rows.groupBy("cut").agg(F.round(F.avg((F.col("c_acctbal") >= F.col("cut")).cast("double")), 6).alias("share"))
+    tails = ranks.quantiles(read(spark, d, "customer"), "c_acctbal", {"p10": 0.1, "p90": 0.9})
+    return shares.join(tails).select("cut", "share", F.round("p10", 4).alias("p10"), F.round("p90", 4).alias("p90"))
 
 
 @query(f"WITH r AS (SELECT {rank_sql('revenue')} AS a, {rank_sql('quantity')} AS b FROM {BRANDS}), s AS (SELECT 'a' AS axis, STDDEV_POP(a) AS sd, 0.6 AS w FROM r UNION ALL SELECT 'b', STDDEV_POP(b), 0.4 FROM r) SELECT axis, ROUND(sd, 6) AS sd, ROUND(w * sd / SUM(w * sd) OVER (), 6) AS share FROM s")
@@ -362,10 +384,17 @@ def x16_x17_dates(spark, d):
     return read(spark, d, "orders").select("o_orderkey", text.parse_date(day).cast("string").alias("parsed"), text.date_from_parts(parts).cast("string").alias("from_parts"))
 
 
-@query("SELECT 'a quick brown a' AS text, 3 AS windows")
+@query("""WITH w AS (SELECT doc_id, LIST_FILTER(REGEXP_SPLIT_TO_ARRAY(COALESCE(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents), o AS (SELECT o_orderkey AS doc_id, o_orderdate AS stop, 1 + o_orderkey % 4 AS k FROM orders)
+SELECT 'text' AS kind, doc_id AS id, 0 AS place, MD5(ARRAY_TO_STRING(w, ' ')) AS value FROM w WHERE LEN(w) > 0
+UNION ALL SELECT 'window', doc_id, CAST(i AS INTEGER), STRFTIME(stop - TO_SECONDS(CAST(s * (k - i) // k AS BIGINT)), '%Y-%m-%dT%H:%M:%S') || '/' || STRFTIME(stop - TO_SECONDS(CAST(s * (k - i - 1) // k AS BIGINT)), '%Y-%m-%dT%H:%M:%S') FROM (SELECT *, CAST(6 * 2630016 AS BIGINT) AS s, UNNEST(RANGE(k)) AS i FROM o)""")
 def x21_x34_rebuild(spark, d):
-    one = spark.createDataFrame([('{"a": [0, 3], "quick": [1], "brown": [2]}',)], "inverted string")
-    return one.select(text.rebuild_abstract(F.col("inverted")).alias("text"), F.size(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: i)).alias("windows"))
+    """Texts from the positions of their words, and the windows of half a year before each order."""
+    words = read(spark, d, "documents").select("doc_id", F.filter(F.split(F.coalesce("text", F.lit("")), r"[ \t\n\x0B\f\r]+"), lambda x: x != "").alias("w"))
+    inverted = words.select("doc_id", F.posexplode("w").alias("p", "word")).groupBy("doc_id", "word").agg(F.collect_list("p").alias("at")).groupBy("doc_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("word", "at")))).alias("inverted"))
+    texts = inverted.select(F.lit("text").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).alias("place"), F.md5(text.rebuild_abstract(F.col("inverted"))).alias("value"))
+    spans = read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.posexplode(text.time_windows(F.col("o_orderdate"), 6, 1 + F.col("o_orderkey") % 4)).alias("place", "x"))
+    show = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    return texts.union(spans.select(F.lit("window"), "id", "place", F.concat(show(F.col("x.start")), F.lit("/"), show(F.col("x.stop")))))
 
 
 @query("SELECT user_id, ARRAY_TO_STRING(LIST_SORT(LIST_DISTINCT(LIST(event_type)))[1:20], ',') AS kinds FROM events GROUP BY user_id")
@@ -434,10 +463,12 @@ def _stable(spark, d):
     return diagnostics.stability(rows, diagnostics.simplex(rows, 20), 5)
 
 
-@query(f"SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, ROUND(wa + wb + wc, 9) AS total FROM {LATTICE}")
+@query(f"WITH c AS ({COMPOSITE}), b AS {BRANDS}, r AS (SELECT topic, {rank_sql('revenue')} AS rr, {rank_sql('quantity')} AS rq, {rank_sql('discount')} AS rd FROM b) SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, ROUND(CAST(MAX(wa * rr + wb * rq + wc * rd) AS DOUBLE), 9) AS best FROM {LATTICE}, r GROUP BY i, j")
 def k16_simplex(spark, d):
-    cells = diagnostics.simplex(spark.range(1), 20)
-    return cells.select("i", F.col("j").cast("int").alias("j"), F.round(F.col("wa") + F.col("wb") + F.col("wc"), 9).alias("total"))
+    """Over each cell of the weights' lattice the best of the topics' weighted scores."""
+    axes = ranked_axes(spark, d)
+    score = F.col("wa") * F.col("rr") + F.col("wb") * F.col("rq") + F.col("wc") * F.col("rd")
+    return axes.join(F.broadcast(diagnostics.simplex(axes, 20))).groupBy("i", F.col("j").cast("int").alias("j")).agg(F.round(F.max(score), 9).alias("best"))
 
 
 @query(f"{STABLE} SELECT pos, CAST(MIN(place) AS INTEGER) AS best, CAST(MAX(place) AS INTEGER) AS worst, ROUND(AVG(CASE WHEN place <= 5 THEN 1.0 ELSE 0.0 END), 6) AS share_top, ROUND(AVG(CASE WHEN place = 1 THEN 1.0 ELSE 0.0 END), 6) AS share_first FROM s GROUP BY pos")
@@ -468,9 +499,8 @@ def k11_k13_w15_fidelity(spark, d):
 @query("SELECT label AS topic, ROUND(MAX(mx), 6) AS cx, ROUND(QUANTILE_CONT(SQRT(POW(x - mx, 2) + POW(y - my, 2)), 0.9), 6) AS spread FROM (SELECT label, x, y, MEDIAN(x) OVER (PARTITION BY label) AS mx, MEDIAN(y) OVER (PARTITION BY label) AS my FROM (SELECT label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)) GROUP BY label")
 def k15_map_centres(spark, d):
     rows = read(spark, d, "embeddings").select(F.col("label").alias("topic"), F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
-    centres = rows.groupBy("topic").agg(F.median("x").alias("mx"), F.median("y").alias("my"))
-    far = F.sqrt(F.pow(F.col("x") - F.col("mx"), F.lit(2.0)) + F.pow(F.col("y") - F.col("my"), F.lit(2.0)))
-    return rows.join(centres, "topic").groupBy("topic").agg(F.round(F.max("mx"), 6).alias("cx"), F.round(F.percentile(far, 0.9), 6).alias("spread"))
+    found = diagnostics.map_centres(rows, "topic", "x", "y")
+    return found.select("topic", F.round("cx", 6).alias("cx"), F.round("spread", 6).alias("spread"))
 
 
 @query(f"WITH c AS ({COMPOSITE}), s AS (SELECT topic, composite + CASE WHEN topic = (SELECT MAX(topic) FROM c) THEN 0.25 ELSE 0 END AS stored FROM c WHERE topic <> (SELECT MIN(topic) FROM c)) SELECT COUNT(*) AS n, ROUND(MAX(ABS(stored - composite)), 6) AS deviation, COUNT(*) FILTER (WHERE stored IS NULL) AS unpaired, MAX(ABS(stored - composite)) <= 1e-6 AND COUNT(*) FILTER (WHERE stored IS NULL) = 0 AS ok, COUNT(*) FILTER (WHERE ABS(stored - composite) > 1e-6 OR stored IS NULL) AS different FROM c LEFT JOIN s USING (topic)")
@@ -483,12 +513,28 @@ def k20_k21_k22_audit(spark, d):
     return close.withColumn("deviation", F.round("deviation", 6)).join(diagnostics.verify_identical(stored, recomputed, ["topic"], "composite").select("different"))
 
 
-@query(f"SELECT (SELECT COUNT(*) FROM {BRANDS} WHERE n < 2380) AS thin, (SELECT COUNT(*) FROM {BRANDS} WHERE ABS(discount - 0.05) < 0.0002) AS borderline, (SELECT MAX(revenue) - MIN(revenue) FROM {BRANDS}) AS extent")
+@query(f"""WITH b AS {BRANDS}, y AS (SELECT source, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS total FROM {DOCS} GROUP BY source)
+SELECT 'thin' AS rule, topic AS subject, 'Only ' || n || ' documents' AS finding FROM b WHERE n < 2380
+UNION ALL SELECT 'borderline', topic, 'A discount of ' || PRINTF('%.4f', discount) || ' lies within 0.0002 of 0.05' FROM b WHERE ABS(discount - 0.05) < 0.0002
+UNION ALL SELECT 'dominant', source, PRINTF('%.1f', 100.0 * n / total) || ' percent of all documents' FROM y WHERE n > 0.2 * total""")
 def k23_observations(spark, d):
-    rows = roles.brands(spark, d)
-    return rows.agg(F.count_if(F.col("n") < 2380).alias("thin"), F.count_if(F.abs(F.col("discount") - 0.05) < 0.0002).alias("borderline"), (F.max("revenue") - F.min("revenue")).alias("extent"))
+    rows, counts = roles.brands(spark, d), roles.docs(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return diagnostics.observations(rows, "topic", "n", "discount", 2380, (0.05, 0.0002), counts, 0.2)
 
 
-@query("SELECT doc_id, ROUND(p - q, 3) AS distortion FROM (SELECT doc_id, (doc_id % 7) / 7 AS p, (doc_id % 5) / 5 AS q FROM documents)")
+@query(f"""WITH p AS (SELECT vec_id, topic, CAST(embedding AS DOUBLE[]) AS v FROM {POINTS}),
+s AS (SELECT a.vec_id, AVG(CASE WHEN a.topic = a.tb THEN 1.0 ELSE 0.0 END) AS p FROM (SELECT a.vec_id, a.topic, b.topic AS tb, ROW_NUMBER() OVER (PARTITION BY a.vec_id ORDER BY ROUND(LIST_DOT_PRODUCT(a.v, b.v), 9) DESC, b.vec_id) AS place FROM p a JOIN p b ON a.vec_id <> b.vec_id) a WHERE place <= 5 GROUP BY a.vec_id),
+m AS (SELECT a.vec_id, AVG(CASE WHEN a.topic = a.tb THEN 1.0 ELSE 0.0 END) AS p FROM (SELECT a.vec_id, a.topic, b.topic AS tb, ROW_NUMBER() OVER (PARTITION BY a.vec_id ORDER BY ROUND(POW(a.v[1] - b.v[1], 2) + POW(a.v[2] - b.v[2], 2), 9), b.vec_id) AS place FROM p a JOIN p b ON a.vec_id <> b.vec_id) a WHERE place <= 5 GROUP BY a.vec_id)
+SELECT s.vec_id, ROUND(s.p, 6) AS space_purity, ROUND(m.p, 6) AS map_purity, ROUND(s.p - m.p, 3) AS distortion FROM s JOIN m USING (vec_id)""")
 def f22_distortion(spark, d):
-    return read(spark, d, "documents").select("doc_id", F.round((F.col("doc_id") % 7) / 7.0 - (F.col("doc_id") % 5) / 5.0, 3).alias("distortion"))
+    """How much purer a point's neighbourhood is in the space than on the map of its first two components."""
+    rows = roles.points(spark, d).withColumn("map", F.slice("embedding", 1, 2))
+    return diagnostics.distortion(rows, "vec_id", "topic", ("embedding", "inner"), ("map", "euclidean"), 5).select("vec_id", F.round("space_purity", 6).alias("space_purity"), F.round("map_purity", 6).alias("map_purity"), F.round("distortion", 3).alias("distortion"))
+
+
+@query(None)
+def k04_k24_threshold_sweep(spark, d):
+    """Average linkage of the benchmark's texts once, cut at six levels."""
+    rows = _benchmark_vectors(spark, d)
+    figures = linkage.sweep(linkage.merges(rows, "item_id", 0.1), rows.select("item_id"), "item_id", [0.1, 0.15, 0.2, 0.3, 0.4, 0.6])
+    return figures.select("level", "clusters", "members", "largest", "middle", F.round("share", 6).alias("share"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions import stats, text
-from topicloom.operators import diagnostics, graph, references, series, topics, vectors
+from topicloom.operators import diagnostics, entropy, ranks, references, series, topics, vectors
 
 
 @dataclass
@@ -47,10 +47,8 @@ def topic_model(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFra
     forms = F.col("source").isin(*settings.forming) if settings.forming else F.lit(True)
     forming = docs.where(forms).select("doc_id")
     own = sparse.join(forming, "doc_id")
-    pairs = vectors.similar_pairs(own, "doc_id", settings.threshold)
-    parts = graph.component_labels(own.select("doc_id").distinct(), pairs, "doc_id")
     dense = _dense(sparse, "doc_id", settings.dim).checkpoint()
-    clusters = topics.cluster(dense.join(parts, "doc_id"), "doc_id", "vector", "component", settings.threshold, settings.min_topic_size, settings.max_topics)
+    clusters = topics.clusters(own, "doc_id", settings.threshold, settings.min_topic_size, settings.max_topics)
     centres = vectors.centroids(clusters.join(dense, "doc_id"), "topic_id", "vector").checkpoint()
     at = centres.withColumn("ord", F.substring("topic_id", 2, 9).cast("int"))
     members = clusters.join(dense, "doc_id").join(F.broadcast(centres), "topic_id").select("topic_id", "doc_id", stats.dot(F.col("vector"), F.col("centroid")).alias("similarity"), F.lit(True).alias("forming"))
@@ -73,11 +71,9 @@ def attributes(docs: DataFrame, members: DataFrame, dense: DataFrame, settings:
     burst = series.bursts(line, settings.s, settings.gamma)
     shape = burst.select("topic_id", stats.cagr(F.col("counts")).alias("cagr"), stats.burst_score(F.col("states"), F.col("max_weight")).alias("burst"), F.col("total_weight").alias("burst_weight"), F.aggregate(F.zip_with("counts", "totals", lambda c, t: F.when(t > 0, c / t).otherwise(0.0)), F.lit(0.0), lambda a, x: a + x).alias("p"), F.size("counts").alias("slices"))
     shape = shape.select("topic_id", "cagr", "burst_weight", (F.col("p") / F.col("slices")).alias("avg_proportion"), stats.clip(0.6 * stats.squash(F.col("cagr")) + 0.4 * F.col("burst")).alias("growth"))
-    cited = docs.select("doc_id", stats.share_at_or_below(F.col("citation_count"), "source").alias("cited"))
-    by_source = joined.groupBy("topic_id", "source").agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy("topic_id")
-    shares = by_source.select("topic_id", (F.col("n") / F.sum("n").over(whole)).alias("p"), F.count(F.lit(1)).over(whole).alias("k"))
-    spread = shares.groupBy("topic_id").agg(F.when(F.max("k") < 2, F.lit(0.0)).otherwise(-F.sum(F.col("p") * F.log("p")) / F.log(F.max("k").cast("double"))).alias("uncertainty"))
+    cited = ranks.shares_at_or_below(docs.select("doc_id", "source", "citation_count"), "citation_count", "cited", ["source"]).select("doc_id", "cited")
+    actors = [c for c in ("source", "institutions") if c in docs.columns]
+    spread = entropy.mean_entropy(joined, "topic_id", actors).withColumnRenamed("entropy", "uncertainty")
     basic = members.join(cited, "doc_id").groupBy("topic_id").agg(F.count(F.lit(1)).alias("document_count"), F.avg(stats.clip(F.col("similarity"))).alias("coherence"), F.avg("cited").alias("impact"))
     # novelty: distance of a topic's centroid from that of all documents of the first third of the slices
     early = docs.select("time_slice").distinct().where("time_slice is not null").withColumn("r", F.row_number().over(Window.orderBy("time_slice"))).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy()))

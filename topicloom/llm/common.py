@@ -49,6 +49,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder as Parquet and read again: as cut(), without the constraints that a checkpoint's plan inherits and that a driver plans with ever after."""
+    path = new_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fenced(df: DataFrame, computed: list[str]) -> DataFrame:
     """df with the computed columns behind a generator: what later filters on them isn't pushed below, where their expressions would be evaluated again."""
     return df.select(*[c for c in df.columns if c not in computed], F.inline(F.array(F.struct(*computed))))

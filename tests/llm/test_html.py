@@ -84,7 +84,10 @@ def brute(page):
     def run(names, stops):
         first = []
         for t, linked, (tagged, named), inside, heading in b:
-            x = "bad" if tagged or (names and named) or linked > 0.33 * len(t.replace(" ", "")) else "?" if len(t) < 70 or heading else None
+            letters = len(t.replace(" ", ""))
+            x = "bad" if tagged or (names and named) or linked > 0.33 * letters else "?" if len(t) < 70 or heading else None
+            if inside and not (tagged or (names and named)) and 0.33 * letters < linked < 0.9 * letters:
+                x = "low"
             if x is None:
                 s = share(t) if stops else 1
                 x = ("good" if len(t) > 200 else "near") if s >= 0.18 else "near" if s >= 0.1 else "low" if inside else "bad"
@@ -166,3 +169,26 @@ def test_extra_columns_and_long_pages(spark):
 def test_time_is_linear():
     for s in ('<p a="\'' * 20000, "<b>" * 50000 + "</b>" * 50000, "<a href='x>" * 20000, "<button>" * 20000, "<!--" * 50000, "<script" * 30000, "<li>" * 30000, "</" * 50000, "<nav>" * 30000 + "</b>" * 30000):
         assert isinstance(html.extract(s), str)
+
+
+LINE = "The committee met in the old hall and it was said that the work of the year would go on as it had been planned by all of them."
+
+
+@pytest.mark.parametrize("body", [
+    f'<p>{LINE}</p><p>See <a href="/a">{LINE[:80]}</a> for this and more.</p><p>{LINE}</p>',
+    f"<p>{LINE}</p><p>The sign © stands for a right that is old.</p><p>{LINE}</p>",
+    f'<p>{LINE}</p><section class="social-impact"><p>{LINE} {LINE} {LINE}</p></section>',
+    f'<p>{LINE}</p><section id="ad-hoc-committee"><p>{LINE} {LINE} {LINE}</p></section>',
+    f'<p>{LINE}</p><section class="related-work"><p>{LINE} {LINE} {LINE}</p></section>',
+])
+def test_an_article_keeps_its_text(body):
+    import re
+
+    page = f"<html><body><nav><a href='/'>Home</a></nav><article>{body}</article><footer>© 2020 the site</footer></body></html>"
+    want = [re.sub("<[^>]+>", "", p) for p in re.findall("<p>(.*?)</p>", body)]
+    assert html.extract(page).split("\n") == want
+
+
+def test_compound_names_of_furniture():
+    assert all(map(html.names_furniture, ["ad", "ads-container", "sidebar-left", "cookie-banner", "related-posts", "social-share", "newsletter_form", "mainNav", "ad-slot-1"]))
+    assert not any(map(html.names_furniture, ["social-impact", "ad-hoc-committee", "related-work", "advertising-history", "no-sidebar", "menu-open"]))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from topicloom.llm.common import session
 
-MAX_LINKS, SHORT, LONG, STOPS_LOW, STOPS_HIGH = 0.33, 70, 200, 0.10, 0.18
+MAX_LINKS, ALL_LINKS, SHORT, LONG, STOPS_LOW, STOPS_HIGH = 0.33, 0.9, 70, 200, 0.10, 0.18
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -46,9 +46,10 @@ RAW = frozenset("script style textarea iframe title noframes".split())
 OPAQUE = frozenset("noscript template object svg math select button canvas audio video".split())
 FURNITURE = frozenset("nav footer aside menu dialog head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar alertdialog".split())
-#: Parts of class and id tokens that name furniture; a token that begins or ends with one of the others speaks of something else.
+#: Parts of class and id tokens that name furniture; a token that begins or ends with one of FIRST or LAST speaks of something else, and so does one with a part that is neither a name nor a word for a place on a page.
 NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead comments commentlist disqus respond replies share sharing social related recommended recommendations widget widgets login signup pagination paginator pager".split())
 FIRST, LAST = frozenset("has no with without hide show is not single post entry article content".split()), frozenset("open closed enabled disabled on off count".split())
+PLACES = frozenset("area articles aside banner bar block bottom box button buttons col column container content desktop fixed footer form global group h header home icon icons inner item items label left link links list local main mobile module news outer page panel posts primary right row secondary section site slot sticky stories strip text top unit v wrap wrapper zone".split())
 READERS = frozenset("comment reply comment-body comment-content comment-text".split())
 PAGE_HEADS = frozenset("header banner topbar".split())
 NAME = re.compile(r"[A-Za-z][A-Za-z0-9:-]*")
@@ -82,7 +83,9 @@ def names_furniture(token: str) -> bool:
     parts = [p.lower() for p in PART.findall(token)]
     if not parts or parts[0] in FIRST or parts[-1] in LAST:
         return False
-    return any(p in NAMES for p in parts) or "".join(parts) in NAMES or token.lower() in READERS
+    if "".join(parts) in NAMES or token.lower() in READERS:
+        return True
+    return any(p in NAMES for p in parts) and all(p in NAMES or p in PLACES or p.isdigit() for p in parts)
 
 
 def evidence(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool]:
@@ -262,7 +265,10 @@ def first_label(block: Block, names: bool = True, stops: bool = True) -> str:
     length = len(block.text)
     if block.tagged or (names and block.named):
         return "bad"
-    if block.linked > MAX_LINKS * max(1, len(block.text.replace(" ", ""))) or "©" in block.text[:40] and length < LONG:
+    share_linked = block.linked / max(1, len(block.text.replace(" ", "")))
+    if block.region and MAX_LINKS < share_linked < ALL_LINKS:  # an article's paragraph may be full of links
+        return "low"
+    if share_linked > MAX_LINKS or ("©" in block.text and length < LONG and not block.region):
         return "bad"
     if length < SHORT or block.heading:
         return "short"

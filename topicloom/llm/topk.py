@@ -32,8 +32,8 @@ K, SCALE, QUERY_EVERY, BLOCK_DIMS = 5, 256, 50, 8
 CELL_QUERIES, CELL_ROWS = 2_000, 20_000
 
 
-def cell_top_k(query_ids, queries, ids, vectors, k: int = K, block: int = BLOCK_DIMS):
-    """(query, id, score) of the k best of each query among `vectors`, by (score desc, id asc)."""
+def cell_top_k(query_ids, queries, ids, vectors, k: int = K, block: int = BLOCK_DIMS, names=None):
+    """(query or its name, id, score) of the k best of each query among `vectors`, by (score desc, id asc)."""
     out_q, out_i, out_s = [], [], []
     n, dims = vectors.shape
     columns = np.ascontiguousarray(vectors.T)  # vertical layout
@@ -42,7 +42,7 @@ def cell_top_k(query_ids, queries, ids, vectors, k: int = K, block: int = BLOCK_
     tails = [np.sqrt(squares[e:].sum(0, dtype=np.int64)) for e in edges]  # norms of what remains from each edge on
     seed = min(n, max(64, 8 * k))
     probe = np.argpartition(-tails[0], seed - 1)[:seed] if n > seed else np.arange(n)
-    for q_id, q in zip(query_ids, queries):
+    for q_id, q, name in zip(query_ids, queries, query_ids if names is None else names):
         own = ids == q_id
         sample = probe[~own[probe]]
         first = np.sort(q @ columns[:, sample])
@@ -62,20 +62,20 @@ def cell_top_k(query_ids, queries, ids, vectors, k: int = K, block: int = BLOCK_
                 if not keep.all():
                     live, score = live[keep], score[keep]
         best = np.lexsort((ids[live], -score))[:k]
-        out_q += [q_id] * len(best)
+        out_q += [name] * len(best)
         out_i += ids[live[best]].tolist()
         out_s += score[best].tolist()
     return out_q, out_i, out_s
 
 
-def exact_top_k(query_ids, queries, ids, vectors, k: int = K):
+def exact_top_k(query_ids, queries, ids, vectors, k: int = K, names=None):
     """As cell_top_k, for vectors whose products may pass 64 bits: (query, id, score), scores cut to 64 bits after they are compared."""
     out = []
     every = [list(map(int, v)) for v in vectors]
-    for q_id, q in zip(query_ids, queries):
+    for q_id, q, name in zip(query_ids, queries, query_ids if names is None else names):
         q = list(map(int, q))
         scores = [(-sum(map(int.__mul__, q, v)), int(i)) for i, v in zip(ids, every) if i != q_id]
-        out += [(q_id, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for s, i in heapq.nsmallest(k, scores)]
+        out += [(name, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for s, i in heapq.nsmallest(k, scores)]
     return tuple(zip(*out)) if out else ((), (), ())
 
 
@@ -89,8 +89,8 @@ def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale:
     n, nq = rows.count(), rows.where(F.col("vec_id") % query_every == 0).count()
     across, down = max(1, -(-n // CELL_ROWS)), max(1, -(-nq // CELL_QUERIES))
     across = max(across, min(-(-n // 1000), -(-vectors.sparkSession.sparkContext.defaultParallelism // down)))
-    queries = rows.where(F.col("vec_id") % query_every == 0).select("*", F.pmod(F.xxhash64("vec_id"), F.lit(down)).cast("long").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(across - 1).cast("long"))).alias("j"), F.lit(True).alias("is_query"))
-    others = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(down - 1).cast("long"))).alias("i"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(across)).cast("long").alias("j"), F.lit(False).alias("is_query"))
+    queries = rows.where(F.col("vec_id") % query_every == 0).select("*", F.pmod(F.xxhash64("row"), F.lit(down)).cast("long").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(across - 1).cast("long"))).alias("j"), F.lit(True).alias("is_query"))
+    others = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(down - 1).cast("long"))).alias("i"), F.pmod(F.xxhash64("row", F.lit(1)), F.lit(across)).cast("long").alias("j"), F.lit(False).alias("is_query"))
 
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         q, c = cell[cell["is_query"]], cell[~cell["is_query"]]
@@ -101,17 +101,12 @@ def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale:
         theirs = c["vec_id"].to_numpy()
         large = lambda x: np.square(x.astype(float)).sum(1) >= float(1 << 62)
         far, wide, out = large(wanted), large(others), []
-        # each of the query's rows for itself: a repeated vec_id is as many queries
-        while len(ids):
-            first = np.unique(ids, return_index=True)[1]
-            for of, queries_, among in ((cell_top_k, ~far, ~wide), (exact_top_k, ~far, wide), (exact_top_k, far, wide | True)):
-                mine = first[queries_[first]]
-                if len(mine) and among.any():
-                    got_q, got_i, got_s = of(ids[mine], wanted[mine], theirs[among], others[among], k)
-                    row_of = dict(zip(ids[mine].tolist(), rows[mine].tolist()))
-                    out += [(int(x), row_of[int(x)], int(y), int(z)) for x, y, z in zip(got_q, got_i, got_s)]
-            rest = np.setdiff1d(np.arange(len(ids)), first)
-            ids, rows, wanted, far = ids[rest], rows[rest], wanted[rest], far[rest]
+        # a repeated vec_id is as many queries: the row names each
+        for of, queries_, among in ((cell_top_k, ~far, ~wide), (exact_top_k, ~far, wide), (exact_top_k, far, wide | True)):
+            mine = np.flatnonzero(queries_)
+            if len(mine) and among.any():
+                got, got_i, got_s = of(ids[mine], wanted[mine], theirs[among], others[among], k, names=mine.tolist())
+                out += [(int(ids[x]), int(rows[x]), int(y), int(z)) for x, y, z in zip(got, got_i, got_s)]
         return pd.DataFrame(out, columns=["query_id", "row", "vec_id", "score"]).astype("int64")
 
     found = queries.unionByName(others).groupBy("dims", "i", "j").applyInPandas(run, "query_id long, row long, vec_id long, score long")

@@ -209,3 +209,25 @@ def test_pipeline(spark, data):
     near = queries.op5_simhash(spark, data).toPandas().set_index("doc_id").component_id
     assert len(set(packed.doc_id)) == len(set(near[list(set(packed.doc_id))]))
     assert len(set(packed.doc_id)) > 0.5 * docs.count()
+
+
+def test_small_sources_are_spread(spark):
+    rows = [(i, f"text {i}", f"only{i}" if i < 400 else f"s{i % 3}") for i in range(4000)]
+    got = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("doc_id < 400").groupBy("shard").count().collect()
+    counts = [r["count"] for r in got]
+    assert len(counts) == 16 and max(counts) - min(counts) <= 2
+
+
+def test_equal_rows_are_dealt_out(spark):
+    from topicloom.llm import packing
+    from topicloom.llm.common import told_apart
+
+    df = spark.range(20_000).selectExpr("7L as doc_id", "'a few words' as text", "'s' as source").repartition(8)
+    numbers = told_apart(df.checkpoint(), ["doc_id", "text"], "nth").agg(F.min("nth"), F.max("nth"), F.count_distinct("nth")).first()
+    assert tuple(numbers) == (1, 20_000, 20_000)
+    parts = packing.pack(df).selectExpr("sequence_id >> 32 as part").groupBy("part").count().collect()
+    assert len(parts) == 10 and max(r["count"] for r in parts) < 2400
+    shards = sharding.shards(df).groupBy("shard").count().collect()
+    assert [r["count"] for r in shards] == [1250] * 16
+    same = spark.createDataFrame([(50, [1.0, float(i)]) for i in range(300)] + [(3, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    assert topk.top_k(same).groupBy("vec_id").count().collect()[0]["count"] == 300

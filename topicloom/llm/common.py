@@ -6,7 +6,7 @@ import os
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows and bytes of an Arrow batch: bounds a Python worker's memory whatever the length of the texts.
@@ -61,6 +61,21 @@ def fenced(df: DataFrame, computed: list[str]) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in computed], F.inline(F.array(F.struct(*computed))))
 
 
+def ranked(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
+    """out: the row's 1-based place among rows of equal by[:-1], by (bucket by[-1], order): only a bucket's rows are sorted together. No null in by."""
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("_r", within).join(offsets, by).withColumn(out, F.col("_r") + F.col("_before")).drop("_r", "_before")
+
+
+def told_apart(df: DataFrame, columns: list[str], out: str) -> DataFrame:
+    """out: the row's number among those equal in these columns, from 1. df is kept in the shared folder, so that its partitions stay; a value's rows are counted by partition and never gather."""
+    rows = df.withColumn("_key", F.xxhash64(*columns)).withColumn("_part", F.spark_partition_id())
+    return ranked(rows, ["_key", "_part"], ["_key"], out).drop("_key", "_part")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df dealt out evenly over as many tasks as shuffles have: for rows that are about to multiply."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

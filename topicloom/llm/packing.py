@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import Generations, cut, session, text_column, tokenizer_path
+from topicloom.llm.common import Generations, cut, session, text_column, tokenizer_path, told_apart
 
 WINDOW, END_ID, GROUP_PIECES, VOCABULARY = 2048, 1, 2048, "word_bpe_49k.json"
 CACHED_WORDS, PART = 600_000, b" \x02 "
@@ -162,9 +162,9 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabulary
     """The pieces with sequence_id and offset; offsets of a sequence are gapless from 0."""
     found = cut(pieces(docs, window, end_id, vocabulary, folder, with_ids))
     groups = max(1, -(-found.count() // group_pieces))
-    # rows without a doc_id may be equal in any number: their place in the checkpointed table tells them apart
-    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long"))
-    found = found.withColumn("_place", place).withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", "_place"), F.lit(groups)).cast("int")).drop("_place")
+    # equal rows may be any number: their numbers deal them out
+    named = ["doc_id", "start", "ids_crc32", "doc_tokens"]
+    found = told_apart(found, named, "nth").withColumn("part", F.pmod(F.xxhash64(*named, "nth"), F.lit(groups)).cast("int")).drop("nth")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)

@@ -1,35 +1,25 @@
 """Proportional stratified interleaving into shards.
 
 Rows of each source are shuffled by a seeded hash and ranked; rank r of n becomes the fraction
-(2r - 1) / 2n; all rows sorted by fraction are cut into equal runs, so each shard holds every source in
+(r - p) / n with a phase p of the source; all rows sorted by fraction are cut into equal runs, so each shard holds every source in
 the corpus's proportion and counts differ by one at most. Both ranks are found without ever sorting a
 source, or the table, in one task: rows fall into buckets of the (uniform) hash or fraction, bucket
 counts are summed up to offsets, and only a bucket's rows are sorted together.
 
-Null texts count as empty, null sources are a stratum of their own. The hash is of doc_id, text and, where
-doc_id is null, the row's place in the table, so that such rows do not share one; equal rows are
-interchangeable. An empty table gives an empty result; further columns are ignored.
+Null texts count as empty, null sources are a stratum of their own. The hash is of doc_id, text and the row's number
+among equal ones, so that these are dealt out, too; equal rows are interchangeable. An empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import cut
+from topicloom.llm.common import beside_hot, cut, ranked, told_apart
 
 SHARDS, SEED, BUCKET_ROWS, MAX_BUCKETS = 16, 17, 20_000, 1 << 16
 
 
-def _ranked(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
-    """out: the row's 1-based place among rows of equal by[:-1], by (bucket by[-1], order)."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return df.withColumn("_r", within).join(offsets, by).withColumn(out, F.col("_r") + F.col("_before")).drop("_r", "_before")
-
-
 def shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard (null: this law has none) of each row."""
     text = F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")
@@ -40,16 +30,20 @@ def shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFra
         F.when(docs["source"].isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), docs["source"].cast("string"))).alias("stratum"),
     )
     rows = cut(rows)
-    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long"))
-    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size", place))
+    rows = cut(told_apart(rows, ["doc_id", "text_crc32", "size"], "nth"))
+    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size", "nth"))
     total = rows.count()
     buckets = max(16, min(MAX_BUCKETS, total // BUCKET_ROWS))
     rows = rows.withColumn("hb", F.pmod("h", F.lit(buckets)).cast("int"))
-    sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("of"))
-    ranked = _ranked(rows, ["stratum", "hb"], ["h", "doc_id", "text_crc32", "size"], "rank").join(sizes, "stratum")
-    ranked = ranked.withColumn("fraction", (2 * F.col("rank") - 1) / (2 * F.col("of")))
-    ranked = ranked.withColumn("all", F.lit(0)).withColumn("fb", F.floor(F.col("fraction") * buckets).cast("int"))
-    placed = _ranked(ranked, ["all", "fb"], ["fraction", "stratum", "h", "doc_id", "text_crc32", "size"], "place")
+    # sources start at phases dealt evenly over [0, 1), so that sources of a few rows do not meet in the middle
+    sizes = cut(rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("of")).withColumn("sh", F.xxhash64(F.lit(seed), "stratum")))
+    strata = sizes.withColumn("all", F.lit(0)).withColumn("sb", F.pmod(F.shiftrightunsigned("sh", 48), F.lit(1 << 16)).cast("int"))
+    sizes = ranked(strata, ["all", "sb"], ["sh", "stratum"], "s").withColumn("phase", (F.col("s") - 0.5) / F.lit(float(max(1, sizes.count())))).select("stratum", "of", "phase")
+    dealt = ranked(rows, ["stratum", "hb"], ["h", "doc_id", "text_crc32", "size"], "rank")
+    dealt = beside_hot(dealt, sizes, "stratum")
+    dealt = dealt.withColumn("fraction", (F.col("rank") - F.col("phase")) / F.col("of"))
+    dealt = dealt.withColumn("all", F.lit(0)).withColumn("fb", F.floor(F.col("fraction") * buckets).cast("int"))
+    placed = ranked(dealt, ["all", "fb"], ["fraction", "stratum", "h", "doc_id", "text_crc32", "size"], "place")
     place = F.col("place").cast("long") - 1
     placed = placed.withColumn("shard", F.expr(f"cast((place - 1) * {n_shards} div {max(1, total)} as int)"))
     first = F.expr(f"(shard * {total} + {n_shards - 1}) div {n_shards}")

@@ -168,3 +168,47 @@ def test_ingest_is_idempotent(spark, tmp_path):
         stream = spark.readStream.schema(one.schema).parquet(source)
         ingest(stream, table, str(tmp_path / f"c{turn}"), ["doc_id"], "v").awaitTermination()
     assert sorted((r.doc_id, r.v) for r in spark.read.parquet(table).collect()) == [(1, "a"), (2, "c")]
+
+
+def test_a_batch_that_dies_halfway_adds_each_key_once(spark, tmp_path, monkeypatch):
+    from topicloom.streaming import ingest as module
+
+    source, table, marks = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "marks")
+    rows = lambda *r: spark.createDataFrame(list(r), "doc_id int, v string").coalesce(1).write.mode("append").parquet(source)
+    run = lambda: ingest(spark.readStream.schema("doc_id int, v string").parquet(source), table, marks, ["doc_id"], "v").awaitTermination()
+    rows((1, "a"), (2, "b"))
+    run()
+    rows((2, "later"), (3, "c"))
+    true = module.land
+
+    def dies(*args):
+        true(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(module, "land", dies)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.setattr(module, "land", true)
+    run()
+    run()
+    assert sorted((r.doc_id, r.v) for r in spark.read.parquet(table).collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_older_rows_take_the_new_schema(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    old = spark.createDataFrame([(1, "7", "gone")], "a int, B string, c string")
+    row = tables.migrated(old, _parse_datatype_string("b int, a long, d array<string>")).first()
+    assert tuple(row) == (7, 1, None) and row.__fields__ == ["b", "a", "d"]
+
+
+def test_hulls_as_an_aggregate(spark):
+    rng = np.random.default_rng(8)
+    points = [(t, *rng.normal(size=2).tolist()) for t in "ab" for _ in range(500)] + [("c", 1.0, 1.0), ("c", 2.0, 2.0), (None, 0.0, 0.0), ("a", None, 9.0)]
+    df = spark.createDataFrame(points, "t string, x double, y double").repartition(7)
+    for drop in (0.0, 0.1):
+        for r in diagnostics.hulls(df, "t", "x", "y", drop).collect():
+            own = np.array([p[1:] for p in points if p[0] == r.t and None not in p])
+            want = diagnostics.trimmed_hull(own, drop) if drop else diagnostics.hull(own)
+            assert sorted((p.x, p.y) for p in r.points) == sorted(map(tuple, want.tolist())) and r.corners == len(want)
+            assert (r.area > 0) == (r.t != "c")

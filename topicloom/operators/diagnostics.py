@@ -74,10 +74,10 @@ def verify_identical(stored: DataFrame, recomputed: DataFrame, keys: list[str],
 def recomputed(rows: DataFrame, key: str, weights: dict[str, float]) -> DataFrame:
     """(key, score): the weighted percentile ranks of a bounded population, each from counts of the smaller and the equal values; no window is shared with what is audited."""
     values = rows.select(key, *weights)
-    every = values.agg(F.count(F.lit(1)).alias("_n"), *[F.collect_list(a).alias(f"_{a}") for a in weights])
+    every = values.agg(F.count(F.lit(1)).alias("__count"), *[F.collect_list(a).alias(f"_{a}") for a in weights])
     both = values.join(F.broadcast(every))
-    rank = lambda a: (F.size(F.filter(f"_{a}", lambda x: x < F.col(a))) + (F.size(F.filter(f"_{a}", lambda x: x == F.col(a))) - 1) / 2) / F.greatest(F.col("_n") - 1, F.lit(1))
-    return both.select(key, weighted({a: F.when(F.col("_n") == 1, 0.5).otherwise(rank(a)) for a in weights}, weights).alias("score"))
+    rank = lambda a: (F.size(F.filter(f"_{a}", lambda x: x < F.col(a))) + (F.size(F.filter(f"_{a}", lambda x: x == F.col(a))) - 1) / 2) / F.greatest(F.col("__count") - 1, F.lit(1))
+    return both.select(key, weighted({a: F.when(F.col("__count") == 1, 0.5).otherwise(rank(a)) for a in weights}, weights).alias("score"))
 
 
 def influence(ranks: DataFrame, weights: dict[str, float]) -> DataFrame:
@@ -163,3 +163,41 @@ def observations(topics: DataFrame, topic: str, count: str, value: str, least: i
     total = sources.agg(F.sum("n").alias("total"))
     large = sources.join(F.broadcast(total)).where(F.col("n") > most * F.col("total"))
     return thin.union(close).union(large.select(F.lit("dominant"), "source", F.format_string("%.1f percent of all documents", F.lit(100.0) * F.col("n") / F.col("total"))))
+
+
+def hulls(rows: DataFrame, topic: str, x: str, y: str, drop: float = 0.0) -> DataFrame:
+    """(topic, points, corners, area): the convex hull of each topic's points, without the share `drop` of them that is farthest from the median centre.
+
+    An aggregate: the hull of hulls is the hull, so each batch sends a hull's few points, salts merge these and a topic merges its salts'. Points with a null are left out; fewer than three corners have no area."""
+    kind = rows.schema[topic].dataType.simpleString()
+    points = rows.select(F.col(topic).alias("topic"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("topic is not null and x is not null and y is not null")
+    if drop:
+        far = F.sqrt(F.pow(F.col("x") - F.col("cx"), F.lit(2.0)) + F.pow(F.col("y") - F.col("cy"), F.lit(2.0)))
+        points = points.join(map_centres(points, "topic", "x", "y", 1 - drop), "topic").where(far <= F.col("spread")).select("topic", "x", "y")
+
+    def corners(part: pd.DataFrame) -> pd.DataFrame:
+        found = [(t, hull(own[["x", "y"]].to_numpy())) for t, own in part.groupby("topic")]
+        return pd.DataFrame([(t, a, b) for t, h in found for a, b in h], columns=["topic", "x", "y"])
+
+    def partial(batches):
+        for batch in batches:
+            yield corners(batch)
+
+    def whole(part: pd.DataFrame) -> pd.DataFrame:
+        h = hull(part[["x", "y"]].to_numpy())
+        area = float(h[:, 0] @ np.roll(h[:, 1], -1) - h[:, 1] @ np.roll(h[:, 0], -1)) / 2 if len(h) > 2 else 0.0
+        return pd.DataFrame([(part["topic"].iloc[0], [{"x": a, "y": b} for a, b in h.tolist()], len(h), area)], columns=["topic", "points", "corners", "area"])
+
+    few = points.mapInPandas(partial, f"topic {kind}, x double, y double")
+    few = few.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(16))).groupBy("topic", "_salt").applyInPandas(lambda part: corners(part[["topic", "x", "y"]]), f"topic {kind}, x double, y double")
+    return few.groupBy("topic").applyInPandas(whole, f"topic {kind}, points array<struct<x: double, y: double>>, corners int, area double").withColumnRenamed("topic", topic)
+
+
+def audit(name: str, stored: DataFrame, again: DataFrame, key: str, value: str, tolerance: float) -> DataFrame:
+    """One row (audit, n, deviation, different, ok) of a stored value against one computed again; text is compared for identity."""
+    found = verify_identical(stored, again, [key], value).select("different")
+    if stored.schema[value].dataType.typeName() == "string":
+        n = again.agg(F.count(F.lit(1)).alias("n"))
+        return n.join(found).select(F.lit(name).alias("audit"), "n", F.lit(None).cast("double").alias("deviation"), "different", (F.col("different") == 0).alias("ok"))
+    close = verify_close(stored, again, [key], value, tolerance)
+    return close.join(found).select(F.lit(name).alias("audit"), "n", F.round("deviation", 6).alias("deviation"), "different", "ok")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def insert_or_ignore(existing: DataFrame, batch: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -19,6 +20,12 @@ def insert_or_replace(existing: DataFrame, batch: DataFrame, keys: list[str], or
     return existing.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
 
 
+def migrated(df: DataFrame, schema: StructType) -> DataFrame:
+    """df with the columns of a schema, in its order: what older files lack is null, what they have is cast, what the schema does not name stays behind."""
+    there = {c.lower(): c for c in df.columns}
+    return df.select(*[(F.col(there[f.name.lower()]) if f.name.lower() in there else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def replace_run(existing: DataFrame, new: DataFrame, run_id: str) -> DataFrame:
     """The whole table with the run's rows replaced, by none if `new` is empty."""
     return existing.where(F.col("run_id") != run_id).unionByName(new.where(F.col("run_id") == run_id))

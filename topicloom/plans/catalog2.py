@@ -538,3 +538,40 @@ def k04_k24_threshold_sweep(spark, d):
     rows = _benchmark_vectors(spark, d)
     figures = linkage.sweep(linkage.merges(rows, "item_id", 0.1), rows.select("item_id"), "item_id", [0.1, 0.15, 0.2, 0.3, 0.4, 0.6])
     return figures.select("level", "clusters", "members", "largest", "middle", F.round("share", 6).alias("share"))
+
+
+@query("""WITH p AS (SELECT label AS topic, vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+m AS (SELECT topic, vec_id, x, y, SQRT(POW(x - MEDIAN(x) OVER (PARTITION BY topic), 2) + POW(y - MEDIAN(y) OVER (PARTITION BY topic), 2)) AS far FROM p),
+q AS (SELECT topic, QUANTILE_CONT(far, 0.9) AS most FROM m GROUP BY topic), t AS (SELECT m.* FROM m JOIN q USING (topic) WHERE far <= most),
+e AS (SELECT a.topic, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM t a JOIN t b ON a.topic = b.topic AND a.vec_id <> b.vec_id WHERE NOT EXISTS (SELECT 1 FROM t c WHERE c.topic = a.topic AND (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) < 0))
+SELECT topic, CAST(COUNT(*) AS INTEGER) AS corners, ROUND(SUM(x1 * y2 - x2 * y1) / 2, 6) AS area FROM e GROUP BY topic""")
+def k14_hulls(spark, d):
+    rows = read(spark, d, "embeddings").select(F.col("label").alias("topic"), F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
+    return diagnostics.hulls(rows, "topic", "x", "y", 0.1).select("topic", "corners", F.round("area", 6).alias("area"))
+
+
+@query(f"""WITH b AS {BRANDS}, r AS (SELECT topic, 0.5 * {rank_sql('revenue')} + 0.5 * {rank_sql('n')} AS emergence, 0.6 * {rank_sql('quantity')} + 0.4 * {rank_sql('discount')} AS idx FROM b), m AS ({MATURITY}), x AS (SELECT MIN(topic) AS low, MAX(topic) AS high FROM b)
+SELECT 'emergence' AS audit, COUNT(*) AS n, ROUND(CAST(MAX(CASE WHEN topic = high THEN 0.25 ELSE 0 END) AS DOUBLE), 6) AS deviation, COUNT(*) FILTER (WHERE topic = high) AS different, FALSE AS ok FROM r, x
+UNION ALL SELECT 'index', COUNT(*), ROUND(CAST(MAX(ABS(s.idx - r.idx)) AS DOUBLE), 6), COUNT(*) FILTER (WHERE s.idx IS NULL OR ABS(s.idx - r.idx) > 1e-9), COUNT(*) FILTER (WHERE s.idx IS NULL OR ABS(s.idx - r.idx) > 1e-9) = 0 FROM r LEFT JOIN (SELECT r.* FROM r, x WHERE topic <> low) s USING (topic)
+UNION ALL SELECT 'horizon', COUNT(*), NULL, COUNT(*) FILTER (WHERE horizon <> stored), COUNT(*) FILTER (WHERE horizon <> stored) = 0 FROM (SELECT horizon, CASE WHEN topic = low THEN 'H0' ELSE horizon END AS stored FROM m, x)
+UNION ALL SELECT 'unchanged', COUNT(*), 0.0, 0, TRUE FROM r""")
+def k22_audits(spark, d):
+    """Four stored results against scores computed again from counts: a wrong score, a lost row, a wrong class, and one as it should be."""
+    rows = roles.brands(spark, d).cache()
+    low, high = rows.agg(F.min("topic"), F.max("topic")).first()
+
+    def scores(weights):
+        found = rows
+        for a in weights:
+            found = ranks.percentile_ranks(found, a, f"r_{a}")
+        return found.select("topic", F.round(diagnostics.weighted({a: F.col(f"r_{a}") for a in weights}, weights), 9).alias("score"))
+
+    def check(name, weights, spoil):
+        again = diagnostics.recomputed(rows, "topic", weights).select("topic", F.round("score", 9).alias("score"))
+        return diagnostics.audit(name, spoil(scores(weights)), again, "topic", "score", 1e-9)
+
+    emergence, index = {"revenue": 0.5, "n": 0.5}, {"quantity": 0.6, "discount": 0.4}
+    fitted = series.maturity(series.series(_filled(spark, d), "topic", "slice"), "topic").select("topic", stats.horizon(F.col("maturity")).alias("horizon"))
+    spoilt = fitted.withColumn("horizon", F.when(F.col("topic") == low, F.lit("H0")).otherwise(F.col("horizon")))
+    parts = [check("emergence", emergence, lambda x: x.withColumn("score", F.round(F.col("score") + F.when(F.col("topic") == high, 0.25).otherwise(0.0), 9))), check("index", index, lambda x: x.where(F.col("topic") != low)), diagnostics.audit("horizon", spoilt, fitted, "topic", "horizon", 0.0), check("unchanged", emergence, lambda x: x)]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])

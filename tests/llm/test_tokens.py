@@ -98,3 +98,11 @@ def test_queries_run(spark, data):
     n = spark.read.parquet(f"{data}/documents.parquet").count()
     assert queries.op1_bpe(spark, data).count() == n
     assert queries.op3_packing(spark, data).select("doc_id").distinct().count() == n
+
+
+def test_caches_hold_no_very_long_words():
+    from topicloom.llm.common import LONGEST_KEY, Generations
+
+    cache = Generations(len, 10)
+    long = "x" * (LONGEST_KEY + 1)
+    assert cache[long] == LONGEST_KEY + 1 and long not in cache and cache["short"] == 5 and "short" in cache

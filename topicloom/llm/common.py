@@ -106,8 +106,12 @@ def text_column(df: DataFrame, name: str = "text") -> F.Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
+#: Words beyond it are seldom seen again and would make a cache of a bounded number of entries as large as they like.
+LONGEST_KEY = 256
+
+
 class Generations(dict):
-    """A cache bounded to two generations of `size` entries; `make` computes what is missing."""
+    """A cache bounded to two generations of `size` entries of at most LONGEST_KEY characters or bytes; `make` computes what is missing."""
 
     def __init__(self, make, size: int = 400_000):
         super().__init__()
@@ -127,7 +131,7 @@ class Generations(dict):
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
-        self.update(pairs)
+        self.update((key, value) for key, value in dict(pairs).items() if len(key) <= LONGEST_KEY)
 
 
 def tokenizer_path(name: str, folder: str | None = None) -> str:

@@ -212,3 +212,22 @@ def test_hulls_as_an_aggregate(spark):
             want = diagnostics.trimmed_hull(own, drop) if drop else diagnostics.hull(own)
             assert sorted((p.x, p.y) for p in r.points) == sorted(map(tuple, want.tolist())) and r.corners == len(want)
             assert (r.area > 0) == (r.t != "c")
+
+
+def test_cached_encode(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c")], "id int, body string")
+    seen = []
+
+    def encode(rows):
+        seen.append(sorted(r.text for r in rows.collect()))
+        return rows.select("content_hash", F.array(F.length("text").cast("double")).alias("vector"))
+
+    cache = spark.createDataFrame([], "content_hash string, backend string, dimensions int, vector array<double>")
+    for want, more in ((["a", "b", "c"], []), ([], []), (["d"], [(5, "d")])):
+        now = docs.union(spark.createDataFrame(more, "id int, body string")) if more else docs
+        found, new = vectors.cached_encode(now, F.col("body"), cache, "len", encode)
+        assert seen[-1] == want and all(r.vector == [1.0] for r in found.collect()) and found.count() == now.count()
+        cache = cache.unionByName(new)
+    assert cache.count() == 4
+    vectors.cached_encode(docs, F.col("body"), cache, "other", encode)
+    assert seen[-1] == ["a", "b", "c"]

@@ -78,3 +78,8 @@ def tone_share(mean_tone: Column) -> Column:
 def research_growth(cagr: Column, share: Column) -> Column:
     """Growth, where there is any, as far as research carries it."""
     return F.greatest(cagr, F.lit(0.0)) * share
+
+
+def bar(count: Column, peak: Column, width: int = 20) -> Column:
+    """The length of a count's bar where the peak has `width` marks."""
+    return F.when(peak > 0, F.round(width * count / peak)).otherwise(0).cast("int")

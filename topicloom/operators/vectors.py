@@ -112,3 +112,12 @@ def nearest(rows: DataFrame, id_: str, vector: str, k: int, metric: str = "inner
     some = grid.cells(rows, rows, "id", "id", run, f"a {kind}, b {kind}, distance double")
     place = F.row_number().over(Window.partitionBy("a").orderBy("distance", "b"))
     return some.withColumn("place", place).where(F.col("place") <= k)
+
+
+def cached_encode(docs: DataFrame, body: Column, cache: DataFrame, backend: str, encode) -> tuple[DataFrame, DataFrame]:
+    """(docs with content_hash and vector, the rows that the cache lacks): texts that the cache (content_hash, backend, vector) has of this backend are not encoded again, equal texts once. encode: (content_hash, text) -> (content_hash, vector)."""
+    rows = docs.withColumn("content_hash", text.content_hash(F.lit(backend), body))
+    known = cache.where(F.col("backend") == backend).select("content_hash", "vector")
+    missing = rows.select("content_hash", body.alias("text")).groupBy("content_hash").agg(F.first("text").alias("text")).join(known, "content_hash", "left_anti")
+    new = shared.cut(encode(missing).select("content_hash", F.lit(backend).alias("backend"), F.size("vector").alias("dimensions"), "vector"))
+    return rows.join(known.unionByName(new.select("content_hash", "vector")), "content_hash", "left"), new

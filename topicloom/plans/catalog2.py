@@ -575,3 +575,20 @@ def k22_audits(spark, d):
     spoilt = fitted.withColumn("horizon", F.when(F.col("topic") == low, F.lit("H0")).otherwise(F.col("horizon")))
     parts = [check("emergence", emergence, lambda x: x.withColumn("score", F.round(F.col("score") + F.when(F.col("topic") == high, 0.25).otherwise(0.0), 9))), check("index", index, lambda x: x.where(F.col("topic") != low)), diagnostics.audit("horizon", spoilt, fitted, "topic", "horizon", 0.0), check("unchanged", emergence, lambda x: x)]
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query(f"""SELECT 'catalogue' AS kind, o_orderkey AS id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS value FROM orders
+UNION ALL SELECT 'mail', o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders
+UNION ALL SELECT 'name', c_custkey, CASE WHEN c_custkey % 4 < 3 THEN 'E ' || c_name ELSE c_mktsegment END FROM customer
+UNION ALL SELECT 'csv', doc_id, MD5(CASE WHEN REGEXP_MATCHES(text, '[",\\n\\r]') THEN '"' || REPLACE(text, '"', '""') || '"' ELSE text END) FROM documents
+UNION ALL SELECT 'bar', CAST(REGEXP_EXTRACT(topic, '[0-9]+') AS BIGINT), CAST(CAST(ROUND(20.0 * n / MAX(n) OVER ()) AS INTEGER) AS VARCHAR) FROM {BRANDS}""")
+def x18_x25_x32_f23_fields(spark, d):
+    orders, customers, docs, brands = read(spark, d, "orders"), read(spark, d, "customer"), read(spark, d, "documents"), roles.brands(spark, d)
+    row = lambda df, kind, key, value: df.select(F.lit(kind).alias("kind"), key.cast("long").alias("id"), value.cast("string").alias("value"))
+    stamp, mail = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ssXXX"), F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss")
+    language = F.element_at(F.array(*[F.lit(x) for x in ("en", "en-GB", "en-US", "de")]), (F.col("c_custkey") % 4 + 1).cast("int"))
+    names = F.create_map(F.lit("fr"), F.concat(F.lit("F "), "c_name"), language, F.concat(F.lit("E "), "c_name"))
+    found = row(orders, "catalogue", F.col("o_orderkey"), text.catalogue_date(stamp)).union(row(orders, "mail", F.col("o_orderkey"), text.mail_date(mail)))
+    found = found.union(row(customers, "name", F.col("c_custkey"), text.localised_name(names, F.col("c_mktsegment")))).union(row(docs, "csv", F.col("doc_id"), F.md5(text.csv_field(F.col("text")))))
+    peak = brands.agg(F.max("n").alias("peak"))
+    return found.union(row(brands.join(F.broadcast(peak)), "bar", F.regexp_extract("topic", "[0-9]+", 0), stats.bar(F.col("n"), F.col("peak"))))

@@ -231,3 +231,15 @@ def test_cached_encode(spark):
     assert cache.count() == 4
     vectors.cached_encode(docs, F.col("body"), cache, "other", encode)
     assert seen[-1] == ["a", "b", "c"]
+
+
+def test_many_references_meet_in_cells(spark, monkeypatch):
+    from topicloom.operators import grid, references
+
+    topics_ = spark.createDataFrame([(f"t{i}", [float(i), 1.0], {"solar": 1.0}, 2.0) for i in range(9)], "topic_id string, centroid array<double>, words map<string,double>, total double")
+    refs = spark.createDataFrame([(k, f"r{k}", 1.0, [0.1, 0.1 * k], ["solar"] if k % 2 else None) for k in range(11)], "ref int, label string, weight double, vector array<double>, lexicon array<string>")
+    found = lambda: sorted(tuple(r) for r in references.blends(topics_, "topic_id", refs, 0.5, 0.5).collect())
+    want = found()
+    monkeypatch.setattr(references, "MOST_REFERENCES", 5)
+    monkeypatch.setattr(grid, "CELL_ROWS", 3)
+    assert found() == want and len(want) == 99

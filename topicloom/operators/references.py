@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions import stats
-from topicloom.operators import diagnostics
+from topicloom.operators import diagnostics, grid
 
-#: References that may stand beside every topic (a strategy has dozens; a catalogue, thousands).
+#: References that stand beside every topic in one list (a strategy has dozens; a catalogue, thousands); more meet the topics in cells.
 MOST_REFERENCES = 10_000
 
 
@@ -32,10 +32,17 @@ def lexicon_overlap(words: Column, total: Column, lexicon: Column) -> Column:
 
 def blends(topics: DataFrame, topic: str, refs: DataFrame, embedding: float, lexicon: float) -> DataFrame:
     """topics (topic, centroid, words, total) and refs (ref, label, weight, vector, lexicon) -> (topic, ref, label, weight, cosine, blend) of every pair."""
-    if refs.limit(MOST_REFERENCES + 1).count() > MOST_REFERENCES:
-        raise ValueError(f"more than {MOST_REFERENCES} references")
-    every = refs.agg(F.array_sort(F.collect_list(F.struct("ref", "label", "weight", "vector", "lexicon"))).alias("_refs"))
-    rows = topics.join(F.broadcast(every)).select(topic, "centroid", "words", "total", F.inline("_refs"))
+    refs = refs.select("ref", "label", "weight", "vector", "lexicon")
+    if refs.limit(MOST_REFERENCES + 1).count() <= MOST_REFERENCES:
+        every = refs.agg(F.array_sort(F.collect_list(F.struct(*refs.columns))).alias("_refs"))
+        rows = topics.join(F.broadcast(every)).select(topic, "centroid", "words", "total", F.inline("_refs"))
+    else:  # both sides in blocks that meet in cells
+        down, across = (-(-df.count() // grid.CELL_ROWS) or 1 for df in (topics, refs))
+        block = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        left = topics.select(topic, "centroid", "words", "total", block(topic, down).alias("_i"), every(across).alias("_j"))
+        right = refs.select("*", block("ref", across).alias("_j"), every(down).alias("_i"))
+        rows = left.join(right, ["_i", "_j"]).drop("_i", "_j")
     cosine = F.greatest(stats.dot(F.col("centroid"), F.col("vector").cast("array<double>")), F.lit(0.0))
     rows = rows.withColumn("cosine", cosine)
     return rows.select(topic, "ref", "label", "weight", "cosine", (embedding * F.col("cosine") + lexicon * lexicon_overlap(F.col("words"), F.col("total"), F.col("lexicon"))).alias("blend"))

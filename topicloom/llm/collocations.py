@@ -35,7 +35,7 @@ from topicloom.llm.common import beside_hot, cut, new_folder, session, text_colu
 
 LONGEST, MIN_COUNT, INSIDE, LIMIT = 3, 10, 50, 2000
 #: Words of a block; fragments of a bucket; occurrences of a pivot beyond which its fragments are dealt over salts.
-BLOCK, BUCKET, HOT = 500_000, 500_000, 250_000
+BLOCK, BUCKET, HOT = 500_000, 250_000, 125_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\v\f\r" else c for c in range(256))
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 

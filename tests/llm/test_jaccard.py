@@ -78,8 +78,9 @@ def test_a_template_makes_few_candidates(spark, frame, monkeypatch):
     rng = random.Random(1)
     template = " ".join(f"t{k}" for k in range(100))
     texts = [template + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(14)) for _ in range(3000)]
-    seen, true = [], jaccard._sketched
-    monkeypatch.setattr(jaccard, "_sketched", lambda pairs, *a: seen.append(pairs.count()) or true(pairs, *a))
+    seen, sketched, verified = [], jaccard._sketched, jaccard._verified
+    monkeypatch.setattr(jaccard, "_sketched", lambda pairs, *a: seen.append(pairs.count()) or sketched(pairs, *a))
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a: seen.append(pairs.count()) or verified(pairs, *a))
     got = jaccard.near_copies(frame(texts)).collect()
     assert all(r.doc_id == r.component_id for r in got) and sum(seen) < 10_000
 

@@ -7,16 +7,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of a side of a cell, and of a strip of it that is computed at once.
-CELL_ROWS, STRIP = 4096, 512
+#: Rows of a side of a cell of rows that are joined, and of one whose vectors are multiplied.
+CELL_ROWS, SIDE_ROWS = 4096, 32_768
+#: Rows and columns that are multiplied at once, the first columns of a row, digits that distances are rounded to.
+STRIP, CHUNK, HEAD, DIGITS = 512, 4096, 512, 9
 
 
 def blocks(n: int, parallelism: int) -> int:
-    """Blocks of a side of n rows: of CELL_ROWS at most, and enough of them to use the cluster while they are not tiny."""
-    return max(1, -(-n // CELL_ROWS), min(math.isqrt(parallelism), n // 256))
+    """Blocks of a side of n rows: of SIDE_ROWS at most, and enough of them to keep the cluster evenly busy while they are not tiny."""
+    return max(1, -(-n // SIDE_ROWS), min(math.isqrt(4 * parallelism), n // 1024), min(math.isqrt(parallelism), n // 256))
 
 
 def cells(left: DataFrame, right: DataFrame, left_id: str, right_id: str, run: Callable, schema: str) -> DataFrame:
@@ -29,12 +31,65 @@ def cells(left: DataFrame, right: DataFrame, left_id: str, right_id: str, run: C
     return a.groupBy("_i", "_j").cogroup(b.groupBy("_i", "_j")).applyInPandas(run, schema)
 
 
+def compact(rows: DataFrame, vector: str) -> Column:
+    """The vector as it travels to the cells: floats stay floats, anything else becomes doubles."""
+    kind = rows.schema[vector].dataType.simpleString()
+    return F.col(vector) if kind == "array<float>" else F.col(vector).cast("array<double>")
+
+
 def stacked(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, float) for v in vectors])
 
 
-def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    """Between rows; rounded, so that equal vectors tie however the products were summed. inner: its negative."""
+def raw(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """Between rows. inner: the product's negative; euclidean: the square."""
     if metric == "euclidean":
-        return np.round(np.square(a[:, None, :] - b[None, :, :]).sum(2), 9)
-    return np.round(-(a @ b.T), 9)
+        out = np.zeros((len(a), len(b)))
+        for k in range(a.shape[1]):
+            apart = a[:, k, None] - b[None, :, k]
+            out += np.square(apart, out=apart)
+        return out
+    return -a @ b.T
+
+
+def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """As raw(); rounded, so that equal vectors tie however the products were summed."""
+    return np.round(raw(a, b, metric), DIGITS)
+
+
+def strips(a: np.ndarray, a_ids: np.ndarray, b: np.ndarray, b_ids: np.ndarray, metric: str):
+    """(from row, from column, raw distances) of a against b, whose ids ascend, in pieces of STRIP by CHUNK, a strip's columns in turn; NaN between rows of one id."""
+    first, end = (np.searchsorted(b_ids, a_ids, side) for side in ("left", "right"))
+    edges = [0, *range(min(HEAD, len(b)), len(b), CHUNK), len(b)]
+    for at in range(0, len(a), STRIP):
+        for lo, hi in zip(edges, edges[1:]):
+            d = raw(a[at : at + STRIP], b[lo:hi], metric)
+            own_first, own_end = (np.clip(x[at : at + STRIP] - lo, 0, hi - lo) for x in (first, end))
+            for row in np.flatnonzero(own_first < own_end):
+                d[row, own_first[row] : own_end[row]] = np.nan
+            yield at, lo, d
+
+
+def smallest(a: np.ndarray, a_ids: np.ndarray, b: np.ndarray, b_ids: np.ndarray, k: int, metric: str):
+    """(row, column, distance) of each row's k nearest others, ties by id. Columns come by id, so of what ties with the k best so far nothing is taken up, and what lies beyond them isn't even rounded."""
+    order, half = np.argsort(b_ids, kind="stable"), 0.5 * 0.1**DIGITS
+    empty = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    done, held, bound = [], empty, None
+    for at, lo, d in strips(a, a_ids, b[order], b_ids[order], metric):
+        if lo == 0:
+            done.append(held)
+            held = empty
+            bound = np.partition(d, k - 1, axis=1)[:, k - 1] + 4 * half if d.shape[1] >= k else np.full(len(d), np.inf)
+            bound[np.isnan(bound)] = np.inf
+        i, j = np.divmod(np.flatnonzero(d <= bound[:, None]), d.shape[1])
+        if not len(i):
+            continue
+        row, column, far = (np.concatenate(x) for x in zip(held, (i + at, j + lo, np.round(d[i, j], DIGITS))))
+        by = np.lexsort((column, far, row))
+        row, column, far = row[by], column[by], far[by]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        kth = place == k - 1
+        bound[row[kth] - at] = far[kth] - 0.9 * half
+        held = tuple(x[place < k] for x in (row, column, far))
+    row, column, far = (np.concatenate(x) for x in zip(empty, *done, held))
+    return row, order[column], far

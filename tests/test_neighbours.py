@@ -37,6 +37,15 @@ def test_equal_vectors_are_not_taken_up_again_and_again():
     assert len(row) == 6000 and column[:6].tolist() == [1, 2, 3, 0, 2, 3] and set(far) == {-3.0}
 
 
+def test_fidelity_of_more_points_than_a_whole_number_holds(spark, monkeypatch):
+    """n k (2 n - 3 k - 1) passes 32 bits."""
+    monkeypatch.setattr(diagnostics.vectors, "nearest", lambda *_: None)
+    monkeypatch.setattr(diagnostics, "places", lambda *_: spark.createDataFrame([(0, 1, 60)], "a long, b long, place long"))
+    rows, n = spark.range(60_000), 60_000
+    value = diagnostics.preserved(rows, "id", ("v", "inner"), ("w", "inner"), 10).first().value
+    assert value == pytest.approx(1 - 50 * 2 / (n * 10 * (2 * n - 31)), abs=1e-15)
+
+
 def test_a_cell_is_wide_enough_that_little_is_copied():
     """Vectors of 600,000 rows are copied 19 times a side."""
     assert grid.blocks(600_000, 12) == 19 and grid.blocks(100_000, 12) == 6 and grid.blocks(10_000, 12) == 6 and grid.blocks(300, 12) == 1

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from topicloom import schemas
 from topicloom.functions import stats, text
 from topicloom.operators import diagnostics, series, tables, topics, vectors
+from topicloom.plans import catalog2
 from topicloom.streaming.ingest import ingest
 
 
@@ -243,3 +244,20 @@ def test_many_references_meet_in_cells(spark, monkeypatch):
     monkeypatch.setattr(references, "MOST_REFERENCES", 5)
     monkeypatch.setattr(grid, "CELL_ROWS", 3)
     assert found() == want and len(want) == 99
+
+
+def test_inverted_words_need_no_shuffle(spark):
+    """Positions by word within the row, also of long texts; the rebuilt text is the text, and no row leaves its task."""
+    texts = ["b a b c a b", "", "x", " ".join(f"w{k % 997}" for k in range(20_000)), 'say "hi" \\ é']
+    df = spark.createDataFrame([(1, t.split()) for t in texts], "id int, w array<string>").where("size(w) > 0")
+    found = df.select(text.inverted("w").alias("m"), text.rebuild_abstract(F.to_json(text.inverted("w"))).alias("t"))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = found.collect()
+    assert rows[0].m == {"a": [1, 4], "b": [0, 2, 5], "c": [3]}
+    assert [r.t for r in rows] == [t for t in texts if t]
+
+
+def test_rebuilt_texts_are_not_shuffled(spark, data):
+    """Rows that repeat a doc_id stay apart, as in the SQL."""
+    plan = catalog2.x21_x34_rebuild(spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

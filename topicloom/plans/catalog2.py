@@ -390,8 +390,7 @@ UNION ALL SELECT 'window', doc_id, CAST(i AS INTEGER), STRFTIME(stop - TO_SECOND
 def x21_x34_rebuild(spark, d):
     """Texts from the positions of their words, and the windows of half a year before each order."""
     words = read(spark, d, "documents").select("doc_id", F.filter(F.split(F.coalesce("text", F.lit("")), r"[ \t\n\x0B\f\r]+"), lambda x: x != "").alias("w"))
-    inverted = words.select("doc_id", F.posexplode("w").alias("p", "word")).groupBy("doc_id", "word").agg(F.collect_list("p").alias("at")).groupBy("doc_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("word", "at")))).alias("inverted"))
-    texts = inverted.select(F.lit("text").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).alias("place"), F.md5(text.rebuild_abstract(F.col("inverted"))).alias("value"))
+    texts = words.where("size(w) > 0").select(F.lit("text").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).alias("place"), F.md5(text.rebuild_abstract(F.to_json(text.inverted("w")))).alias("value"))
     spans = read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.posexplode(text.time_windows(F.col("o_orderdate"), 6, 1 + F.col("o_orderkey") % 4)).alias("place", "x"))
     show = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
     return texts.union(spans.select(F.lit("window"), "id", "place", F.concat(show(F.col("x.start")), F.lit("/"), show(F.col("x.stop")))))

@@ -72,8 +72,10 @@ def land(batch: DataFrame, number: int, out: str, chosen: Settings) -> None:
     new = new.withColumn("terms", text.tokens(F.col("body"))).withColumn("batch", F.lit(number).cast("long"))
     written(new, f"{out}/corpus", "batch", "lang")
     landed = spark.read.schema(CORPUS).parquet(f"{out}/corpus").where(F.col("batch") == number) if exists(spark, f"{out}/corpus") else spark.createDataFrame([], CORPUS)
-    uses = landed.select("batch", "lang", "content_hash", F.explode("terms").alias("term")).groupBy("batch", "lang", "content_hash", "term").agg(F.count(F.lit(1)).alias("uses"))
-    terms = uses.groupBy("batch", "lang", "term").agg(F.count(F.lit(1)).alias("docs"), F.sum("uses").alias("uses"))
+    # a document's first of equal terms counts it, so that one aggregate, combined before the shuffle, gives both sums
+    marked = lambda s: F.transform(s, lambda w, i: F.struct(w.alias("term"), ((i == 0) | (F.get(s, F.greatest(i - 1, F.lit(0))) != w)).cast("long").alias("first")))
+    uses = landed.select("batch", "lang", F.inline(F.flatten(F.transform(F.array(F.sort_array("terms")), marked))))
+    terms = uses.groupBy("batch", "lang", "term").agg(F.sum("first").alias("docs"), F.count(F.lit(1)).alias("uses"))
     written(terms, f"{out}/increments", "batch")
     counts = rows.agg(F.count(F.lit(1)).alias("read"), F.count_if(~F.col("usable")).alias("unusable")).join(landed.agg(F.count(F.lit(1)).alias("kept")))
     line = counts.select("read", "kept", "unusable", (F.col("read") - F.col("unusable") - F.col("kept")).alias("repeated"), F.lit(number).cast("long").alias("batch"))

@@ -58,6 +58,17 @@ def test_feed_takes_only_what_is_new(spark, tmp_path):
     assert kept == {1: 0, 2: 0, 6: 0, 9: 1, 10: 1}
 
 
+def test_feed_counts_terms_in_one_aggregate(spark, tmp_path, monkeypatch):
+    """Terms are combined by language before they are dealt out: no exchange is keyed by the document."""
+    files, plans = str(tmp_path / "in"), {}
+    written = corpus_feed.written
+    monkeypatch.setattr(corpus_feed, "written", lambda df, path, *by: (plans.setdefault(path.rpartition("/")[2], df._jdf.queryExecution().executedPlan().toString()), written(df, path, *by)))
+    drop(spark, files, 1, [(1, "solar wind solar wind solar", "en"), (2, "wind", "en")])
+    corpus_feed.run(spark, files, str(tmp_path / "out"), str(tmp_path / "marks"))
+    assert "content_hash" not in plans["increments"] and plans["increments"].count("Exchange hashpartitioning") == 1
+    assert vocabulary(spark, str(tmp_path / "out")) == {("en", "solar"): (1, 3), ("en", "wind"): (2, 3)}
+
+
 def test_feed_in_many_batches_has_the_same_vocabulary(spark, tmp_path):
     files, whole = str(tmp_path / "in"), Counter()
     for k in range(5):

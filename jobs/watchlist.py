@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from jobs.common import command, log, settings
 from topicloom.functions import stats
 from topicloom.operators import diagnostics, entropy, ranks, series
-from topicloom.operators.shared import cut
+from topicloom.operators.shared import cut, stored
 
 
 @dataclass
@@ -79,7 +79,9 @@ def run(spark: SparkSession, lineitem: str, part: str, supplier: str, out: str,
     """Writes the run's partitions and returns its topics as they are read back."""
     chosen = chosen or Settings()
     items, parts, suppliers = (spark.read.parquet(p) for p in (lineitem, part, supplier))
-    rows = ranked(attributes(documents(items, parts, suppliers), chosen), chosen).withColumn("run_id", F.lit(run_id))
+    # joined once: each attribute reads what was kept
+    docs = stored(documents(items, parts, suppliers), "watchlist")
+    rows = ranked(attributes(docs, chosen), chosen).withColumn("run_id", F.lit(run_id))
     rows.sortWithinPartitions("rank").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{out}/topics")
     found = spark.read.schema(rows.schema).parquet(f"{out}/topics").where(F.col("run_id") == run_id)
     once = lambda df: df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")

@@ -126,6 +126,15 @@ def test_watchlist_runs_leave_each_other_alone(spark, data, tmp_path):
     assert spark.read.json(f"{out}/summary").where("run_id = 'a'").agg(F.sum("topics")).first()[0] == len(first)
 
 
+def test_watchlist_joins_its_tables_once(spark, data, tmp_path, monkeypatch):
+    """The attributes read the joined rows back; none joins the line items again."""
+    seen, ranked = [], watchlist.ranked
+    monkeypatch.setattr(watchlist, "ranked", lambda rows, chosen: (seen.append(rows._jdf.queryExecution().optimizedPlan().toString()), ranked(rows, chosen))[1])
+    watchlist.run(spark, *[f"{data}/{t}.parquet" for t in ("lineitem", "part", "supplier")], str(tmp_path / "out"), "one")
+    (plan,) = seen
+    assert "l_shipdate" not in plan and "s_nationkey" not in plan
+
+
 def test_watchlist_of_rows_with_nulls(spark, tmp_path):
     lines = spark.createDataFrame([(1, 1, None, None, None), (1, None, "A", 5.0, "1995-01-01"), (2, 9, "A", 5.0, "1996-01-01"), (3, 1, "A", 5.0, None)], "l_partkey long, l_suppkey long, l_returnflag string, l_extendedprice double, l_shipdate string")
     lines = lines.withColumn("l_shipdate", F.to_timestamp("l_shipdate")).withColumn("rank", F.lit("clash"))

@@ -91,3 +91,46 @@ def test_names_that_clash(spark):
     for module in (simhash, jaccard):
         kept = module.representatives(df)
         assert kept.columns == df.columns and sorted(tuple(r) for r in kept.collect()) == [(1, *row), (3, "other", *row[1:])]
+
+
+def test_pipeline_stage_takes_texts_of_near_fingerprints(spark, frame):
+    """Fingerprints link in the stage as in op5, though the sets' similarity is below 0.8, and chains go over both kinds of links."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(3000)}" for _ in range(60)]
+    again = " ".join(["na"] * 200)
+    texts = [f"{again} {' '.join(base[:20])}", f"{again} {' '.join(base[20:40])}", " ".join(base), " ".join(base[:40]), f"{again} {' '.join(base[20:39])} x"]
+    docs = frame(texts)
+    fps = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    alone = {r.doc_id: r.component_id for r in jaccard.near_copies(docs).collect()}
+    both = {r.doc_id: r.component_id for r in jaccard.near_copies(docs, max_bits=2).collect()}
+    assert fps[1] == fps[0] and alone[1] == 1 and both[1] == 0
+    assert all(both[i] == both[found[i]] for found in (fps, alone) for i in found)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()) == sorted(set(both.values()))
+
+
+def test_a_block_gives_a_forest_of_its_candidates():
+    import numpy as np
+    import pyarrow as pa
+
+    kind = pa.list_(pa.struct([(k, pa.int64()) for k in ("rep", "size", "pos", "root")]))
+    members = [{"rep": k, "size": 50, "pos": 0, "root": k % 100} for k in range(200)]  # all could be similar, of 100 components
+    batch = pa.RecordBatch.from_arrays([pa.array([members], kind), pa.array([None], kind)], names=["members", "others"])
+    every, few = (next(jaccard._across(4, 5, forest)([batch])) for forest in (False, True))
+    assert every.num_rows == 200 * 199 // 2 - 100 and 99 <= few.num_rows <= 3 * 200
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        a, b, likely = rng.integers(0, 30, 80), rng.integers(0, 30, 80), rng.random(80)
+        a, b, likely = a[a != b], b[a != b], likely[a != b]
+        parts = lambda x, y: len({frozenset(c) for c in _parts(x, y)})
+        taken = jaccard._forest(a, b, likely)
+        assert len(taken) == len(set(taken.tolist())) == len({*a, *b}) - parts(a, b) and parts(a[taken], b[taken]) == parts(a, b)
+
+
+def _parts(a, b):
+    part = {x: {x} for x in (*a.tolist(), *b.tolist())}
+    for x, y in zip(a.tolist(), b.tolist()):
+        if part[x] is not part[y]:
+            part[x] |= part[y]
+            for z in part[y]:
+                part[z] = part[x]
+    return part.values()

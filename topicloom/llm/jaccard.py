@@ -13,9 +13,13 @@ The sets that hold a shingle are sorted by size and place and cut into blocks of
 ever whole. Blocks of one shingle meet pairwise, each pair in a row of its own, unless what is left in them is too little
 for their sizes; then no pair of theirs could be similar.
 
-Equal sets meet by their digest first. The join has two rounds: a block's first set with each of the others, each with the next
-and each block's first with the first block's, which links a group of near copies without all its pairs, then all pairs of one shingle that
-lie in different components so far. The components are therefore those of all pairs of the similarity.
+Equal sets meet by their digest first; with max_bits, fingerprints that multi-index hashing (`simhash.links`) finds within that
+distance link their sets too. The join has three rounds: a block's first set with each of the others, each with the next
+and each block's first with the first block's, which links most of a group of near copies without all its pairs; then a block gives no
+pairs, only a forest of them over its components so far, likely pairs first, and one or two of each set, so no more than three times
+its sets; then all
+pairs of one shingle that still lie in different components. The components are therefore those of all pairs of the similarity (and of
+the fingerprints' links).
 
 Nulls and blank texts have the empty set and are copies of each other. Rows that repeat a doc_id are rows of
 their own; rows of a null doc_id, which nothing can name, all stay. An empty table gives an empty result.
@@ -31,7 +35,8 @@ from pyspark.sql import functions as F
 
 from topicloom.llm.common import beside_hot, cut, session, spread, stored, text_column
 from topicloom.llm.components import components
-from topicloom.llm.simhash import SEED, kept
+from topicloom.llm.simhash import SEED, fingerprint, kept
+from topicloom.llm.simhash import links as fingerprint_links
 
 #: Shingle length; similarity as a fraction, so that bounds are whole numbers.
 WORDS, SIMILARITY = 5, (4, 5)
@@ -107,8 +112,8 @@ def common_shingles(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     return h[np.lexsort((h, n))].astype(np.int64).view(np.uint64)
 
 
-def _prefixes(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
-    """(doc_id, key, digest, size, prefix, sketch) of each row."""
+def _prefixes(docs: DataFrame, words: int, similarity: tuple[int, int], fingerprinted: bool = False) -> DataFrame:
+    """(doc_id, key, digest, size, prefix, sketch, fp) of each row; fp is null unless fingerprinted."""
     common = common_shingles(docs, words)
     order = np.argsort(common)
     sought, ranks, (p, q) = common[order], order.astype(np.int32) + 1, similarity
@@ -125,12 +130,14 @@ def _prefixes(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataF
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t, words) for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            sets = [shingles(t, words) for t in texts]
+            fps = pa.array(np.array(list(map(fingerprint, texts)), np.uint64).view(np.int64)) if fingerprinted else pa.nulls(len(texts), pa.int64())
             digests = pa.array(list(map(digest_of, sets)), pa.binary())
             prefixes = pa.array([prefix(s).view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), digests, pa.array(list(map(len, sets)), pa.int64()), prefixes, pa.array(list(map(sketch, sets)), pa.binary())], names=["doc_id", "key", "digest", "size", "prefix", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), digests, pa.array(list(map(len, sets)), pa.int64()), prefixes, pa.array(list(map(sketch, sets)), pa.binary()), fps], names=["doc_id", "key", "digest", "size", "prefix", "sketch", "fp"])
 
-    return _rows(docs).mapInArrow(run, "doc_id long, key long, digest binary, size long, prefix array<long>, sketch binary")
+    return _rows(docs).mapInArrow(run, "doc_id long, key long, digest binary, size long, prefix array<long>, sketch binary, fp long")
 
 
 def _may(a, b, p: int, q: int):
@@ -217,35 +224,107 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, again: bool, w
     return cut(pairs.join(at_u, "u").join(at_v, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long"))
 
 
-def _across(p: int, q: int):
-    """Of rows (members, others): pairs (u, v) within members (others null) or between both that lie in different components and can reach the similarity, by what is left and, where members have them, by their sketches."""
+def _candidates(members: list, others: list | None, p: int, q: int) -> tuple[np.ndarray, ...]:
+    """Pairs within members (others null) or between both that lie in different components and can reach the similarity, by what is left and, where members have them, by their sketches: (u, v, their roots, the most that the similarity can be)."""
+    (rep, size, pos, root), (rep2, size2, pos2, root2) = ([np.array([m[k] for m in side], np.int64) for k in ("rep", "size", "pos", "root")] for side in (members, others or members))
+    shared = np.minimum((size - pos)[:, None], (size2 - pos2)[None])
+    can = (root[:, None] != root2[None]) & ((p + q) * shared >= p * (size[:, None] + size2[None]))
+    i, j = np.nonzero(np.triu(can) if others is None else can)
+    shared, sizes = shared[i, j], size[i] + size2[j]
+    if len(i) and members[0].get("sketch") is not None:
+        held, held2 = (np.frombuffer(b"".join(m["sketch"] for m in side), np.uint8).reshape(len(side), -1) for side in (members, others or members))
+        shared = np.minimum(shared, np.concatenate([most_shared(held[i[a : a + STRIP]], held2[j[a : a + STRIP]]) for a in range(0, len(i), STRIP)]))
+        ok = (p + q) * shared >= p * sizes
+        i, j, shared, sizes = i[ok], j[ok], shared[ok], sizes[ok]
+    return np.minimum(rep[i], rep2[j]), np.maximum(rep[i], rep2[j]), root[i], root2[j], shared / np.maximum(sizes - shared, 1)
+
+
+def _forest(a: np.ndarray, b: np.ndarray, likely: np.ndarray) -> np.ndarray:
+    """Places of the edges (a, b) of a spanning forest, the likeliest first: each component takes its best edge until none has one."""
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b = ends.reshape(2, -1)
+    order, taken, label = np.argsort(-likely, kind="stable"), [], np.arange(len(nodes))
+    a, b = a[order], b[order]
+    live = np.arange(len(order))
+    while len(live):
+        best = np.full(len(nodes), len(order))
+        np.minimum.at(best, label[a[live]], live)
+        np.minimum.at(best, label[b[live]], live)
+        chosen = np.unique(best[best < len(order)])
+        taken.append(order[chosen])
+        before = None
+        while before is None or (before != label).any():
+            before = label.copy()
+            low = np.minimum(label[a[chosen]], label[b[chosen]])
+            for side in (a, b):
+                np.minimum.at(label, before[side[chosen]], low)
+            label = label[label]
+        live = live[label[a[live]] != label[b[live]]]
+    return np.concatenate([np.empty(0, np.int64), *taken])
+
+
+def _across(p: int, q: int, forest: bool = False):
+    """Of rows (members, others): their candidates (u, v), or only a forest of these over the components and one of each set on either side."""
 
     def run(batches):
         for batch in batches:
             found = []
             for members, others in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                one, two = ([np.array([m[k] for m in side], np.int64) for k in ("rep", "size", "pos", "root")] for side in (members, others or members))
-                (rep, size, pos, root), (rep2, size2, pos2, root2) = one, two
-                left = np.minimum((size - pos)[:, None], (size2 - pos2)[None])
-                can = (root[:, None] != root2[None]) & ((p + q) * left >= p * (size[:, None] + size2[None]))
-                i, j = np.nonzero(np.triu(can) if others is None else can)
-                if len(i) and "sketch" in members[0]:
-                    held, held2 = (np.frombuffer(b"".join(m["sketch"] for m in side), np.uint8).reshape(len(side), -1) for side in (members, others or members))
-                    ok = np.concatenate([(p + q) * most_shared(held[i[a : a + STRIP]], held2[j[a : a + STRIP]]) >= p * (size[i[a : a + STRIP]] + size2[j[a : a + STRIP]]) for a in range(0, len(i), STRIP)])
-                    i, j = i[ok], j[ok]
-                found.append(np.stack((np.minimum(rep[i], rep2[j]), np.maximum(rep[i], rep2[j]))))
+                u, v, one, two, likely = _candidates(members, others, p, q)
+                if forest and len(u):
+                    # no list insists on a pair that others try: of the likely ones each takes some
+                    some = np.random.default_rng(sum(m["rep"] * (m["pos"] + 1) for m in members)).random(len(u))
+                    likely = likely + (1 - p / q) * some
+                    order = np.argsort(-likely, kind="stable")
+                    each = [order[np.unique(side[order], return_index=True)[1]] for side in (u, v)]
+                    taken = np.unique(np.concatenate([_forest(one, two, likely), *each]))
+                    u, v = u[taken], v[taken]
+                found.append(np.stack((u, v)))
             pairs = np.unique(np.concatenate(found, 1), axis=1) if found else np.empty((2, 0), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["u", "v"])
 
     return run
 
 
-def near_copies(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """(doc_id, key, group, component_id) of each row with a doc_id: rows that reach each other over pairs of the similarity or more share a group, and component_id is its smallest doc_id."""
+def _rooted(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members, a row each (h, block, rep, size, pos and what else they have), with their component's root, in blocks (h, block, members, least and last root) again."""
+    fields = [c for c in members.columns if c not in ("h", "block", "root")]
+    placed = members.drop("root").join(found.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    return placed.groupBy("h", "block").agg(F.collect_list(F.struct(*fields, "root")).alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+
+
+def _exploded(blocks: DataFrame) -> DataFrame:
+    return blocks.select("h", "block", F.explode("members").alias("m")).select("h", "block", "m.*")
+
+
+def _pairings(blocks: DataFrame, long: DataFrame | None, p: int, q: int, between: bool) -> DataFrame:
+    """Of blocks, rows (members, others) that hold several components: a block itself and, of long lists, its pairs with the list's others."""
+    alone = blocks.where("low < high").select("members", F.lit(None).cast(blocks.schema["members"].dataType).alias("others"))
+    if long is None or not between:
+        return alone
+    large = blocks.join(long, "h", "left_semi").select("h", "block", "low", "high", "members", F.expr("array_max(transform(members, m -> m.size - m.pos))").alias("left"), F.expr("array_min(members.size)").alias("least"))
+    other = large.select("h", *[F.col(c).alias(f"{c}_2") for c in large.columns if c != "h"])
+    enough = F.lit(p + q) * F.least("left", "left_2") >= F.lit(p) * (F.col("least") + F.col("least_2"))
+    mixed = F.least("low", "low_2") < F.greatest("high", "high_2")
+    return alone.union(large.join(other, "h").where((F.col("block") < F.col("block_2")) & enough & mixed).select("members", F.col("members_2").alias("others")))
+
+
+def _by_fingerprint(rows: DataFrame, reps: DataFrame, max_bits: int) -> DataFrame:
+    """(u, v): sets whose texts' fingerprints differ by max_bits or fewer bits, by multi-index hashing; of one fingerprint's sets each with its smallest."""
+    held = stored(rows.select("digest", "fp").distinct().join(reps.select("digest", "rep"), "digest").select("fp", "rep"))
+    homes = stored(held.groupBy("fp").agg(F.min("rep").alias("home")))
+    same = beside_hot(held, homes, "fp").select(F.col("home").alias("u"), F.col("rep").alias("v"))
+    at_u, at_v = (homes.select(F.col("fp").alias(x), F.col("home").alias(f"{x}_home")) for x in ("u", "v"))
+    near = fingerprint_links(homes, max_bits).join(at_u, "u").join(at_v, "v").select(F.col("u_home").alias("u"), F.col("v_home").alias("v"))
+    return stored(same.union(near).where("u <> v").distinct())
+
+
+def near_copies(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, max_bits: int | None = None) -> DataFrame:
+    """(doc_id, key, group, component_id) of each row with a doc_id: rows that reach each other over pairs of the similarity or more, or with max_bits over fingerprints that differ by so many bits or fewer, share a group, and component_id is its smallest doc_id."""
     session(docs.sparkSession)
     p, q = similarity
     docs = docs.where("doc_id is not null")
-    rows = stored(_prefixes(docs, words, similarity))
+    rows = stored(_prefixes(docs, words, similarity, max_bits is not None))
     reps = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
     reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()))
     again = not rows.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
@@ -263,29 +342,31 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int]
     stars = stored(near.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v")).distinct())
     sketches = reps.select("rep", "size", "sketch")
     links = _verified(_sketched(stars, sketches, similarity), docs, reps, again, words, similarity)
+    links = links if max_bits is None else links.union(_by_fingerprint(rows, reps, max_bits))
     found = components(links)
-    placed = met.select("h", "block", F.explode("members").alias("m")).select("h", "block", "m.*").join(found.select(F.col("node").alias("rep"), "root"), "rep", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "rep")).groupBy("h", "block").agg(F.collect_list(F.struct("rep", "size", "pos", "root")).alias("members"))
-    mixed = placed.where("array_min(transform(members, m -> m.root)) < array_max(transform(members, m -> m.root))")
-    across = lambda df: spread(df).mapInArrow(_across(p, q), "u long, v long").distinct()
-    alone = lambda df: df.select("members", F.lit(None).cast(df.schema["members"].dataType).alias("others"))
+    blocks = _rooted(_exploded(met), found)
     if split.isEmpty():
-        pairs = stored(across(alone(mixed)).join(stars, ["u", "v"], "left_anti"))
-        pairs = _sketched(pairs, sketches, similarity)
+        long, blocks = None, stored(blocks.where("low < high"))
     else:
-        # the sets of long lists carry their sketches, so that what these rule out is no pair at all
+        # a list in several blocks may hold several components though none of its blocks does; its sets carry their sketches, so that what these rule out is no pair at all
         long = split.select("h").distinct()
-        large = placed.join(long, "h", "left_semi").select("h", "block", F.explode("members").alias("m")).select("h", "block", "m.*").join(sketches.select("rep", "sketch"), "rep")
-        large = large.groupBy("h", "block").agg(F.collect_list(F.struct("rep", "size", "pos", "root", "sketch")).alias("members"))
-        large = stored(large.select("h", "block", "members", F.expr("array_max(transform(members, m -> m.size - m.pos))").alias("left"), F.expr("array_min(members.size)").alias("least")))
-        other = large.select("h", *[F.col(c).alias(f"{c}_2") for c in ("block", "members", "left", "least")])
-        enough = F.lit(p + q) * F.least("left", "left_2") >= F.lit(p) * (F.col("least") + F.col("least_2"))
-        between = large.join(other, "h").where((F.col("block") < F.col("block_2")) & enough).select("members", F.col("members_2").alias("others"))
-        ruled = across(alone(large).union(between))
-        pairs = stored(across(alone(mixed.join(long, "h", "left_anti"))).join(stars, ["u", "v"], "left_anti"))
-        pairs = stored(_sketched(pairs, sketches, similarity).union(ruled).distinct().join(stars, ["u", "v"], "left_anti"))
-    if not pairs.isEmpty():
-        found = components(links.union(_verified(pairs, docs, reps, again, words, similarity)))
+        blocks = stored(blocks.join(long.withColumn("split", F.lit(True)), "h", "left").where("low < high or split").drop("split"))
+        uneven = blocks.join(long, "h", "left_semi").groupBy("h").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("h")
+        short = blocks.join(long, "h", "left_anti")
+        long = stored(uneven)
+        large = _exploded(blocks.join(long, "h", "left_semi")).join(sketches.select("rep", "sketch"), "rep")
+        blocks = stored(_rooted(_exploded(short).withColumn("sketch", F.lit(None).cast("binary")), found).union(_rooted(large, found)))
+    seen = stars
+    for forest in (True, False):
+        pairs = spread(_pairings(blocks, long, p, q, not forest)).mapInArrow(_across(p, q, forest), "u long, v long").distinct().join(seen, ["u", "v"], "left_anti")
+        pairs = stored(_sketched(stored(pairs), sketches, similarity))
+        if pairs.isEmpty():
+            continue
+        links = links.union(_verified(pairs, docs, reps, again, words, similarity))
+        found = components(links)
+        if forest:
+            seen = stored(seen.union(pairs))
+            blocks = stored(_rooted(_exploded(blocks), found))
     rooted = reps.select("rep", "digest", "doc_id").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", "doc_id", F.coalesce("root", "rep").alias("group"))
     rooted = cut(rooted)
     least = rooted.groupBy("group").agg(F.min("doc_id").alias("component_id"))
@@ -293,6 +374,6 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int]
     return beside_hot(rows.select("doc_id", "key", "digest"), rooted, "digest").select("doc_id", "key", "group", "component_id")
 
 
-def representatives(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+def representatives(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, max_bits: int | None = None) -> DataFrame:
     """docs without the near copies: of each group the row of the smallest doc_id stays."""
-    return kept(docs, cut(near_copies(docs, words, similarity)))
+    return kept(docs, cut(near_copies(docs, words, similarity, max_bits)))

@@ -27,8 +27,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) stays."""
-    return jaccard.representatives(docs)
+    """One document of each group of near copies stays: fingerprints that differ by two bits at most, by multi-index hashing as in op5, and five-word shingles of Jaccard similarity 0.8 or more both link."""
+    return jaccard.representatives(docs, max_bits=2)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -265,3 +265,20 @@ def test_queries_run(spark, data):
     assert queries.op9_pii(spark, data).count() == n
     held = {r.doc_id for r in queries.op7_toxicity(spark, data).where("held_out").collect()}
     assert all(zlib.crc32(str(i).encode()) % 4 == 2 for i in held)
+
+
+def test_a_shard_merges_its_lists_by_ranges():
+    rng = np.random.default_rng(4)
+    lists = []
+    for size in (0, 1, 5000, 20_000):
+        keys, counts = np.unique(rng.integers(0, 9000, size, dtype=np.uint64), return_counts=True)
+        lists.append(ngram._unpack(ngram._pack(keys, counts)))
+    lists.append((np.array([2**63 - 1], np.uint64), np.array([2**32 - 1], np.uint32)))
+    want = Counter()
+    for keys, counts in [*lists, lists[-1]]:
+        want.update(dict(zip(keys.tolist(), counts.tolist())))
+    lists.append(lists[-1])
+    for at_once in (1, 70, 1 << 20):
+        keys, counts = ngram._merged(list(lists), 2, at_once)
+        assert list(zip(keys.tolist(), counts.tolist())) == sorted((k, n) for k, n in want.items() if n >= 2)
+    assert [len(x) for x in ngram._merged([])] == [0, 0]

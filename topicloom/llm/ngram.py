@@ -25,7 +25,6 @@ table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-import io
 import json
 import math
 from collections import Counter
@@ -47,6 +46,8 @@ FLUSH_TOKENS, BLOCK_TOKENS, SCALE, END, SEED = 3_000_000, 1_000_000, 65535 / 16,
 NO = np.int64(-1)
 #: Places that a shard reports of its training mass, for the cuts of the level above.
 POINTS = 16
+#: Keys that a shard sorts, and nodes whose probabilities it computes, at once.
+MERGE_KEYS = 1 << 20
 
 
 # ---- Elias-Fano ----------------------------------------------------------------------------------
@@ -163,11 +164,9 @@ def _uri(folder: str) -> str:
 
 def _save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     """One file: a header's length, the header, arrays at multiples of 64. Written beside, then moved: a repeated task replaces it whole."""
-    head, at, body = {}, 0, io.BytesIO()
+    head, at, arrays = {}, 0, {key: np.ascontiguousarray(a) for key, a in arrays.items()}
     for key, a in arrays.items():
-        a = np.ascontiguousarray(a)
         head[key] = (at, str(a.dtype), len(a))
-        body.write(a.tobytes() + bytes(-a.nbytes % 64))
         at += a.nbytes + -a.nbytes % 64
     header = json.dumps(head).encode()
     header += b" " * (-(len(header) + 8) % 64)
@@ -176,7 +175,9 @@ def _save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     part = f"{path}/.{name}-{np.random.default_rng().integers(1 << 62)}"
     with fs.open_output_stream(part) as f:
         f.write(len(header).to_bytes(8, "little") + header)
-        f.write(body.getbuffer())
+        for a in arrays.values():
+            f.write(a.view(np.uint8))
+            f.write(bytes(-a.nbytes % 64))
     fs.move(part, f"{path}/{name}")
 
 
@@ -425,7 +426,32 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(data[:8], "little")
     raw = np.frombuffer(pa.decompress(data[8:], 12 * n, codec="zstd"), np.uint8)
     steps = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view("<u8").ravel()
-    return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+    return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view("<u4").ravel()
+
+
+def _merged(lists: list[tuple[np.ndarray, np.ndarray]], least: int = 1, at_once: int = MERGE_KEYS) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different keys of sorted lists and their summed counts of `least` or more. Ranges of keys with about at_once entries each are sorted, never all; a list is dropped once it is read."""
+    total = sum(len(k) for k, _ in lists)
+    parts = -(-total // at_once)
+    if not total:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    some = np.sort(np.concatenate([k[:: max(1, at_once // 64)] for k, _ in lists]))
+    cuts = np.unique(some[len(some) * np.arange(1, parts) // parts])
+    ends = [[0, *np.searchsorted(k, cuts).tolist(), len(k)] for k, _ in lists]
+    out = []
+    for r in range(len(cuts) + 1):
+        keys = np.concatenate([k[e[r] : e[r + 1]] for (k, _), e in zip(lists, ends)])
+        counts = np.concatenate([c[e[r] : e[r + 1]] for (_, c), e in zip(lists, ends)])
+        if not len(keys):
+            continue
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        heads = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
+        keys, counts = keys[heads], np.add.reduceat(counts, heads, dtype=np.int64)
+        keep = counts >= least
+        out.append((keys[keep], counts[keep]))
+    lists.clear()
+    return np.concatenate([k for k, _ in out]), np.concatenate([c for _, c in out])
 
 
 def _points(counts: np.ndarray) -> pa.Array:
@@ -522,15 +548,7 @@ def _train_level(encoded: DataFrame, model: Model, discount: float, min_count: i
 
     def write(table: pa.Table) -> pa.Table:
         use, shard = reader(model), table["shard"][0].as_py()
-        lists = [_unpack(x.as_py()) for x in table["data"]]
-        keys, counts = np.concatenate([k for k, _ in lists]), np.concatenate([c for _, c in lists])
-        del lists
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        heads = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
-        keys, counts = keys[heads], np.add.reduceat(counts, heads)
-        keep = counts >= min_count
-        keys, counts = keys[keep], counts[keep]
+        keys, counts = _merged([_unpack(x.as_py()) for x in table["data"]], min_count)
         return _write_shard(use, level, shard, keys, counts, bits, discount, top=top)
 
     rows = encoded.select("doc_id", "ids").mapInArrow(count, "shard int, data binary").groupBy("shard").applyInArrow(write, "shard int, nodes long, mass long, points array<long>, parents array<long>, sums array<double>, counts array<long>").collect()
@@ -553,11 +571,13 @@ def _write_shard(use, level: int, shard: int, keys: np.ndarray, counts: np.ndarr
     folder, v = folder or use.model.folder, v or use.model.v
     if len(keys):
         first, last = int(parent[0]), int(parent[-1])
-        unique, back = np.unique(parent, return_inverse=True)
+        head = np.diff(parent, prepend=first - 1) != 0  # parents rise
+        unique, back = parent[head], np.cumsum(head, dtype=np.int32 if len(keys) < 1 << 31 else np.int64) - 1
         n = use.counts(level - 1, unique)
         quantise = lambda p: np.minimum(np.rint(-np.log10(p) * SCALE), 65535).astype(np.uint16)
-        prob = quantise((counts - discount) / n[back])
+        prob = np.concatenate([quantise((counts[k : k + MERGE_KEYS] - discount) / n[back[k : k + MERGE_KEYS]]) for k in range(0, len(keys), MERGE_KEYS)])
         held = np.bincount(back, counts - discount)
+        del back, head
         left = np.zeros(last - first + 1, np.uint16)
         left[unique - first] = quantise((n - held) / n)
         pointers = np.searchsorted(parent, np.arange(first, last + 2))

@@ -4,6 +4,8 @@ import random
 
 import corpus_pipeline
 from topicloom.llm import jaccard, simhash
+from topicloom.llm.common import TASK_ROWS
+from topicloom.llm.components import components
 
 
 def brute(texts):
@@ -134,3 +136,20 @@ def _parts(a, b):
             for z in part[y]:
                 part[z] = part[x]
     return part.values()
+
+
+def test_small_tables_take_few_tasks(spark, frame):
+    """However many partitions a shuffle has, what is left of a few edges is kept in as many files as its rows need."""
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = spark.range(300).selectExpr("id as u", "id + 1 as v").where("v % 100 <> 0")
+        found = components(edges)
+        assert found.rdd.getNumPartitions() == 1
+        assert {r.node: r.root for r in found.collect()} == {k: k // 100 * 100 for k in range(300)}
+        assert jaccard.gathered(spark.range(9).repartition(40), 3 * TASK_ROWS + 1).rdd.getNumPartitions() == 4
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
 #: Rows of one key that a join may gather in a task; rows that may be broadcast; parts of a key beyond them.
 HOT_ROWS, BROADCAST_ROWS, SALTS = 20_000, 20_000, 16
+#: Short rows that are worth a task of their own.
+TASK_ROWS = 20_000
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -81,6 +83,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def gathered(df: DataFrame, rows: int, at_once: int = TASK_ROWS) -> DataFrame:
+    """df, which has so many rows at most, in no more tasks than these need: each shuffle and each table kept in the shared folder costs files for each task, however little they hold."""
+    return df.coalesce(max(1, -(-rows // at_once)))
+
+
 def beside_hot(rows: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """rows joined with `one`, which holds a key once. Keys of over HOT_ROWS of the rows are taken out by broadcast (of these there are few; if not, they are dealt out over salts), so that none gathers in a task."""
     if rows.limit(HOT_ROWS + 1).count() <= HOT_ROWS:  # so few rows have no such key

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import beside_hot, cut, session, spread, stored, text_column
+from topicloom.llm.common import beside_hot, cut, gathered, session, spread, stored, text_column
 from topicloom.llm.components import components
 from topicloom.llm.simhash import SEED, fingerprint, kept
 from topicloom.llm.simhash import links as fingerprint_links
@@ -44,6 +44,8 @@ WORDS, SIMILARITY = 5, (4, 5)
 SAMPLE_ROWS, SAMPLE_SEEN, COMMON = 32_000, 2, 500_000
 #: Pairs whose sketches are compared at once.
 STRIP = 1 << 14
+#: Complete sets, or pairs of them, that are worth a task of their own.
+SETS_AT_ONCE = 2_000
 #: Sets of a block, which bounds a row and, squared, the pairs that it may make.
 BLOCK = 256
 #: Counters of a set's sketch: hashes by their leading bits, 255 for that many and more.
@@ -198,13 +200,14 @@ def _sketched(pairs: DataFrame, sketches: DataFrame, similarity: tuple[int, int]
 
     at_u, at_v = (sketches.select(F.col("rep").alias(x), F.col("size").alias(f"{x}_size"), F.col("sketch").alias(f"{x}_sketch")) for x in ("u", "v"))
     met = pairs.join(at_u, "u").join(at_v, "v").select("u", "v", "u_size", "v_size", "u_sketch", "v_sketch")
-    return cut(met.mapInArrow(check, "u long, v long"))
+    return cut(gathered(met.mapInArrow(check, "u long, v long"), pairs.count()))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, again: bool, words: int, similarity: tuple[int, int]) -> DataFrame:
     """Those of (u, v) whose sets have the similarity; again: whether rows repeat both doc_id and set."""
+    size = pairs.count()
     ids = pairs.select(F.col("u").alias("rep")).union(pairs.select("v")).distinct()
-    sought = cut(reps.select("rep", "doc_id", "digest").join(ids, "rep", "left_semi"))
+    sought = cut(gathered(reps.select("rep", "doc_id", "digest").join(ids, "rep", "left_semi"), 2 * size))
 
     def sets(batches):
         for batch in batches:
@@ -219,9 +222,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, again: bool, w
 
     held = _rows(docs).select("doc_id", "text").join(sought.select("doc_id"), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, digest binary, held binary")
     held = held.join(sought, ["doc_id", "digest"]).select("rep", "held")
-    held = cut(held.dropDuplicates(["rep"]) if again else held)
+    held = held.dropDuplicates(["rep"]) if again else held
+    held = cut(gathered(held, sought.count(), SETS_AT_ONCE))
     at_u, at_v = held.select(F.col("rep").alias("u"), F.col("held").alias("a")), held.select(F.col("rep").alias("v"), F.col("held").alias("b"))
-    return cut(pairs.join(at_u, "u").join(at_v, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long"))
+    return cut(gathered(pairs.join(at_u, "u").join(at_v, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long"), size, SETS_AT_ONCE))
 
 
 def _candidates(members: list, others: list | None, p: int, q: int) -> tuple[np.ndarray, ...]:

@@ -282,3 +282,17 @@ def test_a_shard_merges_its_lists_by_ranges():
         keys, counts = ngram._merged(list(lists), 2, at_once)
         assert list(zip(keys.tolist(), counts.tolist())) == sorted((k, n) for k, n in want.items() if n >= 2)
     assert [len(x) for x in ngram._merged([])] == [0, 0]
+
+
+def test_words_are_hashed_and_counted_together(spark, frame, monkeypatch):
+    """Hashes of many words at once are those of each; counting and encoding look at no word alone."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    words = [b"", b"\n", *(rng.integers(0, 256, n).astype(np.uint8).tobytes() for n in [*range(70), *rng.integers(1, 40, 500).tolist()])]
+    for some in (pa.array(words, pa.binary()), pa.array(words, pa.binary()).slice(7, 90), pa.array([], pa.binary())):
+        assert ngram.word_hashes(some).tolist() == [ngram.word_hash(x) for x in some.to_pylist()]
+    hashed = []
+    monkeypatch.setattr(ngram, "word_hash", lambda token: hashed.append(token) or 7)
+    ngram.word_hashes(pa.array([b"w%d" % k for k in range(100)], pa.binary()))
+    assert not hashed

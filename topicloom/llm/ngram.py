@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import json
 import math
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,7 +38,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import Generations, new_folder, session, text_column
+from topicloom.llm.common import new_folder, session, text_column
 
 ORDER, DISCOUNT, MIN_COUNT, MIN_SHARDS, SHARD_TOKENS = 3, 0.8, 1, 8, 8_000_000
 FLUSH_TOKENS, BLOCK_TOKENS, SCALE, END, SEED = 3_000_000, 1_000_000, 65535 / 16, b"\n", 5
@@ -48,6 +47,8 @@ NO = np.int64(-1)
 POINTS = 16
 #: Keys that a shard sorts, and nodes whose probabilities it computes, at once.
 MERGE_KEYS = 1 << 20
+#: Words of one length that are hashed at once.
+STRIP = 1 << 13
 
 
 # ---- Elias-Fano ----------------------------------------------------------------------------------
@@ -260,39 +261,69 @@ def word_hash(token: bytes) -> int:
     return xxhash.xxh64_intdigest(token, SEED)
 
 
+#: XXH64's primes, and the length from which it goes by stripes.
+P1, P2, P3, P4, P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+STRIPES = 32
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """word_hash of each of binary words, those of one length at once; words of STRIPES bytes and more one by one."""
+    out = np.empty(len(words), np.uint64)
+    if not len(words):
+        return out
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data or b"", np.uint8)
+    each = {size: np.ndarray((max(0, len(data) - size + 1),), f"<u{size}", data, strides=(1,)) for size in (8, 4, 1)}
+    lengths = np.minimum(np.diff(ends), STRIPES).astype(np.uint8)
+    order = np.argsort(lengths, kind="stable")
+    bounds = np.searchsorted(lengths[order], np.arange(STRIPES + 1))
+    for length, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        for c in range(a, b, STRIP):
+            mine = order[c : min(b, c + STRIP)]
+            at = ends[mine].astype(np.int64)
+            h, left = np.full(len(mine), np.uint64(SEED + length) + P5), length
+            while left >= 8:
+                h = _turned(h ^ _turned(each[8][at] * P2, 31) * P1, 27) * P1 + P4
+                at, left = at + 8, left - 8
+            if left >= 4:
+                h = _turned(h ^ each[4][at].astype(np.uint64) * P1, 23) * P2 + P3
+                at, left = at + 4, left - 4
+            for k in range(left):
+                h = _turned(h ^ each[1][at + k].astype(np.uint64) * P5, 11) * P1
+            h = (h ^ (h >> np.uint64(33))) * P2
+            h = (h ^ (h >> np.uint64(29))) * P3
+            out[mine] = h ^ (h >> np.uint64(32))
+    for k in order[bounds[-1] :].tolist():
+        out[k] = word_hash(words[k].as_py())
+    return out
+
+
 class Reader:
     """Looks tokens and n-grams up in a model."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.ids = Generations(None, 500_000)
-
-    def words(self, tokens: list[bytes]) -> np.ndarray:
-        """Ids, -1 if unknown."""
-        found = list(map(self.ids.get, tokens))
-        if None in found:
-            at = [k for k, i in enumerate(found) if i is None]
-            missing = [tokens[k] for k in at]
-            old = self.ids.old
-            learnt = {t: old[t] for t in missing if t in old}
-            if new := [t for t in dict.fromkeys(missing) if t not in learnt]:
-                learnt |= zip(new, self._find(np.array(list(map(word_hash, new)), np.uint64)).tolist())
-            self.ids.put_all(learnt)
-            for k, token in zip(at, missing):
-                found[k] = learnt[token]
-        return np.array(found, np.int64)
-
-    def _find(self, hashes: np.ndarray) -> np.ndarray:
-        m, out = self.model, np.full(len(hashes), NO)
-        shard = (hashes >> np.uint64(48)).astype(np.int64) * m.shards >> 16
-        for s in np.unique(shard):
-            mine = np.flatnonzero(shard == s)
+
+    def words(self, hashes: np.ndarray) -> np.ndarray:
+        """Ids of words by their hashes, -1 if unknown: different ones in order, so that each is sought once."""
+        m = self.model
+        different, back = np.unique(hashes, return_inverse=True)
+        out = np.full(len(different), NO)
+        shard = (different >> np.uint64(48)).astype(np.int64) * m.shards >> 16
+        starts = np.flatnonzero(np.diff(shard, prepend=-1))
+        for a, b in zip(starts, [*starts[1:], len(shard)]):
+            s, mine = int(shard[a]), different[a:b]
             known = _load(m.folder, f"1-{s}")["hash"]
-            at = np.searchsorted(known, hashes[mine])
+            at = np.searchsorted(known, mine)
             hit = at < len(known)
-            hit[hit] = known[at[hit]] == hashes[mine[hit]]
-            out[mine[hit]] = at[hit] + m.levels[0].offsets[s]
-        return out
+            hit[hit] = known[at[hit]] == mine[hit]
+            out[a:b][hit] = at[hit] + m.levels[0].offsets[s]
+        return out[back]
 
     def _by_shard(self, level: int, nodes: np.ndarray):
         """(shard, slice, local index) for rising nodes."""
@@ -477,22 +508,27 @@ def _train_words(docs: DataFrame, folder: str, shards: int | None) -> Model:
     """docs (text binary) -> the level of words."""
 
     def count(batches):
-        seen: Counter = Counter()
+        held, parts, size, ends = [], [], 0, 0
         for batch in batches:
             words, n = tokens(batch.column(0))
-            found = words.value_counts()
-            for word, times in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
-                seen[word] += times
-            seen[END] += len(n)
-            if len(seen) > 1_000_000:
-                yield emit(seen)
-                seen.clear()
-        if seen:
-            yield emit(seen)
-
-    def emit(seen):
-        hashes = np.array(list(map(word_hash, seen)), np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(list(seen.values()), pa.int64())], names=["h", "n"])
+            held.append(word_hashes(words))
+            size, ends = size + len(words), ends + len(n)
+            if size > BLOCK_TOKENS:
+                parts.append(np.unique(np.concatenate(held), return_counts=True))
+                held, size = [], 0
+                if sum(len(k) for k, _ in parts) > 2 * MERGE_KEYS:
+                    parts = [_merged(parts)]
+                    if len(parts[0][0]) > MERGE_KEYS:
+                        yield emit(*parts.pop())
+        if size:
+            parts.append(np.unique(np.concatenate(held), return_counts=True))
+        if parts:
+            yield emit(*_merged(parts))
+        if ends:
+            yield emit(np.array([word_hash(END)], np.uint64), np.array([ends]))
+
+    def emit(hashes, counts):
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["h", "n"])
 
     words = docs.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     parts = shards or MIN_SHARDS
@@ -623,17 +659,31 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         use = reader(model)
-        for batch in batches:
-            words, n = tokens(batch.column(len(others)))
-            words = words.dictionary_encode()
-            known = use.words([*words.dictionary.to_pylist(), END]).astype("<i4")
+        end = int(use.words(np.array([word_hash(END)], np.uint64))[0])
+        held: list = []
+
+        def joined():
+            known = use.words(np.concatenate([hashes for _, hashes, _ in held])).astype("<i4")
+            n = np.concatenate([n for _, _, n in held])
             ends = np.cumsum(np.concatenate(([0], n + 1)))
-            ids = np.full(ends[-1], known[-1])
+            ids = np.full(ends[-1], end, "<i4")
             here = np.ones(ends[-1], bool)
             here[ends[1:] - 1] = False
-            ids[here] = known[words.indices.to_numpy()]
+            ids[here] = known
             ids, ends = ids.tobytes(), (4 * ends).tolist()
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(others))), pa.array([ids[a:b] for a, b in zip(ends, ends[1:])], pa.binary())], names=[*others, "ids"])
+            beside = [pa.concat_arrays([batch.column(k) for batch, _, _ in held]) for k in range(len(others))]
+            return pa.RecordBatch.from_arrays([*beside, pa.array([ids[a:b] for a, b in zip(ends, ends[1:])], pa.binary())], names=[*others, "ids"])
+
+        size = 0
+        for batch in batches:
+            words, n = tokens(batch.column(len(others)))
+            held.append((batch.select(others), word_hashes(words), n))
+            size += len(words)
+            if size > BLOCK_TOKENS // 2:
+                yield joined()
+                held, size = [], 0
+        if held:
+            yield joined()
 
     rows = docs.select(*others, text_column(docs).cast("binary").alias("text"))
     return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", ids binary")

@@ -490,9 +490,8 @@ N = "(SELECT COUNT(*) FROM embeddings)"
 @query(f"SELECT ROUND(1 - 2.0 / ({N} * 10 * (2 * {N} - 30 - 1)) * SUM(CASE WHEN rl <= 10 THEN GREATEST(rh - 10, 0) ELSE 0 END), 6) AS trust, ROUND(1 - 2.0 / ({N} * 10 * (2 * {N} - 30 - 1)) * SUM(CASE WHEN rh <= 10 THEN GREATEST(rl - 10, 0) ELSE 0 END), 6) AS continuity FROM {RANKS}")
 def k11_k13_w15_fidelity(spark, d):
     rows = read(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("high"), F.slice("embedding", 1, 2).alias("low"))
-    high, low = ("high", "inner"), ("low", "euclidean")
-    trust = diagnostics.preserved(rows, "vec_id", high, low, 10).select(F.round("value", 6).alias("trust"))
-    return trust.join(diagnostics.preserved(rows, "vec_id", low, high, 10).select(F.round("value", 6).alias("continuity")))
+    found = diagnostics.fidelity(rows, "vec_id", ("high", "inner"), ("low", "euclidean"), 10)
+    return found.select(F.round("trust", 6).alias("trust"), F.round("continuity", 6).alias("continuity"))
 
 
 @query("SELECT label AS topic, ROUND(MAX(mx), 6) AS cx, ROUND(QUANTILE_CONT(SQRT(POW(x - mx, 2) + POW(y - my, 2)), 0.9), 6) AS spread FROM (SELECT label, x, y, MEDIAN(x) OVER (PARTITION BY label) AS mx, MEDIAN(y) OVER (PARTITION BY label) AS my FROM (SELECT label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)) GROUP BY label")

@@ -15,7 +15,9 @@ CELL_ROWS, SIDE_ROWS = 4096, 32_768
 #: Rows and columns that are multiplied at once, the first columns of a row, digits that distances are rounded to.
 STRIP, CHUNK, HEAD, DIGITS = 512, 4096, 512, 9
 #: Rows and columns of a strip whose distances are sorted, open distances that targets do not share, pairs that are measured at once.
-ROWS, COLUMNS, HITS, PAIRS = 64, 8192, 64, 16_384
+ROWS, COLUMNS, HITS, PAIRS = 128, 4096, 64, 16_384
+#: Components up to which vectors are sorted into places, and rows of a place.
+DIMENSIONS, PLACE = 3, 512
 
 
 def blocks(n: int, parallelism: int) -> int:
@@ -165,6 +167,8 @@ def standing(a: np.ndarray, a_ids: np.ndarray, owner: np.ndarray, target: np.nda
     """(before, row, column, distance): how many rows of b come before each target (its row of a, which ascends, its id and exact distance), and each row's k nearest; by distance, then id, other ids only.
 
     Rough distances settle nearly all; the exact one is taken only of what they leave open, and of candidates."""
+    if metric == "euclidean" and a.shape[1] <= DIMENSIONS and not len(owner) and all(float(np.abs(x).max()) < 1e150 for x in (a, b)):
+        return np.zeros(0, np.int64), *beside(a, a_ids, b, b_ids, k)
     order = np.argsort(b_ids, kind="stable")
     b, b_ids = b[order], b_ids[order]
     rough, first, end = Rough(a, b, metric), *(np.searchsorted(b_ids, a_ids, side) for side in ("left", "right"))
@@ -222,6 +226,50 @@ def standing(a: np.ndarray, a_ids: np.ndarray, owner: np.ndarray, target: np.nda
     return before, row, order[column], x
 
 
+def dealt(points: np.ndarray, size: int, rows: np.ndarray | None = None) -> list[np.ndarray]:
+    """Row numbers in places of at most `size` rows, halved at the median of the widest component."""
+    rows = np.arange(len(points)) if rows is None else rows
+    if len(rows) <= size:
+        return [rows]
+    some, half = points[rows], len(rows) // 2
+    by = np.argpartition(some[:, np.ptp(some, axis=0).argmax()], half)
+    return dealt(points, size, rows[by[:half]]) + dealt(points, size, rows[by[half:]])
+
+
+def beside(a: np.ndarray, a_ids: np.ndarray, b: np.ndarray, b_ids: np.ndarray, k: int):
+    """(row, column, distance): as standing()'s nearest by the euclidean metric, for few and finite components. Both sides lie in places; a place of b is left out where its box is farther than all of a place's rows have k."""
+    a, b = a.astype(float), b.astype(float)
+    there = dealt(b, PLACE)
+    low, high = (np.array([f(b[t], axis=0) for t in there]) for f in (np.min, np.max))
+    done = []
+    for here in dealt(a, max(1, PLACE // 8)):
+        some, bound = a[here], np.full(len(here), np.inf)
+        held = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        away = np.square(np.maximum(0, np.maximum(low - some.max(axis=0), some.min(axis=0) - high))).sum(axis=1)
+        for t in np.argsort(away):
+            if away[t] * (1 - 1e-9) > bound.max():
+                break
+            d, columns = raw(some, b[there[t]], "euclidean"), there[t]
+            own = a_ids[here][:, None] == b_ids[columns]
+            d[own] = np.inf
+            if d.shape[1] >= k and np.isinf(bound).any():
+                bound = np.partition(d, k - 1, axis=1)[:, k - 1]
+            i, j = np.divmod(np.flatnonzero(d <= bound[:, None]), d.shape[1])
+            other = ~own[i, j]
+            i, j = i[other], j[other]
+            row, column, far = (np.concatenate(z) for z in zip(held, (i, columns[j], d[i, j])))
+            by = np.lexsort((b_ids[column], far, row))
+            row, column, far = row[by], column[by], far[by]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            full = place == k - 1
+            bound[row[full]] = far[full]
+            held = tuple(z[place < k] for z in (row, column, far))
+        done.append((here[held[0]], *held[1:]))
+    row, column, far = (np.concatenate(z) for z in zip(*done))
+    by = np.argsort(row, kind="stable")
+    return row[by], column[by], far[by]
+
+
 def _set(flags: np.ndarray) -> np.ndarray:
     """Flat positions of the few that are set; eight flags are looked at as one number."""
     eight = np.flatnonzero(flags.reshape(-1).view(np.uint64))
@@ -236,23 +284,24 @@ def _measured(a, i, b, j, metric):
 def _settle(a, a_ids, owner, target, far, b, b_ids, low, high, open_, at, lo, d, metric, before):
     """Counts what precedes targets among the distances that the rough ones leave open, in a strip's columns from lo on. Where these are many, as with copies, targets of one distance share what is measured."""
     some, near, last = [], [], None
-    for t in open_[np.lexsort((far[open_], owner[open_]))].tolist():
-        row = owner[t]
-        if last != (row, far[t]):
-            last, those = (row, far[t]), d[row - at]
-            j = np.flatnonzero((those >= low[t]) & (those <= high[t])) + lo
+    order = open_[np.lexsort((far[open_], owner[open_]))]
+    for t, row, x, least, most in zip(order.tolist(), owner[order].tolist(), far[order].tolist(), low[order], high[order]):
+        if last != (row, x):
+            last, those = (row, x), d[row - at]
+            (j,) = ((those >= least) & (those <= most)).nonzero()
             many = len(j) > HITS
             if many:
+                j = j + lo
                 j = j[b_ids[j] != a_ids[row]]
-                x = _measured(a, np.full(len(j), row), b, j, metric)
-                nearer, tied = np.count_nonzero(x < far[t]), b_ids[j[x == far[t]]]
+                measured = _measured(a, np.full(len(j), row), b, j, metric)
+                nearer, tied = np.count_nonzero(measured < x), b_ids[j[measured == x]]
         if many:
             before[t] += nearer + np.searchsorted(tied, target[t])
         else:
             some.append(t)
             near.append(j)
     if some:
-        t, j = np.repeat(some, [len(x) for x in near]), np.concatenate(near)
+        t, j = np.repeat(some, [len(x) for x in near]), np.concatenate(near) + lo
         x = _measured(a, owner[t], b, j, metric)
         earlier = ((x < far[t]) | ((x == far[t]) & (b_ids[j] < target[t]))) & (b_ids[j] != a_ids[owner[t]])
         np.add.at(before, t[earlier], 1)
